@@ -153,47 +153,76 @@ CV_XML = T.StructType(
 # --- Bibliographic records (JSON) ---------------------------------------------------------
 
 
-def schema_of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+TEXT, WHOLE, FLAG = T.StringType(), T.LongType(), T.BooleanType()
+RUN_TIME = T.TimestampNTZType()
 
 
-BRONZE_AUTHORS = schema_of(
-    """
-    id STRING, orcid STRING, display_name STRING, full_name STRING,
-    works_count BIGINT, cited_by_count BIGINT,
-    summary_stats STRUCT<h_index: BIGINT, i10_index: BIGINT>,
-    updated_date STRING, works_api_url STRING
-    """
+def record(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+BRONZE_AUTHORS = record(
+    id=TEXT,
+    orcid=TEXT,
+    display_name=TEXT,
+    full_name=TEXT,
+    works_count=WHOLE,
+    cited_by_count=WHOLE,
+    summary_stats=record(h_index=WHOLE, i10_index=WHOLE),
+    updated_date=TEXT,
+    works_api_url=TEXT,
 )
 
 # Records no job reads (open_access, best_oa_location, ids, biblio, topics) stay JSON text,
 # and so does the inverted index, which bronze stores as text.
-BRONZE_WORKS = schema_of(
-    """
-    id STRING, doi STRING, display_name STRING, title STRING, publication_year BIGINT,
-    publication_date STRING, type STRING, language STRING, abstract_inverted_index STRING,
-    cited_by_count BIGINT, open_access STRING,
-    primary_location STRUCT<
-        source: STRUCT<display_name: STRING, issn_l: STRING>, license: STRING>,
-    best_oa_location STRING,
-    authorships ARRAY<STRUCT<
-        author_position: STRING, is_corresponding: BOOLEAN, raw_author_name: STRING,
-        raw_affiliation_strings: ARRAY<STRING>, countries: ARRAY<STRING>,
-        institutions: ARRAY<STRUCT<id: STRING, display_name: STRING>>,
-        author: STRUCT<id: STRING, display_name: STRING, orcid: STRING>>>,
-    ids STRING, biblio STRING, created_date STRING, updated_date STRING,
-    keywords ARRAY<STRUCT<display_name: STRING>>, topics STRING, referenced_works_count BIGINT
-    """
+BRONZE_WORKS = record(
+    id=TEXT,
+    doi=TEXT,
+    display_name=TEXT,
+    title=TEXT,
+    publication_year=WHOLE,
+    publication_date=TEXT,
+    type=TEXT,
+    language=TEXT,
+    abstract_inverted_index=TEXT,
+    cited_by_count=WHOLE,
+    open_access=TEXT,
+    primary_location=record(source=record(display_name=TEXT, issn_l=TEXT), license=TEXT),
+    best_oa_location=TEXT,
+    authorships=T.ArrayType(
+        record(
+            author_position=TEXT,
+            is_corresponding=FLAG,
+            raw_author_name=TEXT,
+            raw_affiliation_strings=T.ArrayType(TEXT),
+            countries=T.ArrayType(TEXT),
+            institutions=T.ArrayType(record(id=TEXT, display_name=TEXT)),
+            author=record(id=TEXT, display_name=TEXT, orcid=TEXT),
+        )
+    ),
+    ids=TEXT,
+    biblio=TEXT,
+    created_date=TEXT,
+    updated_date=TEXT,
+    keywords=T.ArrayType(record(display_name=TEXT)),
+    topics=TEXT,
+    referenced_works_count=WHOLE,
 )
 
 # The two halves of the works job read only what they need of a bronze work.
-BRONZE_WORKS_FOR_BRIDGE = schema_of(
-    """
-    id STRING, doi STRING, display_name STRING,
-    authorships ARRAY<STRUCT<
-        author_position: STRING, is_corresponding: BOOLEAN, raw_author_name: STRING,
-        raw_affiliation_strings: ARRAY<STRING>, author: STRUCT<id: STRING, orcid: STRING>>>
-    """
+BRONZE_WORKS_FOR_BRIDGE = record(
+    id=TEXT,
+    doi=TEXT,
+    display_name=TEXT,
+    authorships=T.ArrayType(
+        record(
+            author_position=TEXT,
+            is_corresponding=FLAG,
+            raw_author_name=TEXT,
+            raw_affiliation_strings=T.ArrayType(TEXT),
+            author=record(id=TEXT, orcid=TEXT),
+        )
+    ),
 )
 BRONZE_WORKS_FOR_SILVER = T.StructType(
     [
@@ -263,33 +292,57 @@ RESEARCHER_NAMES = {
     "data_atualizacao": "data_atualizacao_lattes",
 }
 
-SILVER_AUTHORS = schema_of(
-    """
-    openalex_id STRING, orcid_id STRING, indice_h BIGINT, indice_i10 BIGINT,
-    qtd_producoes BIGINT, qtd_citacoes_pesquisador BIGINT, works_api_url STRING,
-    updated_at TIMESTAMP_NTZ
-    """
+SILVER_AUTHORS = record(
+    openalex_id=TEXT,
+    orcid_id=TEXT,
+    indice_h=WHOLE,
+    indice_i10=WHOLE,
+    qtd_producoes=WHOLE,
+    qtd_citacoes_pesquisador=WHOLE,
+    works_api_url=TEXT,
+    updated_at=RUN_TIME,
 )
-SILVER_WORKS = schema_of(
-    """
-    openalex_id STRING, doi STRING, titulo STRING, ano_publicacao BIGINT,
-    data_publicacao STRING, tipo_producao STRING, idioma STRING, abstract STRING,
-    qtd_citacoes_producao BIGINT, qtd_referencias_producao BIGINT, journal_name STRING,
-    issn STRING, palavras_chave ARRAY<STRING>, created_at STRING, updated_at TIMESTAMP_NTZ
-    """
+SILVER_WORKS = record(
+    openalex_id=TEXT,
+    doi=TEXT,
+    titulo=TEXT,
+    ano_publicacao=WHOLE,
+    data_publicacao=TEXT,
+    tipo_producao=TEXT,
+    idioma=TEXT,
+    abstract=TEXT,
+    qtd_citacoes_producao=WHOLE,
+    qtd_referencias_producao=WHOLE,
+    journal_name=TEXT,
+    issn=TEXT,
+    palavras_chave=T.ArrayType(TEXT),
+    created_at=TEXT,
+    updated_at=RUN_TIME,
 )
-SILVER_BRIDGE = schema_of(
-    """
-    openalex_producao_id STRING, openalex_autor_id STRING, orcid_id STRING, nome_autor STRING,
-    ordem_autoria INT, autor_principal BOOLEAN, correspondente BOOLEAN, afiliacao_autor STRING
-    """
+SILVER_BRIDGE = record(
+    openalex_producao_id=TEXT,
+    openalex_autor_id=TEXT,
+    orcid_id=TEXT,
+    nome_autor=TEXT,
+    ordem_autoria=T.IntegerType(),
+    autor_principal=FLAG,
+    correspondente=FLAG,
+    afiliacao_autor=TEXT,
 )
-SILVER_RESEARCHERS = schema_of(
-    """
-    lattes_id STRING, orcid_id STRING, openalex_id STRING, nome_completo STRING,
-    resumo_cv STRING, indice_h BIGINT, indice_i10 BIGINT, qtd_producoes BIGINT,
-    qtd_citacoes_pesquisador BIGINT, nacionalidade STRING, instituicao_empresa STRING,
-    nome_orgao STRING, codigo_instituicao STRING, data_atualizacao_lattes DATE,
-    updated_at TIMESTAMP_NTZ
-    """
+SILVER_RESEARCHERS = record(
+    lattes_id=TEXT,
+    orcid_id=TEXT,
+    openalex_id=TEXT,
+    nome_completo=TEXT,
+    resumo_cv=TEXT,
+    indice_h=WHOLE,
+    indice_i10=WHOLE,
+    qtd_producoes=WHOLE,
+    qtd_citacoes_pesquisador=WHOLE,
+    nacionalidade=TEXT,
+    instituicao_empresa=TEXT,
+    nome_orgao=TEXT,
+    codigo_instituicao=TEXT,
+    data_atualizacao_lattes=T.DateType(),
+    updated_at=RUN_TIME,
 )

@@ -41,13 +41,17 @@ def archive_files(spark: SparkSession, location: str, pattern: str = "*.zip") ->
     return files.option("pathGlobFilter", pattern).load(location).select("path", "length")
 
 
-def _open(path: str):
-    """Random-access handle on a file of any file system the cluster reads."""
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """File system of a path or URI, and the path within it."""
     scheme, separator, rest = path.partition(":")
     if not separator or scheme == "file":
-        local = rest if separator else path
-        return fs.LocalFileSystem().open_input_file("/" + local.lstrip("/"))
-    filesystem, name = fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
+        return fs.LocalFileSystem(), "/" + (rest if separator else path).lstrip("/")
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
+
+
+def _open(path: str):
+    """Random-access handle on a file."""
+    filesystem, name = file_system(path)
     return filesystem.open_input_file(name)
 
 
