@@ -111,17 +111,17 @@ def _parsed(spark, sf_dir):
 
 @query("xml_attribute_extract", RESEARCHERS)
 def xml_attribute_extract(spark, sf_dir):
-    return curriculum.researcher_rows(curriculum.accepted(_parsed(spark, sf_dir)))
+    return curriculum.researcher_rows(_parsed(spark, sf_dir))
 
 
 @query("xml_repeated_children", AREAS)
 def xml_repeated_children(spark, sf_dir):
-    return curriculum.area_rows(curriculum.accepted(_parsed(spark, sf_dir)))
+    return curriculum.area_rows(_parsed(spark, sf_dir))
 
 
 @query("union_unlike_shapes", EDUCATION)
 def union_unlike_shapes(spark, sf_dir):
-    return curriculum.education_rows(curriculum.accepted(_parsed(spark, sf_dir)))
+    return curriculum.education_rows(_parsed(spark, sf_dir))
 
 
 @query(
@@ -275,23 +275,23 @@ _ORDERS = """
 """
 
 
+def _fetched_orders(spark, sf_dir, **options):
+    respond = _order_service(spark, sf_dir, **options)
+    staging = scratch_location(spark, "order-pages")
+    pages = paging.fetch_all_pages(_order_requests(spark, sf_dir), respond, staging)
+    return paging.page_records(pages, ORDER_RECORD)
+
+
 @query("paged_fetch", _ORDERS)
 def paged_fetch(spark, sf_dir):
-    """Count first, then every page, as one lazy plan."""
-    respond = _order_service(spark, sf_dir)
-    counted = respond(_order_requests(spark, sf_dir))
-    counted = counted.withColumn("total", paging.meta_count(F.col("body"))).drop("body")
-    pages = respond(paging.plan_pages(counted, "total"))
-    return paging.page_records(pages, ORDER_RECORD)
+    """A service that never fails, asked once per page."""
+    return _fetched_orders(spark, sf_dir, attempts=1)
 
 
 @query("paged_fetch_retry", _ORDERS)
 def paged_fetch_retry(spark, sf_dir):
-    """A service that fails up to five times per page; each page is kept once fetched."""
-    respond = _order_service(spark, sf_dir, faults=True)
-    staging = scratch_location(spark, "order-pages")
-    pages = paging.fetch_all_pages(_order_requests(spark, sf_dir), respond, staging)
-    return paging.page_records(pages, ORDER_RECORD)
+    """A service that fails up to five times per page."""
+    return _fetched_orders(spark, sf_dir, faults=True)
 
 
 @query(

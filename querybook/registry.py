@@ -1,9 +1,14 @@
 """Registry of queries and their SQL."""
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import querybook
+import vitaelake
+from vitaelake.session import ship_packages
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -14,7 +19,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query, with the SQL that gives the same rows."""
 
     def register(function: Query) -> Query:
-        QUERIES[name] = function
+        @functools.wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_packages(spark, vitaelake, querybook)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return function

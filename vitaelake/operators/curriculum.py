@@ -23,8 +23,9 @@ _PARSED = T.StructType([*S.CV_XML.fields, T.StructField(S.CORRUPT_RECORD, T.Stri
 def parse_documents(documents: DataFrame) -> DataFrame:
     """Add ``cv`` (the document as a struct) and ``reject`` (why it could not be read).
 
-    A readable document with another root element gives a ``cv`` of nulls. Values are kept as
-    written, spaces included. Documents are independent: a bad one never stops the others.
+    One of the two is null. A readable document with another root element gives a ``cv`` whose
+    fields are null. Values are kept as written, spaces included. Documents are independent: a
+    bad one never stops the others.
     """
     xml = F.col("xml")
     read_error = F.col("error") if "error" in documents.columns else F.lit(None).cast("string")
@@ -36,21 +37,28 @@ def parse_documents(documents: DataFrame) -> DataFrame:
         F.when(F.col(f"_cv.{S.CORRUPT_RECORD}").isNotNull(), F.lit("malformed XML")),
         F.when(~ends_in_markup, F.lit("text after the root element")),
     )
-    cv = F.when(
-        xml.rlike(_ROOT_TAG),
-        F.struct(*[F.col("_cv").getField(name).alias(name) for name in S.CV_XML.names]),
-    )
-    return parsed.withColumns({"reject": reject, "cv": cv}).drop("_cv")
+    own_root = xml.rlike(_ROOT_TAG)
+    fields = [
+        F.when(own_root, F.col("_cv").getField(name)).alias(name) for name in S.CV_XML.names
+    ]
+    judged = parsed.withColumns({"reject": reject, "_fields": F.struct(*fields)})
+    cv = F.when(F.col("reject").isNull(), F.col("_fields"))
+    return judged.withColumn("cv", cv).drop("_cv", "_fields")
 
 
-def accepted(parsed: DataFrame) -> DataFrame:
-    """Documents that could be read."""
-    return parsed.where("reject IS NULL")
+def _rows_where(condition: Column, *row: Column) -> Column:
+    """Generator of one row where the condition holds, none elsewhere.
+
+    A plain filter on a parsed column would be pushed below the parse and parse every document
+    a second time; a generator is not.
+    """
+    return F.inline(F.when(condition, F.array(F.struct(*row))))
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
     """Documents that could not be read, with the reason; all but the struct is kept."""
-    return parsed.where("reject IS NOT NULL").drop("cv")
+    kept = [F.col(name) for name in parsed.columns if name != "cv"]
+    return parsed.select(_rows_where(F.col("reject").isNotNull(), *kept))
 
 
 def _attributes(node: Column, mapping: Mapping[str, str]) -> list[Column]:
@@ -70,8 +78,11 @@ def researcher_rows(parsed: DataFrame) -> DataFrame:
         values[column] = general.getField("RESUMO-CV").getField(attribute)
     general_columns = [name for name in S.RESEARCHER_COLUMNS if name in values]
     records = parsed.select(
-        F.struct(*[values[name].alias(name) for name in general_columns]).alias("general"),
-        F.struct(*_attributes(address, S.ADDRESS_ATTRIBUTES)).alias("address"),
+        _rows_where(
+            root.isNotNull(),
+            F.struct(*[values[name].alias(name) for name in general_columns]).alias("general"),
+            F.struct(*_attributes(address, S.ADDRESS_ATTRIBUTES)).alias("address"),
+        )
     )
     return merge_records(records, "general", "address").select(*S.RESEARCHER_COLUMNS)
 
@@ -109,5 +120,6 @@ def area_rows(parsed: DataFrame) -> DataFrame:
 
 
 def _with_document_key(parsed: DataFrame, rows: Column, columns) -> DataFrame:
+    """Rows of a document with its key. A rejected document has neither."""
     key = F.col("cv").getField(S.ROOT_ATTRIBUTES["lattes_id"]).alias("lattes_id")
     return parsed.select(key, F.inline(rows)).select(*columns, "lattes_id")

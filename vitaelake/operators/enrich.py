@@ -38,9 +38,11 @@ def conditional_enrich(
                 [originals, pa.array(translated, pa.string())], ["_key", "_translated"]
             )
 
+    # By a hash of the key: partitioned by the key itself, the distinct texts would count as
+    # spread already, and a small number of them would be gathered into fewer tasks.
     dictionary = (
         texts.distinct()
-        .repartition(tasks, "_key")
+        .repartition(tasks, F.xxhash64("_key"))
         .mapInArrow(translate_batches, "_key STRING, _translated STRING")
     )
     keyed = df.withColumn("_key", F.when(is_source, F.col(text)))

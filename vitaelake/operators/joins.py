@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 NULL_KEY_SALTS = 256
 HOT_KEY_SALTS = 64
 HOT_KEY_ROWS = 1_000_000
-HOT_KEY_SHARE = 1000
+HOT_KEYS = 1000
 
 
 def _row_hash(df: DataFrame, columns: Sequence[str] | None) -> Column:
@@ -26,15 +26,14 @@ def _row_hash(df: DataFrame, columns: Sequence[str] | None) -> Column:
 def hot_key_salts(
     df: DataFrame, key: str, salt: Column, hot_rows: int = HOT_KEY_ROWS
 ) -> dict[object, list[int]]:
-    """Keys with more than ``hot_rows`` rows and over 1/1000 of the table, and the salts their
-    rows fall on. Such a share allows at most 1000 keys, so the result is small at any scale.
-    Reads the key column alone, and the salted columns only when there is a hot key."""
-    total = df.count()
-    if total <= hot_rows:
-        return {}
-    least = max(hot_rows, total // HOT_KEY_SHARE)
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > least)
-    keys = [row[key] for row in counts.collect()]
+    """The most frequent keys with more than ``hot_rows`` rows, and the salts those rows fall on.
+
+    At most 1000 keys, so the result is small at any scale; any key after those holds less than
+    a thousandth of the table. Reads the key column alone, and more only if a key is hot.
+    """
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
+    hottest = counts.where(F.col("rows") > hot_rows).orderBy(F.col("rows").desc()).limit(HOT_KEYS)
+    keys = [row[key] for row in hottest.collect()]
     if not keys:
         return {}
     cells = df.where(F.col(key).isin(keys)).select(key, salt.alias("salt")).distinct()
@@ -69,11 +68,13 @@ def left_join(
     clashes = set(left.columns) & set(right.columns) - {key}
     right = right.withColumnsRenamed({name: f"{name}_right" for name in clashes})
     columns = left.columns + [name for name in right.columns if name != key]
-    no_salt = F.lit(0)
-    key_value = F.col(key)
-    right_salt = F.pmod(_row_hash(right, None), F.lit(HOT_KEY_SALTS)).cast("int")
+    key_value = F.col(f"`{key}`")
     null_salt = F.pmod(_row_hash(left, spread_by), F.lit(NULL_KEY_SALTS)).cast("int")
-    hot = hot_key_salts(right, key, right_salt, hot_rows) if hot_rows is not None else {}
+    hot_salt = F.pmod(_row_hash(right, None), F.lit(HOT_KEY_SALTS)).cast("int")
+    hot = hot_key_salts(right, key, hot_salt, hot_rows) if hot_rows is not None else {}
+    # Always 0, yet not a constant: a constant would be folded out of the join keys, and the
+    # null keys would meet in one task again.
+    plain_salt = F.pmod(F.hash(key_value), F.lit(1))
     if hot:
         salts_of = F.create_map(
             *[
@@ -83,14 +84,14 @@ def left_join(
             ]
         )
         salts = F.when(key_value.isNull(), F.array(null_salt)).otherwise(
-            F.coalesce(F.try_element_at(salts_of, key_value), F.array(no_salt))
+            F.coalesce(F.try_element_at(salts_of, key_value), F.array(F.lit(0)))
         )
-        is_hot = key_value.isin(list(hot))
         left = left.withColumn("_salt", F.explode(salts))
-        right = right.withColumn("_salt", F.when(is_hot, right_salt).otherwise(no_salt))
+        is_hot = key_value.isin(list(hot))
+        right = right.withColumn("_salt", F.when(is_hot, hot_salt).otherwise(plain_salt))
     else:
-        left = left.withColumn("_salt", F.when(key_value.isNull(), null_salt).otherwise(no_salt))
-        right = right.withColumn("_salt", no_salt)
+        left = left.withColumn("_salt", F.when(key_value.isNull(), null_salt).otherwise(0))
+        right = right.withColumn("_salt", plain_salt)
     right = right.where(key_value.isNotNull())
     return left.join(right, [key, "_salt"], "left").select(*[f"`{name}`" for name in columns])
 

@@ -34,11 +34,10 @@ def curricula_to_bronze(
     """
     lake = Lake(base)
     staged = stage_documents(spark, read_archives(spark, archives, pattern))
-    accepted = curriculum.accepted(staged)
     outputs = {
-        lake.bronze_researchers: curriculum.researcher_rows(accepted),
-        lake.bronze_education: curriculum.education_rows(accepted),
-        lake.bronze_areas: curriculum.area_rows(accepted),
+        lake.bronze_researchers: curriculum.researcher_rows(staged),
+        lake.bronze_education: curriculum.education_rows(staged),
+        lake.bronze_areas: curriculum.area_rows(staged),
         lake.bronze_rejects: curriculum.rejected(staged),
     }
     return {

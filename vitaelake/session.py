@@ -1,10 +1,15 @@
 """Session settings and the shared scratch folder."""
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
+from types import ModuleType
 
 from pyspark.sql import SparkSession
 
+_shipped: set[tuple[str, str]] = set()
+
 
 def spark_session(name: str = "vitaelake", master: str | None = None, **settings) -> SparkSession:
     """A session with the settings the jobs count on; a cluster's own settings win."""
@@ -37,3 +42,19 @@ def scratch_location(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="vitaelake-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/vitaelake/{label}-{uuid.uuid4().hex}"
+
+
+def ship_packages(spark: SparkSession, *packages: ModuleType) -> None:
+    """Let the tasks of a session import the packages, once per application.
+
+    The same as naming them in ``--py-files``; nothing to do where they are installed.
+    """
+    application = spark.sparkContext.applicationId
+    for package in packages:
+        if (application, package.__name__) in _shipped:
+            continue
+        source = Path(package.__file__).parent
+        target = f"{tempfile.mkdtemp(prefix='vitaelake-ship-')}/{package.__name__}"
+        archive = shutil.make_archive(target, "zip", source.parent, source.name)
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add((application, package.__name__))
