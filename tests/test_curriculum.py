@@ -229,3 +229,22 @@ def test_one_archive_is_read_by_many_tasks(spark, tmp_path):
     documents = archive.read_archives(spark, str(tmp_path))
     parts = {row[0] for row in documents.selectExpr("spark_partition_id()").collect()}
     assert len(parts) > 1
+    assert documents.count() == 40
+
+
+def test_many_small_archives_need_no_shuffle(spark, tmp_path):
+    for i in range(12):
+        with zipfile.ZipFile(tmp_path / f"{i:02}.zip", "w", zipfile.ZIP_STORED) as one:
+            one.writestr("a.xml", BARE.encode())
+            one.writestr("b.txt", b"no")
+    documents = archive.read_archives(spark, str(tmp_path))
+    assert "Exchange" not in documents._jdf.queryExecution().executedPlan().toString()
+    assert documents.count() == 12
+
+
+def test_split_and_whole_reading_agree(spark, archives):
+    def read(bytes_per_task):
+        found = archive.read_archives(spark, str(archives), bytes_per_task=bytes_per_task)
+        return rows(found)
+
+    assert read(2000) == read(1 << 30)

@@ -20,11 +20,12 @@ def conditional_enrich(
     source_language: str = "en",
     output: str = "resumo_traduzido",
     max_parallel: int | None = None,
+    per_call: int = 50,
 ) -> DataFrame:
     """Texts in one language go through ``translate``; others, null language included, stay.
 
-    Only distinct texts of that language reach the service, each once. ``translate`` takes and
-    returns a list of texts of equal length.
+    Only distinct texts of that language reach the service, each once. ``translate`` takes at
+    most ``per_call`` texts and returns as many. ``max_parallel`` bounds the concurrent calls.
     """
     is_source = F.col(language) == source_language
     texts = df.where(is_source & F.col(text).isNotNull()).select(F.col(text).alias("_key"))
@@ -32,11 +33,10 @@ def conditional_enrich(
 
     def translate_batches(batches):
         for batch in batches:
-            originals = batch.column("_key")
-            translated = translate(originals.to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [originals, pa.array(translated, pa.string())], ["_key", "_translated"]
-            )
+            for start in range(0, batch.num_rows, per_call):
+                originals = batch.column("_key").slice(start, per_call)
+                translated = pa.array(translate(originals.to_pylist()), pa.string())
+                yield pa.RecordBatch.from_arrays([originals, translated], ["_key", "_translated"])
 
     # By a hash of the key: partitioned by the key itself, the distinct texts would count as
     # spread already, and a small number of them would be gathered into fewer tasks.

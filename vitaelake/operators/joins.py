@@ -5,24 +5,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitaelake.operators.projection import row_hash
+
 NULL_KEY_SALTS = 256
 HOT_KEY_SALTS = 64
 HOT_KEY_ROWS = 1_000_000
 HOT_KEYS = 1000
 
 
-def _row_hash(df: DataFrame, columns: Sequence[str] | None) -> Column:
-    """Hash of a row's columns; repeatable, so a recomputed task gives the same salts."""
-    if columns is None:
-        unhashable = ("map<", "variant")
-        columns = [
-            field.name
-            for field in df.schema.fields
-            if not any(kind in field.dataType.simpleString() for kind in unhashable)
-        ]
-    return F.xxhash64(*[F.col(f"`{name}`") for name in columns])
-
-
 def hot_key_salts(
     df: DataFrame, key: str, salt: Column, hot_rows: int = HOT_KEY_ROWS
 ) -> dict[object, list[int]]:
@@ -69,8 +59,8 @@ def left_join(
     right = right.withColumnsRenamed({name: f"{name}_right" for name in clashes})
     columns = left.columns + [name for name in right.columns if name != key]
     key_value = F.col(f"`{key}`")
-    null_salt = F.pmod(_row_hash(left, spread_by), F.lit(NULL_KEY_SALTS)).cast("int")
-    hot_salt = F.pmod(_row_hash(right, None), F.lit(HOT_KEY_SALTS)).cast("int")
+    null_salt = F.pmod(row_hash(left, spread_by), F.lit(NULL_KEY_SALTS)).cast("int")
+    hot_salt = F.pmod(row_hash(right, None), F.lit(HOT_KEY_SALTS)).cast("int")
     hot = hot_key_salts(right, key, hot_salt, hot_rows) if hot_rows is not None else {}
     # Always 0, yet not a constant: a constant would be folded out of the join keys, and the
     # null keys would meet in one task again.

@@ -12,6 +12,18 @@ def quoted(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def row_hash(df: DataFrame, columns: Iterable[str] | None = None) -> Column:
+    """Hash of a row, or of the named columns; repeatable, so a recomputed task agrees."""
+    if columns is None:
+        unhashable = ("map<", "variant")
+        columns = [
+            field.name
+            for field in df.schema.fields
+            if not any(kind in field.dataType.simpleString() for kind in unhashable)
+        ]
+    return F.xxhash64(*[quoted(name) for name in columns])
+
+
 def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """The input itself; raises when a column is absent."""
     absent = [name for name in names if name not in df.columns]

@@ -1,8 +1,9 @@
 """Zip archives of documents as DataFrames of entries and texts.
 
-An archive cannot be split by Spark and may be larger than a binary column allows, so its
-content never becomes a row. One task per archive streams the directory of entries; the
-entries are then spread over tasks, and each task seeks to its own entries only.
+Spark cannot split an archive, and one may be larger than a binary column allows, so its
+content never becomes a row. An archive of at most a task's fair share is read by one task,
+front to back. For a larger one, a task streams the directory of entries; the entries are
+spread over tasks, and each task seeks to its own entries only.
 """
 
 import re
@@ -33,6 +34,8 @@ _MAX32 = 0xFFFFFFFF
 _ENTRIES_PER_BATCH = 10_000
 _BYTES_PER_BATCH = 8 << 20
 _LOCALITY_BLOCK = 8 << 20
+_BYTES_PER_TASK = 512 << 20
+_LISTING_TASKS = 2000
 
 
 def archive_files(spark: SparkSession, location: str, pattern: str = "*.zip") -> DataFrame:
@@ -119,24 +122,26 @@ def directory_entries(handle) -> Iterator[tuple]:
 def list_entries(archives: DataFrame) -> DataFrame:
     """One row per archive entry, with what a task needs to read it directly."""
 
-    def listing(batches):
-        names = [part.split()[0] for part in ENTRY_SCHEMA.split(", ")]
-        for batch in batches:
-            for path in batch.column("path").to_pylist():
-                rows = []
-                with _open(path) as handle:
-                    for entry in directory_entries(handle):
-                        rows.append((path, *entry))
-                        if len(rows) == _ENTRIES_PER_BATCH:
-                            yield _record_batch(rows, names)
-                            rows = []
-                if rows:
-                    yield _record_batch(rows, names)
+    # Few writers: the shuffle that spreads the entries has very many readers.
+    return archives.select("path").coalesce(_LISTING_TASKS).mapInArrow(_list, ENTRY_SCHEMA)
+
 
-    return archives.select("path").mapInArrow(listing, ENTRY_SCHEMA)
+def _list(batches):
+    names = [part.split()[0] for part in ENTRY_SCHEMA.split(", ")]
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            rows = []
+            with _open(path) as handle:
+                for entry in directory_entries(handle):
+                    rows.append((path, *entry))
+                    if len(rows) == _ENTRIES_PER_BATCH:
+                        yield _entry_batch(rows, names)
+                        rows = []
+            if rows:
+                yield _entry_batch(rows, names)
 
 
-def _record_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+def _entry_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     types = {"method": pa.int32(), "flags": pa.int32()}
     columns = []
     for name, values in zip(names, zip(*rows)):
@@ -145,9 +150,12 @@ def _record_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names)
 
 
+XML_SUFFIX = ".xml"
+
+
 def select_xml(entries: DataFrame) -> DataFrame:
     """Entries whose name ends in ``.xml``, in exactly that case."""
-    return entries.where(F.col("entry").endswith(".xml"))
+    return entries.where(F.col("entry").endswith(XML_SUFFIX))
 
 
 def decode_document(raw: bytes) -> str:
@@ -180,37 +188,67 @@ def _entry_bytes(handle, entry: dict) -> bytes:
     return raw
 
 
-def _read_documents(batches):
-    """Texts of the entries, in batches bounded by bytes; a bad entry carries its error."""
-    rows, held, open_path, handle = [], 0, None, None
+def _read_document(handle, entry: dict) -> tuple[str | None, str | None]:
+    """Text of an entry, or why it cannot be read."""
     try:
-        for batch in batches:
-            for entry in batch.to_pylist():
-                if entry["path"] != open_path:
-                    if handle is not None:
-                        handle.close()
-                    handle, open_path = _open(entry["path"]), entry["path"]
-                text = error = None
-                try:
-                    text = decode_document(_entry_bytes(handle, entry))
-                except (ValueError, LookupError, zlib.error, struct.error) as problem:
-                    error = f"{type(problem).__name__}: {problem}"
-                rows.append((entry["path"], entry["entry"], text, error))
-                held += len(text or "")
-                if held >= _BYTES_PER_BATCH:
-                    yield _document_batch(rows)
-                    rows, held = [], 0
-        if rows:
-            yield _document_batch(rows)
-    finally:
-        if handle is not None:
-            handle.close()
-
-
-def _document_batch(rows: list[tuple]) -> pa.RecordBatch:
+        return decode_document(_entry_bytes(handle, entry)), None
+    except (ValueError, LookupError, zlib.error, struct.error) as problem:
+        return None, f"{type(problem).__name__}: {problem}"
+
+
+def _document_batches(documents: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Documents in batches bounded by bytes."""
     names = ["path", "entry", "xml", "error"]
-    columns = [pa.array(values, pa.string()) for values in zip(*rows)]
-    return pa.RecordBatch.from_arrays(columns, names)
+
+    def batch(rows):
+        columns = [pa.array(values, pa.string()) for values in zip(*rows)]
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    rows, held = [], 0
+    for document in documents:
+        rows.append(document)
+        held += len(document[2] or "")
+        if held >= _BYTES_PER_BATCH or len(rows) == _ENTRIES_PER_BATCH:
+            yield batch(rows)
+            rows, held = [], 0
+    if rows:
+        yield batch(rows)
+
+
+def _read_listed(batches):
+    """Documents of listed entries, keeping the current archive open."""
+
+    def documents():
+        open_path, handle = None, None
+        try:
+            for batch in batches:
+                for entry in batch.to_pylist():
+                    if entry["path"] != open_path:
+                        if handle is not None:
+                            handle.close()
+                        handle, open_path = _open(entry["path"]), entry["path"]
+                    yield entry["path"], entry["entry"], *_read_document(handle, entry)
+        finally:
+            if handle is not None:
+                handle.close()
+
+    return _document_batches(documents())
+
+
+def _read_whole(batches):
+    """Documents of whole archives, in the order of their directories."""
+    names = [part.split()[0] for part in ENTRY_SCHEMA.split(", ")]
+
+    def documents():
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                with _open(path) as directory, _open(path) as handle:
+                    for values in directory_entries(directory):
+                        entry = dict(zip(names, (path, *values)))
+                        if entry["entry"].endswith(XML_SUFFIX):
+                            yield path, entry["entry"], *_read_document(handle, entry)
+
+    return _document_batches(documents())
 
 
 def read_entries(entries: DataFrame, partitions: int) -> DataFrame:
@@ -222,19 +260,29 @@ def read_entries(entries: DataFrame, partitions: int) -> DataFrame:
     """
     block = F.floor(F.col("offset") / _LOCALITY_BLOCK)
     spread = entries.repartition(partitions, "path", block)
-    return spread.sortWithinPartitions("path", "offset").mapInArrow(
-        _read_documents, DOCUMENT_SCHEMA
-    )
+    return spread.sortWithinPartitions("path", "offset").mapInArrow(_read_listed, DOCUMENT_SCHEMA)
 
 
-def reading_partitions(archives: DataFrame, bytes_per_task: int = 128 << 20) -> int:
-    """Tasks needed to read the archives, from the file listing alone."""
-    total = archives.agg(F.sum("length")).first()[0] or 0
-    parallelism = archives.sparkSession.sparkContext.defaultParallelism
-    return max(parallelism, -(-total // bytes_per_task))
-
+def read_archives(
+    spark: SparkSession,
+    location: str,
+    pattern: str = "*.zip",
+    bytes_per_task: int = _BYTES_PER_TASK,
+) -> DataFrame:
+    """All XML documents of the archives at a location.
 
-def read_archives(spark: SparkSession, location: str, pattern: str = "*.zip") -> DataFrame:
-    """All XML documents of the archives at a location."""
+    Sizes come from the file listing alone. Archives within a task's fair share are read
+    without a shuffle; only larger ones are split.
+    """
     archives = archive_files(spark, location, pattern)
-    return read_entries(select_xml(list_entries(archives)), reading_partitions(archives))
+    tasks = spark.sparkContext.defaultParallelism
+    total = archives.agg(F.sum("length")).first()[0] or 0
+    share = min(bytes_per_task, total // tasks)
+    large = archives.where(F.col("length") > share)
+    to_split = large.agg(F.sum("length")).first()[0] or 0
+    whole = archives.where(F.col("length") <= share).select("path")
+    documents = whole.mapInArrow(_read_whole, DOCUMENT_SCHEMA)
+    if to_split == 0:
+        return documents
+    partitions = max(tasks, -(-to_split // bytes_per_task))
+    return documents.unionByName(read_entries(select_xml(list_entries(large)), partitions))
