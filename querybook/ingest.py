@@ -243,7 +243,7 @@ ORDER_RECORD = S.record(
 )
 
 
-def _order_service(spark, sf_dir, **options):
+def order_records(spark, sf_dir):
     record = F.to_json(
         F.struct(
             F.col("o_orderkey").alias("id"),
@@ -253,15 +253,14 @@ def _order_service(spark, sf_dir, **options):
             F.col("o_totalprice").alias("not_selected"),
         )
     )
-    records = table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_custkey").cast("string").alias("key"),
         F.col("o_orderkey").alias("id"),
         record.alias("record"),
     )
-    return table_service(records, **options)
 
 
-def _order_requests(spark, sf_dir):
+def order_requests(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
     return paging.batch_requests(
         customers, "c_custkey", "customer", "/orders", "id,customer,status,priority", per_page=100
@@ -276,9 +275,9 @@ _ORDERS = """
 
 
 def _fetched_orders(spark, sf_dir, **options):
-    respond = _order_service(spark, sf_dir, **options)
+    respond = table_service(order_records(spark, sf_dir), **options)
     staging = scratch_location(spark, "order-pages")
-    pages = paging.fetch_all_pages(_order_requests(spark, sf_dir), respond, staging)
+    pages = paging.fetch_all_pages(order_requests(spark, sf_dir), respond, staging)
     return paging.page_records(pages, ORDER_RECORD)
 
 
