@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores where the table has fewer splits than that; as they are elsewhere."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def text(*parts) -> Column:
     """Concatenation of columns and literals as text."""
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
@@ -107,11 +113,18 @@ def authorships(key: Column, source: Column, lang: Column) -> Column:
     return F.when(key % 6 != 5, F.transform(places, authorship))
 
 
-def bronze_works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as a bronze work: its text is the title and, indexed, the abstract."""
-    docs = table(spark, sf_dir, "documents")
+def bronze_works(spark: SparkSession, sf_dir: str, encoded: bool = True) -> DataFrame:
+    """Every document as a bronze work: its text is the title and, indexed, the abstract.
+
+    The index is JSON text, some of it cut short, or the map the service sends.
+    """
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     key, body, lang, source = (F.col(name) for name in ("doc_id", "text", "lang", "source"))
-    index = encode_json(index_from_text(body))
+    index = index_from_text(body)
+    if encoded:
+        index = F.when(key % 17 == 0, F.lit('{"cut": [0')).otherwise(encode_json(index))
+    else:
+        index = F.when(key % 17 != 0, index)
     journal = F.when(
         key % 7 != 0,
         F.struct(source.alias("display_name"), text("1234-", key % 90 + 10).alias("issn_l")),
@@ -128,10 +141,7 @@ def bronze_works(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at(F.array(*map(F.lit, ["article", "book", "book-chapter", "dataset"])),
                      (key % 4 + 1).cast("int")).alias("type"),
         lang.alias("language"),
-        F.when(key % 13 == 0, F.lit(None).cast("string"))
-        .when(key % 17 == 0, F.lit('{"cut": [0'))
-        .otherwise(index)
-        .alias("abstract_inverted_index"),
+        F.when(key % 13 != 0, index).alias("abstract_inverted_index"),
         F.col("n_chars").alias("cited_by_count"),
         F.lit("{}").alias("open_access"),
         F.when(key % 5 != 0, F.struct(journal.alias("source"), F.lit("cc-by").alias("license")))
@@ -288,7 +298,7 @@ def cv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         xml,
     )
     extension = F.when(key % 50 == 49, ".XML").otherwise(".xml")
-    return table(spark, sf_dir, "customer").select(
+    return spread(table(spark, sf_dir, "customer"), "c_custkey").select(
         F.concat(F.lpad(key.cast("string"), 16, "0"), extension).alias("entry"),
         F.when(key % 7 == 3, F.left(whole, F.length(whole) - 20)).otherwise(whole).alias("xml"),
     )

@@ -1,6 +1,5 @@
 """Queries over archives, XML, API pages and snapshots."""
 
-import json
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -10,7 +9,6 @@ from querybook.derived import (
     bronze_researchers,
     bronze_works,
     cv_documents,
-    orcid_of_customer,
     table,
     text,
     write_archives,
@@ -18,8 +16,9 @@ from querybook.derived import (
 from querybook.registry import query
 from querybook.scalar import RUN_AT
 from querybook.service import table_service
-from querybook.sql import AUTHORS, WORKS
+from querybook.sql import AUTHORS, WORKS_WITH_ABSTRACT
 from vitaelake import schemas as S
+from vitaelake.functions import text_from_inverted_index
 from vitaelake.operators import curriculum
 from vitaelake.plans import authors as author_jobs
 from vitaelake.plans import curricula_to_bronze
@@ -32,6 +31,8 @@ DAY_1, DAY_2, DAY_3 = date(2024, 5, 1), date(2024, 5, 9), date(2024, 6, 1)
 
 # --- XML ----------------------------------------------------------------------------------
 
+NONE = "CAST(NULL AS VARCHAR)"
+
 # The derived documents whose text is whole, and the values they hold.
 CV = """
     SELECT *, lpad(CAST(c_custkey AS VARCHAR), 16, '0') AS lattes_id,
@@ -43,21 +44,21 @@ RESEARCHERS = f"""
     SELECT lattes_id,
            CASE WHEN c_custkey % 4 <> 3 THEN 'https://orcid.example.org/' || c_custkey END
              AS orcid_id,
-           c_name AS nome_completo, NULL AS nome_citacao, 'Country ' || nation AS nacionalidade,
-           NULL AS pais_nascimento, NULL AS uf_nascimento, 'São Luís' AS cidade_nascimento,
+           c_name AS nome_completo, {NONE} AS nome_citacao, 'Country ' || nation AS nacionalidade,
+           {NONE} AS pais_nascimento, {NONE} AS uf_nascimento, 'São Luís' AS cidade_nascimento,
            CASE WHEN c_custkey % 5 < 2 THEN '31122019'
                 ELSE strftime(DATE '2020-01-01' + CAST(c_custkey % 1500 AS INTEGER), '%d%m%Y')
              END AS data_atualizacao,
-           '101112' AS data_hora_atualizacao, NULL AS sigla_pais_nacionalidade,
+           '101112' AS data_hora_atualizacao, {NONE} AS sigla_pais_nacionalidade,
            CASE WHEN c_custkey % 3 <> 0
                 THEN ' <' || c_name || '> & "' || c_mktsegment || '" é ' END AS texto_resumo_cv,
            CASE WHEN c_custkey % 6 <> 0 THEN c_mktsegment END AS instituicao_empresa,
            CASE WHEN c_custkey % 6 <> 0 THEN CAST(c_custkey % 100 AS VARCHAR) END
              AS codigo_instituicao,
-           NULL AS nome_orgao, NULL AS nome_unidade, NULL AS logradouro, NULL AS pais,
-           NULL AS uf, NULL AS cidade, NULL AS bairro,
+           {NONE} AS nome_orgao, {NONE} AS nome_unidade, {NONE} AS logradouro, {NONE} AS pais,
+           {NONE} AS uf, {NONE} AS cidade, {NONE} AS bairro,
            CASE WHEN c_custkey % 6 <> 0 THEN 'mail' || c_custkey || '@example.org' END AS email,
-           NULL AS home_page
+           {NONE} AS home_page
     FROM ({CV}) cv
 """
 
@@ -76,10 +77,10 @@ EDUCATION = f"""
            CASE kind WHEN 'GRADUACAO' THEN 'Course' WHEN 'MESTRADO' THEN 'Master'
                      WHEN 'DOUTORADO' THEN 'Doctor' END || ' ' || c_custkey || '/' || n
              AS nome_curso,
-           NULL AS codigo_instituicao, NULL AS nome_instituicao,
+           {NONE} AS codigo_instituicao, {NONE} AS nome_instituicao,
            CASE kind WHEN 'GRADUACAO' THEN 's' WHEN 'POS-DOUTORADO' THEN 'stage' END
              || ' ' || c_custkey || '/' || n AS status,
-           NULL AS ano_inicio, NULL AS ano_conclusao,
+           {NONE} AS ano_inicio, {NONE} AS ano_conclusao,
            CASE kind WHEN 'GRADUACAO' THEN 'Work ' || c_custkey || '/' || n END
              AS titulo_trabalho,
            CASE kind WHEN 'MESTRADO' THEN 'Dissertation ' || c_custkey || '/' || n END
@@ -87,7 +88,7 @@ EDUCATION = f"""
            CASE kind WHEN 'DOUTORADO' THEN 'Thesis ' || c_custkey || '/' || n END AS titulo_tese,
            CASE WHEN kind <> 'POS-DOUTORADO' THEN 'Advisor ' || c_custkey || '/' || n END
              AS nome_orientador,
-           NULL AS codigo_agencia_financiadora,
+           {NONE} AS codigo_agencia_financiadora,
            CASE WHEN kind IN ('MESTRADO', 'POS-DOUTORADO')
                 THEN 'Agency ' || c_custkey || '/' || n END AS nome_agencia,
            lattes_id
@@ -96,10 +97,10 @@ EDUCATION = f"""
 
 AREAS = f"""
     SELECT 'n ' || c_custkey || '/' || n AS sequencia,
-           'Field ' || c_custkey || '/' || n AS nome_grande_area, NULL AS codigo_grande_area,
-           NULL AS nome_area, NULL AS codigo_area, NULL AS nome_sub_area,
-           NULL AS codigo_sub_area, 'Topic ' || c_custkey || '/' || n AS nome_especialidade,
-           NULL AS codigo_especialidade, lattes_id
+           'Field ' || c_custkey || '/' || n AS nome_grande_area, {NONE} AS codigo_grande_area,
+           {NONE} AS nome_area, {NONE} AS codigo_area, {NONE} AS nome_sub_area,
+           {NONE} AS codigo_sub_area, 'Topic ' || c_custkey || '/' || n AS nome_especialidade,
+           {NONE} AS codigo_especialidade, lattes_id
     FROM ({CV}) cv JOIN range(1, 10) r(n) ON n <= c_custkey % 4
     WHERE c_custkey % 9 <> 0
 """
@@ -269,7 +270,7 @@ def order_requests(spark, sf_dir):
 
 _ORDERS = """
     SELECT o_orderkey AS id, o_custkey AS customer, o_orderstatus AS status,
-           o_orderpriority AS priority, NULL AS absent
+           o_orderpriority AS priority, CAST(NULL AS VARCHAR) AS absent
     FROM orders
 """
 
@@ -364,9 +365,8 @@ def authors_to_bronze(spark, sf_dir):
     "works_to_bronze",
     f"""
     SELECT id, doi, display_name, title, n_chars AS cited_by_count, type,
-           CASE WHEN doc_id % 13 <> 0 AND doc_id % 17 <> 0 THEN source END AS abstract_source,
-           n_authors
-    FROM ({WORKS})
+           CASE WHEN doc_id % 17 <> 0 THEN abstract END AS abstract, n_authors
+    FROM ({WORKS_WITH_ABSTRACT})
     WHERE type IN ('book', 'book-chapter', 'article')
       AND EXISTS (SELECT 1 FROM supplier, range(5) r(place)
                   WHERE place < n_authors AND (doc_id + place) % 9 <> 0
@@ -378,22 +378,14 @@ def works_to_bronze(spark, sf_dir):
     lake = scratch_location(spark, "lake")
     authors = author_jobs.silver_authors(bronze_authors(spark, sf_dir), RUN_AT)
     snapshots.write_snapshot(authors, Lake(lake).silver_authors, DAY_1)
-    works = bronze_works(spark, sf_dir).where(F.col("type").isin(*work_jobs.WORK_TYPES))
-    # The service sends the index as a JSON map; a small one keeps the check readable.
-    has_index = F.col("abstract_inverted_index").startswith('{"') & ~F.contains(
-        "abstract_inverted_index", F.lit('{"cut"')
-    )
-    source = F.substring_index("title", "-", 1)
-    works = works.withColumn(
-        "abstract_inverted_index", F.when(has_index, F.create_map(source, F.array(F.lit(0))))
-    )
+    works = bronze_works(spark, sf_dir, encoded=False)
+    works = works.where(F.col("type").isin(*work_jobs.WORK_TYPES))
     served = works.select(
         "id",
         F.to_json(F.struct(*works.columns)).alias("record"),
         F.explode("authorships.author.id").alias("author"),
     ).select(F.substring_index("author", "/", -1).alias("key"), "id", "record")
     bronze = work_jobs.works_to_bronze(spark, lake, DAY_2, table_service(served, faults=True))
-    index = F.from_json("abstract_inverted_index", "map<string,array<bigint>>")
     return bronze.select(
         "id",
         "doi",
@@ -401,7 +393,7 @@ def works_to_bronze(spark, sf_dir):
         "title",
         "cited_by_count",
         "type",
-        F.map_keys(index)[0].alias("abstract_source"),
+        text_from_inverted_index(F.col("abstract_inverted_index")).alias("abstract"),
         F.coalesce(F.size("authorships"), F.lit(0)).cast("bigint").alias("n_authors"),
     )
 

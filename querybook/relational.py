@@ -232,7 +232,7 @@ def _works_as_text(silver):
     return silver.withColumns(
         {
             "palavras_chave": F.array_join("palavras_chave", "|", "<null>"),
-            "updated_at": F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"),
+            "updated_at": F.col("updated_at").cast("string"),
         }
     )
 
@@ -252,7 +252,7 @@ def works_silver(spark, sf_dir):
 )
 def authors_silver(spark, sf_dir):
     silver = silver_authors(bronze_authors(spark, sf_dir), RUN_AT)
-    return silver.withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
+    return silver.withColumn("updated_at", F.col("updated_at").cast("string"))
 
 
 @query(
@@ -295,7 +295,7 @@ def _researchers_as_text(silver):
     return silver.withColumns(
         {
             "data_atualizacao_lattes": F.col("data_atualizacao_lattes").cast("string"),
-            "updated_at": F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"),
+            "updated_at": F.col("updated_at").cast("string"),
         }
     )
 

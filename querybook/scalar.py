@@ -4,7 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from querybook.derived import index_from_text, table, text
+from querybook.derived import index_from_text, spread, table, text
 from querybook.registry import query
 from vitaelake import functions as V
 from vitaelake.operators.projection import add_if_absent, set_column, string_columns
@@ -140,7 +140,7 @@ def nested_fields(spark, sf_dir):
     """,
 )
 def inverted_index_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     index = docs.select("doc_id", V.encode_json(index_from_text(F.col("text"))).alias("index"))
     return index.select("doc_id", V.text_from_inverted_index(F.col("index")).alias("abstract"))
 
@@ -214,7 +214,7 @@ def run_timestamp_if_absent(spark, sf_dir):
     stamped = add_if_absent(stamped, "updated_at", V.run_timestamp(RUN_AT))
     return stamped.withColumns(
         {
-            name: F.date_format(name, "yyyy-MM-dd HH:mm:ss")
+            name: F.col(name).cast("string")
             for name in ("created_at", "updated_at")
         }
     )
@@ -229,4 +229,4 @@ def run_timestamp_overwrite(spark, sf_dir):
         "o_orderkey", text(F.col("o_orderdate")).alias("updated_at")
     )
     stamped = set_column(orders, "updated_at", V.run_timestamp(RUN_AT))
-    return stamped.withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
+    return stamped.withColumn("updated_at", F.col("updated_at").cast("string"))

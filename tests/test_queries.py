@@ -5,7 +5,7 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as spark_entry
-from check_oracles import TABLES, rows_of
+from check_oracles import TABLES, rows_of, types_of
 
 ORACLES = spark_entry.oracle_sql()
 
@@ -22,7 +22,7 @@ def db():
 def test_query_matches_sql(spark, db, name):
     df = spark_entry.queries()[name](spark, SF_DIR)
     relation = db.sql(ORACLES[name])
-    assert sorted(df.columns) == sorted(relation.columns)
+    assert types_of(df) == dict(zip(relation.columns, map(str, relation.dtypes)))
     got = rows_of(df.columns, [tuple(row) for row in df.collect()])
     assert got == rows_of(relation.columns, relation.fetchall())
 

@@ -140,7 +140,11 @@ CV_XML = T.StructType(
                         ),
                         "AREAS-DE-ATUACAO": T.StructType(
                             _children(
-                                **{"AREA-DE-ATUACAO": T.ArrayType(_strings(AREA_ATTRIBUTES.values()))}
+                                **{
+                                    "AREA-DE-ATUACAO": T.ArrayType(
+                                        _strings(AREA_ATTRIBUTES.values())
+                                    )
+                                }
                             )
                         ),
                     }
