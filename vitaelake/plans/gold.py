@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from vitaelake.functions import last_segment
 from vitaelake.operators.joins import HOT_KEY_ROWS, left_join
 from vitaelake.plans.lake import Lake
+from vitaelake.session import shuffles_sized_for
 from vitaelake.sources.snapshots import (
     guard_nonempty,
+    latest_location,
     read_latest,
     read_snapshot,
     write_snapshot,
@@ -58,5 +60,10 @@ def works_to_gold(
     works = read_latest(spark, lake.silver_works, day)
     if researchers is None or bridge is None or works is None:
         return None
-    write_snapshot(gold_works(researchers, bridge, works), lake.gold_works, run_date)
+    inputs = [
+        latest_location(spark, table, day)
+        for table in (lake.silver_researchers, lake.silver_bridge, lake.silver_works)
+    ]
+    with shuffles_sized_for(spark, *inputs):
+        write_snapshot(gold_works(researchers, bridge, works), lake.gold_works, run_date)
     return read_snapshot(spark, lake.gold_works, run_date)

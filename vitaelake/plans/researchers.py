@@ -10,8 +10,10 @@ from vitaelake.functions import parse_update_date, run_timestamp
 from vitaelake.operators.joins import HOT_KEY_ROWS, left_join
 from vitaelake.operators.projection import add_if_absent, select_rename
 from vitaelake.plans.lake import Lake
+from vitaelake.session import shuffles_sized_for
 from vitaelake.sources.snapshots import (
     guard_nonempty,
+    latest_location,
     read_latest,
     read_snapshot,
     write_snapshot,
@@ -55,6 +57,11 @@ def researchers_to_silver(
     authors = guard_nonempty(read_latest(spark, lake.silver_authors, day))
     if researchers is None or authors is None:
         return None
-    silver = silver_researchers(researchers, authors, at)
-    write_snapshot(silver, lake.silver_researchers, run_date)
+    inputs = [
+        latest_location(spark, table, day)
+        for table in (lake.bronze_researchers, lake.silver_authors)
+    ]
+    with shuffles_sized_for(spark, *inputs):
+        silver = silver_researchers(researchers, authors, at)
+        write_snapshot(silver, lake.silver_researchers, run_date)
     return read_snapshot(spark, lake.silver_researchers, run_date)

@@ -3,11 +3,18 @@
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 from types import ModuleType
 
 from pyspark.sql import SparkSession
 
+# A shuffle partition for every 256 MB of stored input; more than 100,000 would cost the driver
+# and the shuffle service more than the spilling they avoid.
+BYTES_PER_SHUFFLE_PARTITION = 256 << 20
+MOST_SHUFFLE_PARTITIONS = 100_000
+
 _shipped: set[tuple[str, str]] = set()
 
 
@@ -44,6 +51,40 @@ def scratch_location(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/vitaelake/{label}-{uuid.uuid4().hex}"
 
 
+def hadoop_path(spark: SparkSession, location: str):
+    """A path and the file system it lives on."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def stored_bytes(spark: SparkSession, *locations: str) -> int:
+    """Size of the files below the locations, from their listing; 0 for a missing one."""
+    total = 0
+    for location in locations:
+        path, files = hadoop_path(spark, location)
+        if files.exists(path):
+            total += files.getContentSummary(path).getLength()
+    return total
+
+
+@contextmanager
+def shuffles_sized_for(spark: SparkSession, *locations: str) -> Iterator[None]:
+    """Enough shuffle partitions for these inputs, for what is run inside.
+
+    Adaptive execution merges partitions that turn out small, but cannot split one that a
+    window or an aggregation finds too large, so their number must grow with the data. It is
+    never lowered below the session's own.
+    """
+    key = "spark.sql.shuffle.partitions"
+    own = spark.conf.get(key)
+    needed = -(-stored_bytes(spark, *locations) // BYTES_PER_SHUFFLE_PARTITION)
+    spark.conf.set(key, str(max(int(own), min(needed, MOST_SHUFFLE_PARTITIONS))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, own)
+
+
 def ship_packages(spark: SparkSession, *packages: ModuleType) -> None:
     """Let the tasks of a session import the packages, once per application.
 
