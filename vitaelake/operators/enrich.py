@@ -26,6 +26,7 @@ def conditional_enrich(
 
     Only distinct texts of that language reach the service, each once. ``translate`` takes at
     most ``per_call`` texts and returns as many. ``max_parallel`` bounds the concurrent calls.
+    Calls are made when the result is computed: write it once rather than compute it twice.
     """
     is_source = F.col(language) == source_language
     texts = df.where(is_source & F.col(text).isNotNull()).select(F.col(text).alias("_key"))

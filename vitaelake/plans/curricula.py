@@ -1,7 +1,9 @@
 """CV archives to the bronze researcher, education and area tables."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from vitaelake.operators import curriculum
 from vitaelake.plans.lake import Lake
 from vitaelake.session import scratch_location
 from vitaelake.sources.archive import read_archives
-from vitaelake.sources.snapshots import write_snapshot
+from vitaelake.sources.snapshots import Table, write_snapshot
 
 
 def stage_documents(spark: SparkSession, documents: DataFrame) -> DataFrame:
@@ -40,8 +42,13 @@ def curricula_to_bronze(
         lake.bronze_areas: curriculum.area_rows(staged),
         lake.bronze_rejects: curriculum.rejected(staged),
     }
-    return {
-        table.entity: write_snapshot(rows, table, run_date)
-        for table, rows in outputs.items()
-        if not rows.isEmpty()
-    }
+
+    @inheritable_thread_target(spark)
+    def write(table: Table) -> str | None:
+        rows = outputs[table]
+        return None if rows.isEmpty() else write_snapshot(rows, table, run_date)
+
+    # The outputs are independent, so the last tasks of one overlap the first of the next.
+    with ThreadPoolExecutor(len(outputs)) as pool:
+        folders = list(pool.map(write, outputs))
+    return {table.entity: folder for table, folder in zip(outputs, folders) if folder}

@@ -10,6 +10,8 @@ from types import ModuleType
 
 from pyspark.sql import SparkSession
 
+import vitaelake
+
 # A shuffle partition for every 256 MB of stored input; more than 100,000 would cost the driver
 # and the shuffle service more than the spilling they avoid.
 BYTES_PER_SHUFFLE_PARTITION = 256 << 20
@@ -19,7 +21,7 @@ _shipped: set[tuple[str, str]] = set()
 
 
 def spark_session(name: str = "vitaelake", master: str | None = None, **settings) -> SparkSession:
-    """A session with the settings the jobs count on; a cluster's own settings win."""
+    """A session with the settings the jobs count on, whose tasks can import this package."""
     builder = (
         SparkSession.builder.appName(name)
         .config("spark.sql.adaptive.enabled", "true")
@@ -33,7 +35,9 @@ def spark_session(name: str = "vitaelake", master: str | None = None, **settings
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_packages(session, vitaelake)
+    return session
 
 
 def scratch_location(spark: SparkSession, label: str) -> str:
