@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import vitaelake
-from vitaelake.llm import decontamination, quality_rules
-from vitaelake.session import ship_packages
+from vitaelake.llm import decontamination, ngram_join, orc_tokens, packing, quality_rules, suffix_dedup
+from vitaelake.session import scratch_location, ship_packages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -100,3 +106,34 @@ FROM judged j LEFT JOIN lost ON j.doc_id = lost.doc_id
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document."""
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
+
+
+@query("op5_cost_balanced_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document and their places in the sequences."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+@query("op8_orc_token_ids")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written as ORC and read back."""
+    location = scratch_location(spark, "orc-tokens")
+    orc_tokens.write_documents(table(spark, sf_dir, "documents"), location, tokenizer_file())
+    return orc_tokens.document_places(spark, location)
+
+
+@query("op9_ngram_jaccard_join")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of alike 3-word shingle sets."""
+    return ngram_join.components(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
+@query("op7_suffix_array_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages that start earlier."""
+    cut = suffix_dedup.cut_documents(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
