@@ -7,7 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import vitaelake
-from vitaelake.llm import decontamination, ngram_join, orc_tokens, packing, quality_rules, suffix_dedup
+from vitaelake.llm import (
+    chat_quotes,
+    decontamination,
+    html_blocks,
+    ngram_join,
+    orc_tokens,
+    packing,
+    quality_rules,
+    quality_trees,
+    suffix_dedup,
+    toxicity,
+)
 from vitaelake.session import scratch_location, ship_packages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +148,31 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.score_toxicity(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+@query("op6_quality_trees")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_trees.score_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+@query("op4_quotation_linking")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message with the one it replies to, its thread, and its text without quotes."""
+    return chat_quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
+@query("op3_html_extraction")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
