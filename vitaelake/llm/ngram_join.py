@@ -27,7 +27,6 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -269,77 +268,135 @@ def keep_wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, component, text) -> tile, node, component, size, bitmap."""
-    names = ["tile", "node", "component", "size", "bits"]
+WIDTH = 2048
+
+
+def tile_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, text) -> tile, node."""
     for batch in batches:
-        texts = utf8(batch.column(2), fold=True)
-        nodes, components = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        for first, last in batches_of(texts, 1 << 18):
+        texts, nodes = utf8(batch.column(1), fold=True), batch.column(0).to_numpy()
+        for first, last in batches_of(texts):
             keys, bounds = shingle_sets(texts[first:last])
             owner, found = tiles(keys, bounds)
-            own = owner + first
-            sizes = np.diff(bounds)
-            # The same width for all sizes that may be compared: bits folds to any smaller one.
+            yield arrow_rows(["tile", "node"], found.view(np.int64), nodes[owner + first])
+
+
+def node_bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, text) -> node, size, bits."""
+    for batch in batches:
+        texts, nodes = utf8(batch.column(1), fold=True), batch.column(0).to_numpy()
+        for first, last in batches_of(texts):
+            keys, bounds = shingle_sets(texts[first:last])
             maps = [
-                bitmap(keys[bounds[at] : bounds[at + 1]], WIDTH).tobytes() for at in range(len(sizes))
+                bitmap(keys[bounds[at] : bounds[at + 1]], WIDTH).tobytes()
+                for at in range(last - first)
             ]
-            yield arrow_rows(
-                names, found.view(np.int64), nodes[own], components[own],
-                sizes[owner].astype(np.int64), [maps[at] for at in owner],
-            )
+            yield arrow_rows(["node", "size", "bits"], nodes[first:last], np.diff(bounds), maps)
 
 
-WIDTH = 2048
+def possible_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of (tile, low, high) -> pairs of different components in a tile's block pair
+    whose bit counts do not rule a link out. A block pair is bounded, so its rows are held."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = np.stack([batch.column(at).to_numpy() for at in range(3)])
+        if not keys.shape[1]:
+            continue
+        changes = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        if held:
+            before = [held[-1].column(at)[len(held[-1]) - 1].as_py() for at in range(3)]
+            if (keys[:, 0] != before).any():
+                changes = np.append(0, changes)
+        if len(changes):
+            last = int(changes[-1])
+            yield compare_rows([*held, batch.slice(0, last)])
+            held = [batch.slice(last)]
+        else:
+            held.append(batch)
+    if held:
+        yield compare_rows(held)
+
+
+def compare_rows(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+    table = pa.Table.from_batches([one for one in rows if len(one)])
+    tile, low, high, side, node, component, size = (
+        table.column(at).to_numpy() for at in range(7)
+    )
+    bits = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint64).reshape(len(tile), -1)
+    opens = np.ones(len(tile), bool)
+    opens[1:] = (tile[1:] != tile[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    group = np.cumsum(opens)
+    ones, others = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    first = np.arange(len(tile))
+    for step in range(1, len(tile)):
+        first = first[: np.searchsorted(first, len(tile) - step)]
+        first = first[group[first] == group[first + step]]
+        if not len(first):
+            break
+        facing = (side[first] != side[first + step]) | (side[first] == 2)
+        here = first[facing & (component[first] != component[first + step])]
+        there = here + step
+        needed = -(-LIMIT * (size[here] + size[there]) // (100 + LIMIT))
+        lost = np.bitwise_count(bits[here] & ~bits[there]).sum(axis=1, dtype=np.int64)
+        back = np.bitwise_count(bits[there] & ~bits[here]).sum(axis=1, dtype=np.int64)
+        able = np.minimum(size[here] - lost, size[there] - back) >= needed
+        ones.append(node[here[able]])
+        others.append(node[there[able]])
+    pairs = np.stack([np.concatenate(ones), np.concatenate(others)])
+    pairs = np.unique(np.sort(pairs, axis=0), axis=1)
+    return arrow_rows(["a", "b"], pairs[0], pairs[1])
+
+
+def mixed_tiles(members: DataFrame) -> DataFrame:
+    """Tiles of (tile, node, component) rows that hold more than one component."""
+    counts = members.groupBy("tile").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.min("component").alias("least"),
+        F.max("component").alias("greatest"),
+    )
+    return counts.where("least <> greatest").select("tile", "members")
 
 
-def compare_block(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components whose bit counts do not rule a link out, between the two
-    halves of a tile's block (or within it, if there is one)."""
-    ones, others = [], []
-    bits = np.stack([np.frombuffer(one, np.uint64) for one in rows["bits"]])
-    node, component = rows["node"].to_numpy(), rows["component"].to_numpy()
-    size, side = rows["size"].to_numpy(), rows["side"].to_numpy()
-    for at in range(len(rows)):
-        rest = np.flatnonzero((component != component[at]) & ((side != side[at]) | (side == 2)))
-        rest = rest[rest > at]
-        needed = -(-LIMIT * (size[at] + size[rest]) // (100 + LIMIT))
-        most = size[at] - np.bitwise_count(bits[at] & ~bits[rest]).sum(axis=1).astype(np.int64)
-        back = size[rest] - np.bitwise_count(bits[rest] & ~bits[at]).sum(axis=1).astype(np.int64)
-        rest = rest[np.minimum(most, back) >= needed]
-        ones.append(np.full(len(rest), node[at]))
-        others.append(node[rest])
-    one, other = np.concatenate(ones), np.concatenate(others)
-    return pd.DataFrame({"a": np.minimum(one, other), "b": np.maximum(one, other)})
-
-
-def rest_pairs(touched: DataFrame) -> DataFrame:
-    """Candidate pairs across components, of (node, component, text) rows: block by block."""
-    rows = touched.mapInArrow(
-        block_rows, "tile long, node long, component long, size long, bits binary"
+def hub_pairs(members: DataFrame) -> DataFrame:
+    """Each member of a mixed tile with the tile's hub: the member that meets most others in all
+    its tiles, such as the original of many edited copies."""
+    placed = members.join(mixed_tiles(members), "tile")
+    degrees = placed.groupBy("node").agg(F.sum("members").alias("degree"))
+    ranked = placed.join(degrees, "node")
+    hubs = ranked.groupBy("tile").agg(
+        F.max(F.struct("degree", "node", "component")).alias("hub")
     )
-    counts = rows.groupBy("tile").agg(
-        F.count(F.lit(1)).alias("members"),
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
+    return (
+        ranked.join(hubs, "tile")
+        .where(F.col("component") != F.col("hub.component"))
+        .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+        .distinct()
     )
-    mixed_tiles = counts.where("low <> high").select(
+
+
+def block_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """All pairs across components in mixed tiles that bit counts do not rule out, found block by
+    block: a tile's members are dealt to blocks, and each task row meets one pair of blocks."""
+    tiles_left = mixed_tiles(members).select(
         "tile", F.ceil(F.col("members") / BLOCK).cast("long").alias("blocks")
     )
-    placed = rows.join(mixed_tiles, "tile").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks"))
-    )
+    placed = members.join(tiles_left, "tile")
+    bits = texts.join(placed.select("node").distinct(), "node", "left_semi").select("node", "text")
+    placed = placed.join(
+        bits.mapInArrow(node_bitmaps, "node long, size long, bits binary"), "node"
+    ).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     spread = placed.select("*", other).select(
-        "tile", "node", "component", "size", "bits",
+        "tile",
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
         F.when(F.col("block") == F.col("other"), 2)
-        .otherwise(F.when(F.col("block") < F.col("other"), 0).otherwise(1)).alias("side"),
+        .otherwise(F.when(F.col("block") < F.col("other"), 0).otherwise(1))
+        .alias("side"),
+        "node", "component", "size", "bits",
     )
-    # Members of a block are compared with each other once, in the block's own pairing.
-    found = spread.groupBy("tile", "low", "high").applyInPandas(compare_block, "a long, b long")
-    return found.distinct()
+    ordered = spread.repartition("tile", "low", "high").sortWithinPartitions("tile", "low", "high")
+    return ordered.mapInArrow(possible_pairs, "a long, b long").distinct()
 
 
 def judged(spark, pairs: DataFrame, texts: DataFrame, label: str) -> DataFrame:
@@ -380,25 +437,8 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     verdicts = judged(spark, pairs, texts, "judged")
     links = verdicts.where("linked").select("a", "b")
     labels = connected_components(spark, links)
-    misses = verdicts.where("not linked").select("a", "b")
-    if not misses.isEmpty():
-        # Nodes without a link are components of their own.
-        all_labels = ends.join(labels, "node", "left").select(
-            "node", F.coalesce("component", "node").alias("component")
-        )
-        hit = (
-            misses.select(F.explode(F.array("a", "b")).alias("node"))
-            .distinct()
-            .join(all_labels, "node")
-            .select("component")
-            .distinct()
-        )
-        touched = all_labels.join(hit, "component", "left_semi").join(texts, "node")
-        more = rest_pairs(touched.select("node", "component", "text"))
-        more = staged(spark, more.join(misses, ["a", "b"], "left_anti"), "more-pairs")
-        if not more.isEmpty():
-            again = judged(spark, more, texts, "judged-again").where("linked").select("a", "b")
-            labels = connected_components(spark, links.unionByName(again))
+    if not verdicts.where("not linked").isEmpty():
+        labels = settle_misses(spark, ends, texts, verdicts, labels)
 
     named_sets = smallest.join(labels, "node", "left").select(
         "node", "first_id", F.coalesce("component", "node").alias("component")
@@ -417,6 +457,46 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     )
 
 
+def settle_misses(
+    spark, ends: DataFrame, texts: DataFrame, verdicts: DataFrame, labels: DataFrame
+) -> DataFrame:
+    """The components once every pair that shares a tile has been compared or is connected.
+
+    First each tile's hub is tried, which connects the edited copies of one original; what is
+    still apart is then compared in full.
+    """
+    # Nodes without a link are components of their own.
+    every = ends.join(labels, "node", "left").select(
+        "node", F.coalesce("component", "node").alias("component")
+    )
+    touched = (
+        verdicts.where("not linked")
+        .select(F.explode(F.array("a", "b")).alias("node"))
+        .distinct()
+        .join(every, "node")
+        .select("component")
+        .distinct()
+    )
+    open_nodes = staged(spark, every.join(touched, "component", "left_semi").select("node"), "open")
+    members = staged(
+        spark,
+        texts.join(open_nodes, "node", "left_semi")
+        .select("node", "text")
+        .mapInArrow(tile_nodes, "tile long, node long"),
+        "members",
+    )
+    for candidates in (hub_pairs, lambda rows: block_pairs(rows, texts)):
+        placed = members.join(labels, "node", "left").select(
+            "tile", "node", F.coalesce("component", "node").alias("component")
+        )
+        pairs = candidates(placed).join(verdicts.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = staged(spark, pairs, "more-pairs")
+        if not pairs.isEmpty():
+            verdicts = verdicts.unionByName(judged(spark, pairs, texts, "judged"))
+            labels = connected_components(spark, verdicts.where("linked").select("a", "b"))
+    return labels
+
+
 def keep_one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The document with the smallest doc_id of each component; all columns of the input.
 
