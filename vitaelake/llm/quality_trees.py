@@ -105,7 +105,7 @@ def fit(
     """Boosted trees; a node splits where the binned gradients gain most."""
     width, inner = rows.shape[1], 2**depth - 1
     share = labels.mean() if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         share = min(max(share, 1e-3), 1 - 1e-3)
         trees = 0
     start = float(np.log(share / (1 - share)))
@@ -168,9 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", **names: s
     """Fitted on a bounded sample of labelled rows that are not held out."""
     sample = training_rows(docs, labels, label, **names)
     table = sample.mapInArrow(statistics_rows, "label int, statistics array<double>").toArrow()
-    rows = table["statistics"].combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
-    if not table.num_rows:
-        rows = np.zeros((0, STATISTICS))
+    rows = table["statistics"].combine_chunks().flatten().to_numpy().reshape(-1, STATISTICS)
     return fit(rows, table["label"].to_numpy().astype(float))
 
 

@@ -3,8 +3,8 @@
 The vocabulary drops white space and splits before it merges, so a text's ids are its words' ids
 one after the other. Each distinct word (by a 64-bit hash of its bytes, A to Z lower-cased) is
 encoded once per worker and looked up afterwards; the ids are those of the whole text, at a small
-part of the time. A text that may hold a special token's string is encoded whole, as case matters
-in it.
+part of the time. A text in which case matters (a special token's string, combining marks) is
+encoded whole.
 """
 
 import numpy as np
@@ -13,8 +13,8 @@ from tokenizers import Tokenizer
 from vitaelake.llm.wordarrays import LOWER, batches_of, cut_words
 
 # Words remembered by one worker; beyond that it starts afresh, so its memory stays bounded.
-KNOWN = 2_000_000
-STEMS = 600_000
+KNOWN = 800_000
+STEMS = 200_000
 
 _TAILS = frozenset(",.!?;:")
 
@@ -24,7 +24,7 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.stems: dict[str, list[int]] = {}
+        self.stems: dict[str, bytes] = {}  # ids as 32-bit integers
         self.letters: dict[str, str] = {}
         self._clear()
 
@@ -37,18 +37,18 @@ class WordEncoder:
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def word_ids(self, word: str) -> list[int]:
+    def word_ids(self, word: str) -> bytes:
         """Ids of a word: a final mark after a letter is a token of its own."""
         if len(word) > 1 and word[-1] in _TAILS and word[-2].isalpha():
             return self.stem_ids(word[:-1]) + self.stem_ids(word[-1])
         return self.stem_ids(word)
 
-    def stem_ids(self, stem: str) -> list[int]:
+    def stem_ids(self, stem: str) -> bytes:
         ids = self.stems.get(stem)
         if ids is None:
             if len(self.stems) >= STEMS:
                 self.stems.clear()
-            ids = self.stems[stem] = self._encode_stem(stem)
+            ids = self.stems[stem] = np.array(self._encode_stem(stem), np.int32).tobytes()
         return ids
 
     def _encode_stem(self, stem: str) -> list[int]:
@@ -70,13 +70,13 @@ class WordEncoder:
     def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
         """Adds words whose hashes, ascending, are not known yet."""
         ids = [self.word_ids(word.decode()) for word in words]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         places = len(self.flat) + np.cumsum(sizes) - sizes
         at = np.searchsorted(self.known, hashes)
         self.known = np.insert(self.known, at, hashes)
         self.places = np.insert(self.places, at, places)
         self.sizes = np.insert(self.sizes, at, sizes)
-        self.flat = np.concatenate([self.flat, np.fromiter((i for row in ids for i in row), np.int32)])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), np.int32)])
 
     def encode_batch(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all the texts (UTF-8), one after the other, and where each text's begin."""
