@@ -73,8 +73,10 @@ def record_merge(spark, sf_dir):
 @query(
     "sort_nulls_last",
     """
-    SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority
-    FROM orders ORDER BY priority NULLS LAST, o_orderkey
+    SELECT o_orderkey, priority,
+           row_number() OVER (ORDER BY priority NULLS LAST, o_orderkey) AS position
+    FROM (SELECT o_orderkey,
+                 CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority FROM orders)
     """,
 )
 def sort_nulls_last(spark, sf_dir):
@@ -82,7 +84,7 @@ def sort_nulls_last(spark, sf_dir):
         "o_orderkey",
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("priority"),
     )
-    return dedup.sort_nulls_last(orders, "priority", "o_orderkey")
+    return dedup.sorted_positions(orders, "priority", "o_orderkey")
 
 
 @query(
@@ -353,7 +355,7 @@ def semi_join_pushdown(spark, sf_dir):
     WITH keys AS (SELECT DISTINCT 'https://orcid.example.org/' || o_custkey AS key
                   FROM orders WHERE o_custkey % 4 <> 3),
          numbered AS (SELECT key, row_number() OVER (
-                        ORDER BY CAST('0x' || substr(md5(key), 1, 8) AS BIGINT) % 256, key) AS n
+                        ORDER BY CAST('0x' || substr(md5(key), 1, 8) AS BIGINT), key) AS n
                       FROM keys)
     SELECT (n - 1) // 50 AS batch, string_agg(key, '|' ORDER BY key) AS batch_keys,
            count(*) AS batch_size

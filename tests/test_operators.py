@@ -104,11 +104,10 @@ JOINED = [
 ]
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1, 1_000_000])
-def test_left_join(spark, hot_rows):
+def test_left_join(spark):
     left = spark.createDataFrame(LEFT, "id INT, k STRING")
     right = spark.createDataFrame(RIGHT, "k STRING, v INT")
-    out = joins.left_join(left, right, "k", ["id"], hot_rows)
+    out = joins.left_join(left, right, "k")
     assert out.columns == ["id", "k", "v"]
     assert rows(out) == sorted(JOINED, key=repr)
 
@@ -130,32 +129,41 @@ def test_left_join_with_hot_right_key(spark, broadcast):
         )
         left = spark.createDataFrame([(i % 60, i) for i in range(200)] + [(None, -1)], "k INT, w INT")
         plain = left.join(right, "k", "left").select("k", "w", "v")
-        salted = joins.left_join(left, right, "k", ["w"], hot_rows=100)
+        salted = joins.left_join(left, right, "k")
         assert rows(salted) == rows(plain)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_hot_keys_are_split_over_salts(spark):
-    right = spark.range(3000).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id")).alias("k"), "id")
-    salt = F.pmod(F.xxhash64("id"), F.lit(64))
-    hot = joins.hot_key_salts(right, "k", salt, hot_rows=100)
-    assert list(hot) == [7] and len(hot[7]) > 50
+def test_left_join_with_equal_right_rows_and_unique_keys(spark):
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "id INT, k STRING")
+    right = spark.createDataFrame([("a", 5)] * 300, "k STRING, v INT")
+    assert rows(joins.left_join(left, right, "k")) == rows(
+        left.join(right, "k", "left").select("id", "k", "v")
+    )
+    once = right.distinct()
+    assert rows(joins.left_join(left, once, "k", unique_right=True)) == [
+        (1, "a", 5), (2, None, None), (3, "b", None)
+    ]
 
 
-def test_null_keys_are_spread(spark):
-    """Null left keys must not share one hash partition."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_building_a_left_join_runs_no_job(spark):
+    left = spark.createDataFrame(LEFT, "id INT, k STRING")
+    right = spark.createDataFrame(RIGHT, "k STRING, v INT")
+    spark.sparkContext.setJobGroup("building", "left join")
     try:
-        left = spark.range(1000).select("id", F.when(F.col("id") > 990, "a").alias("k"))
-        right = spark.createDataFrame(RIGHT, "k STRING, v INT")
-        out = joins.left_join(left, right, "k", ["id"])
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        exchanges = [line for line in plan.splitlines() if "hashpartitioning" in line]
-        assert len(exchanges) == 2 and all("_salt" in line for line in exchanges)
-        assert out.count() == 1000
+        joins.left_join(left, right, "k")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 64])
+def test_numbers_do_not_depend_on_buckets(spark, buckets):
+    df = spark.range(500).select(F.col("id").cast("string").alias("key"))
+    assert rows(keys.number_rows(df, "key", "n", buckets=buckets)) == rows(
+        keys.number_rows(df, "key", "n")
+    )
 
 
 def test_duplicate_keys(spark):

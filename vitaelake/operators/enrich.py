@@ -47,6 +47,6 @@ def conditional_enrich(
         .mapInArrow(translate_batches, "_key STRING, _translated STRING")
     )
     keyed = df.withColumn("_key", F.when(is_source, F.col(text)))
-    joined = left_join(keyed, dictionary, "_key", spread_by, hot_rows=None)
+    joined = left_join(keyed, dictionary, "_key", unique_right=True)
     result = F.when(is_source, F.col("_translated")).otherwise(F.col(text))
     return joined.withColumn(output, result).drop("_key", "_translated")

@@ -1,35 +1,8 @@
 """Left join and semi-join that hold when one key owns a large share of either side."""
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitaelake.operators.projection import row_hash
-
-NULL_KEY_SALTS = 256
-HOT_KEY_SALTS = 64
-HOT_KEY_ROWS = 1_000_000
-HOT_KEYS = 1000
-
-
-def hot_key_salts(
-    df: DataFrame, key: str, salt: Column, hot_rows: int = HOT_KEY_ROWS
-) -> dict[object, list[int]]:
-    """The most frequent keys with more than ``hot_rows`` rows, and the salts those rows fall on.
-
-    At most 1000 keys, so the result is small at any scale; any key after those holds less than
-    a thousandth of the table. Reads the key column alone, and more only if a key is hot.
-    """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
-    hottest = counts.where(F.col("rows") > hot_rows).orderBy(F.col("rows").desc()).limit(HOT_KEYS)
-    keys = [row[key] for row in hottest.collect()]
-    if not keys:
-        return {}
-    cells = df.where(F.col(key).isin(keys)).select(key, salt.alias("salt")).distinct()
-    salts = cells.groupBy(key).agg(F.sort_array(F.collect_list("salt")).alias("salts"))
-    return {row[key]: row["salts"] for row in salts.collect()}
-
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Non-null keys that occur more than once, with their row counts: each fans a join out."""
@@ -38,52 +11,37 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def left_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    spread_by: Sequence[str] | None = None,
-    hot_rows: int | None = HOT_KEY_ROWS,
+    left: DataFrame, right: DataFrame, key: str, unique_right: bool = False
 ) -> DataFrame:
     """Left equi-join on one column of the same name: exact match, null never matches, several
     matches fan out. A right column named like a left one gets the suffix ``_right``.
 
-    Skew is spread three ways. Null left keys match nothing, so they are salted by a hash of
-    the row (of ``spread_by``) instead of meeting in one task. A key with more than
-    ``hot_rows`` rows on the right is split by salt, its left rows being repeated once per salt
-    that really occurs, so the result is the same; ``None`` skips the search for such keys,
-    for a right side whose keys are unique. A left key with very many rows is split by adaptive
-    execution, which can split the preserved side. Whether to broadcast is left to measured
-    sizes: no hint is given.
+    Built without running a job, and without a limit on how many keys may be hot. Rows with a
+    null key match nothing and bypass the join. The others are an inner join, of which adaptive
+    execution may split both sides, and the rows whose key the right side does not have: those
+    are found against its distinct keys, which are combined before the shuffle. With
+    ``unique_right`` (no key twice on the right) a plain left join serves, as its hot keys are
+    on the left, which can be split. Whether to broadcast is left to measured sizes.
     """
     clashes = set(left.columns) & set(right.columns) - {key}
     right = right.withColumnsRenamed({name: f"{name}_right" for name in clashes})
-    columns = left.columns + [name for name in right.columns if name != key]
-    key_value = F.col(f"`{key}`")
-    null_salt = F.pmod(row_hash(left, spread_by), F.lit(NULL_KEY_SALTS)).cast("int")
-    hot_salt = F.pmod(row_hash(right, None), F.lit(HOT_KEY_SALTS)).cast("int")
-    hot = hot_key_salts(right, key, hot_salt, hot_rows) if hot_rows is not None else {}
-    # Always 0, yet not a constant: a constant would be folded out of the join keys, and the
-    # null keys would meet in one task again.
-    plain_salt = F.pmod(F.hash(key_value), F.lit(1))
-    if hot:
-        salts_of = F.create_map(
-            *[
-                part
-                for value, salts in hot.items()
-                for part in (F.lit(value), F.array(*[F.lit(salt) for salt in salts]))
-            ]
-        )
-        salts = F.when(key_value.isNull(), F.array(null_salt)).otherwise(
-            F.coalesce(F.try_element_at(salts_of, key_value), F.array(F.lit(0)))
-        )
-        left = left.withColumn("_salt", F.explode(salts))
-        is_hot = key_value.isin(list(hot))
-        right = right.withColumn("_salt", F.when(is_hot, hot_salt).otherwise(plain_salt))
+    columns = [f"`{name}`" for name in left.columns]
+    columns += [f"`{name}`" for name in right.columns if name != key]
+    value = F.col(f"`{key}`")
+    keyed, right = left.where(value.isNotNull()), right.where(value.isNotNull())
+    nothing = [
+        F.lit(None).cast(field.dataType).alias(field.name)
+        for field in right.schema
+        if field.name != key
+    ]
+    without = left.where(value.isNull())
+    if unique_right:
+        matched = keyed.join(right, key, "left").select(*columns)
     else:
-        left = left.withColumn("_salt", F.when(key_value.isNull(), null_salt).otherwise(0))
-        right = right.withColumn("_salt", plain_salt)
-    right = right.where(key_value.isNotNull())
-    return left.join(right, [key, "_salt"], "left").select(*[f"`{name}`" for name in columns])
+        matched = keyed.join(right, key).select(*columns)
+        unmatched = keyed.join(right.select(value).distinct(), key, "left_anti")
+        matched = matched.unionByName(unmatched.select("*", *nothing).select(*columns))
+    return matched.unionByName(without.select("*", *nothing).select(*columns))
 
 
 def semi_join(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:

@@ -30,7 +30,8 @@ def stage_documents(spark: SparkSession, documents: DataFrame) -> DataFrame:
 def curricula_to_bronze(
     spark: SparkSession, archives: str, base: str, run_date: date, pattern: str = "*.zip"
 ) -> dict[str, str]:
-    """Landing to bronze; gives the folders written. Empty tables are not written.
+    """Landing to bronze; gives the folders written. An empty table is an empty snapshot, so a
+    rerun of a day leaves nothing of the run before.
 
     Unreadable documents go to the ``rejects`` table with the reason; the others go on.
     """
@@ -44,11 +45,10 @@ def curricula_to_bronze(
     }
 
     @inheritable_thread_target(spark)
-    def write(table: Table) -> str | None:
-        rows = outputs[table]
-        return None if rows.isEmpty() else write_snapshot(rows, table, run_date)
+    def write(table: Table) -> str:
+        return write_snapshot(outputs[table], table, run_date)
 
     # The outputs are independent, so the last tasks of one overlap the first of the next.
     with ThreadPoolExecutor(len(outputs)) as pool:
         folders = list(pool.map(write, outputs))
-    return {table.entity: folder for table, folder in zip(outputs, folders) if folder}
+    return {table.entity: folder for table, folder in zip(outputs, folders)}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitaelake.functions import last_segment
-from vitaelake.operators.joins import HOT_KEY_ROWS, left_join
+from vitaelake.operators.joins import left_join
 from vitaelake.plans.lake import Lake
 from vitaelake.session import shuffles_sized_for
 from vitaelake.sources.snapshots import (
@@ -18,12 +18,7 @@ from vitaelake.sources.snapshots import (
 )
 
 
-def gold_works(
-    researchers: DataFrame,
-    bridge: DataFrame,
-    works: DataFrame,
-    hot_rows: int | None = HOT_KEY_ROWS,
-) -> DataFrame:
+def gold_works(researchers: DataFrame, bridge: DataFrame, works: DataFrame) -> DataFrame:
     """One row per researcher and work; a researcher without works keeps one row.
 
     The bridge holds full author URLs and the researchers short ids, so the bridge side is
@@ -45,8 +40,8 @@ def gold_works(
         "journal_name",
         "qtd_citacoes_producao",
     )
-    authored = left_join(who, wrote, "openalex_id", ["lattes_id"], hot_rows)
-    return left_join(authored, what, "openalex_producao_id", ["lattes_id"], hot_rows)
+    authored = left_join(who, wrote, "openalex_id")
+    return left_join(authored, what, "openalex_producao_id")
 
 
 def works_to_gold(

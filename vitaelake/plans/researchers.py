@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vitaelake import schemas as S
 from vitaelake.functions import parse_update_date, run_timestamp
-from vitaelake.operators.joins import HOT_KEY_ROWS, left_join
+from vitaelake.operators.joins import left_join
 from vitaelake.operators.projection import add_if_absent, select_rename
 from vitaelake.plans.lake import Lake
 from vitaelake.session import shuffles_sized_for
@@ -19,18 +19,17 @@ from vitaelake.sources.snapshots import (
     write_snapshot,
 )
 
+# The metrics a researcher gets.
 METRIC_COLUMNS = [
     "openalex_id", "orcid_id", "indice_h", "indice_i10", "qtd_producoes",
     "qtd_citacoes_pesquisador",
 ]
 
 
-def add_author_metrics(
-    researchers: DataFrame, authors: DataFrame, hot_rows: int | None = HOT_KEY_ROWS
-) -> DataFrame:
+def add_author_metrics(researchers: DataFrame, authors: DataFrame) -> DataFrame:
     """Researchers with the metrics of the author of the same ORCID text, null without one."""
     metrics = authors.select(*METRIC_COLUMNS)
-    return left_join(researchers, metrics, "orcid_id", ["lattes_id"], hot_rows)
+    return left_join(researchers, metrics, "orcid_id")
 
 
 def silver_researchers(

@@ -12,10 +12,8 @@ from pyspark.sql import SparkSession
 
 import vitaelake
 
-# A shuffle partition for every 256 MB of stored input; more than 100,000 would cost the driver
-# and the shuffle service more than the spilling they avoid.
+# A shuffle partition for every 256 MB of stored input.
 BYTES_PER_SHUFFLE_PARTITION = 256 << 20
-MOST_SHUFFLE_PARTITIONS = 100_000
 
 _shipped: set[tuple[str, str]] = set()
 
@@ -82,7 +80,7 @@ def shuffles_sized_for(spark: SparkSession, *locations: str) -> Iterator[None]:
     key = "spark.sql.shuffle.partitions"
     own = spark.conf.get(key)
     needed = -(-stored_bytes(spark, *locations) // BYTES_PER_SHUFFLE_PARTITION)
-    spark.conf.set(key, str(max(int(own), min(needed, MOST_SHUFFLE_PARTITIONS))))
+    spark.conf.set(key, str(max(int(own), needed)))
     try:
         yield
     finally:
