@@ -39,7 +39,7 @@ WORDS = 3
 # Two sets are linked when LIMIT * |union| <= 100 * |intersection|.
 LIMIT = 90
 # Tile rows a task holds before it pairs them; documents of a block compared in one task.
-HELD_ROWS = 2_000_000
+HELD_ROWS = 500_000
 BLOCK = 256
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 

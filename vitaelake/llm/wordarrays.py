@@ -16,7 +16,7 @@ SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 
 # Texts hashed at a time; one longer text is hashed alone.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 512 << 10
 
 _random = np.random.default_rng(20240524)
 _VALUES = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
