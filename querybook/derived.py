@@ -74,7 +74,8 @@ def index_from_text(words_text: Column) -> Column:
 
 
 def author_number(key: Column, place: Column) -> Column:
-    return (key * 7 + place * 3) % 50
+    """Numbers over the suppliers' keys, of which there are a tenth as many as documents."""
+    return F.floor(key / 10) + place * 3
 
 
 def authorships(key: Column, source: Column, lang: Column) -> Column:
@@ -131,7 +132,7 @@ def bronze_works(spark: SparkSession, sf_dir: str, encoded: bool = True) -> Data
     )
     return docs.select(
         text(API + "W", key).alias("id"),
-        F.when(key % 3 != 0, text("https://doi.example.org/", key % 50)).alias("doi"),
+        F.when(key % 3 != 0, text("https://doi.example.org/", F.floor(key / 4))).alias("doi"),
         F.when(key % 11 != 0, body).alias("display_name"),
         text(source, "-", key).alias("title"),
         (key % 35 + 1990).alias("publication_year"),
@@ -304,7 +305,7 @@ def cv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_archives(documents: DataFrame, folder: str, archives: int = 8) -> None:
+def write_archives(documents: DataFrame, folder: str) -> None:
     """Pack documents (``entry``, ``xml``) into zip files, one per task, each with a stray
     non-XML entry. A retried task writes the same file again."""
 
@@ -325,5 +326,5 @@ def write_archives(documents: DataFrame, folder: str, archives: int = 8) -> None
                     count += 1
         yield pa.RecordBatch.from_pydict({"documents": [count]})
 
-    packed = documents.repartition(archives, "entry").mapInArrow(pack, "documents BIGINT")
+    packed = documents.mapInArrow(pack, "documents BIGINT")
     packed.write.format("noop").mode("overwrite").save()

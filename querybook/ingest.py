@@ -268,6 +268,44 @@ def order_requests(spark, sf_dir):
     )
 
 
+@query(
+    "page_requests",
+    """
+    WITH numbered AS (SELECT key, row_number() OVER (
+                        ORDER BY CAST('0x' || substr(md5(key), 1, 8) AS BIGINT), key) AS n
+                      FROM (SELECT CAST(c_custkey AS VARCHAR) AS key FROM customer))
+    SELECT '/orders' AS endpoint, 'customer:' || string_agg(key, '|' ORDER BY key) AS "filter",
+           'id,customer,status,priority' AS "select", 100 AS per_page,
+           CAST(1 AS BIGINT) AS page
+    FROM numbered GROUP BY (n - 1) // 50
+    """,
+)
+def page_requests(spark, sf_dir):
+    """The first request of each batch of keys: its filter, field list and page."""
+    return order_requests(spark, sf_dir)
+
+
+@query(
+    "page_meta_count",
+    """
+    SELECT c_custkey, count(o_orderkey) AS total,
+           CAST(ceil(count(o_orderkey) / 10.0) AS BIGINT) AS pages
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey
+    """,
+)
+def page_meta_count(spark, sf_dir):
+    """Page bodies that report their count; customers without orders report none."""
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey"))
+    counts = table(spark, sf_dir, "customer").select("c_custkey")
+    counts = counts.join(orders.agg(F.count("*").alias("n")), "c_custkey", "left")
+    meta = F.coalesce(text('"meta":{"count":', F.col("n"), "},"), F.lit(""))
+    bodies = counts.select("c_custkey", text("{", meta, '"results":[]}').alias("body"))
+    total = paging.meta_count(F.col("body"))
+    return bodies.select(
+        "c_custkey", total.alias("total"), paging.page_count(total, 10).alias("pages")
+    )
+
+
 _ORDERS = """
     SELECT o_orderkey AS id, o_custkey AS customer, o_orderstatus AS status,
            o_orderpriority AS priority, CAST(NULL AS VARCHAR) AS absent
@@ -370,7 +408,7 @@ def authors_to_bronze(spark, sf_dir):
     WHERE type IN ('book', 'book-chapter', 'article')
       AND EXISTS (SELECT 1 FROM supplier, range(5) r(place)
                   WHERE place < n_authors AND (doc_id + place) % 9 <> 0
-                    AND s_suppkey = (doc_id * 7 + place * 3) % 50)
+                    AND s_suppkey = doc_id // 10 + place * 3)
     """,
 )
 def works_to_bronze(spark, sf_dir):

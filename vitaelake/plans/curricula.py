@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from vitaelake.operators import curriculum
 from vitaelake.plans.lake import Lake
-from vitaelake.session import scratch_location
+from vitaelake.session import drop_scratch, scratch_location
 from vitaelake.sources.archive import read_archives
 from vitaelake.sources.snapshots import Table, write_snapshot
 
 
-def stage_documents(spark: SparkSession, documents: DataFrame) -> DataFrame:
+def stage_documents(
+    spark: SparkSession, documents: DataFrame, folder: str | None = None
+) -> DataFrame:
     """Parse the documents once and keep the result as a table the three outputs read.
 
     A written table survives lost executors and lets each output read only its own columns.
@@ -22,7 +24,7 @@ def stage_documents(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """
     parsed = curriculum.parse_documents(documents)
     parsed = parsed.withColumn("xml", F.when(F.col("reject").isNotNull(), F.col("xml")))
-    folder = scratch_location(spark, "documents")
+    folder = folder or scratch_location(spark, "documents")
     parsed.write.parquet(folder)
     return spark.read.schema(parsed.schema).parquet(folder)
 
@@ -36,7 +38,8 @@ def curricula_to_bronze(
     Unreadable documents go to the ``rejects`` table with the reason; the others go on.
     """
     lake = Lake(base)
-    staged = stage_documents(spark, read_archives(spark, archives, pattern))
+    staging = scratch_location(spark, "documents")
+    staged = stage_documents(spark, read_archives(spark, archives, pattern), staging)
     outputs = {
         lake.bronze_researchers: curriculum.researcher_rows(staged),
         lake.bronze_education: curriculum.education_rows(staged),
@@ -51,4 +54,5 @@ def curricula_to_bronze(
     # The outputs are independent, so the last tasks of one overlap the first of the next.
     with ThreadPoolExecutor(len(outputs)) as pool:
         folders = list(pool.map(write, outputs))
+    drop_scratch(spark, staging)
     return {table.entity: folder for table, folder in zip(outputs, folders)}

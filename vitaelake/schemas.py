@@ -237,6 +237,8 @@ BRONZE_WORKS_FOR_SILVER = T.StructType(
             "created_date", "keywords", "referenced_works_count",
         )
     ]
+    # Of equal works the authorships decide, the same fields in both reads.
+    + [BRONZE_WORKS_FOR_BRIDGE["authorships"]]
 )
 
 # --- Bronze CV tables ---------------------------------------------------------------------

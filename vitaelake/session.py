@@ -59,6 +59,12 @@ def hadoop_path(spark: SparkSession, location: str):
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def drop_scratch(spark: SparkSession, folder: str) -> None:
+    """Delete a staged table that no output needs any more."""
+    path, files = hadoop_path(spark, folder)
+    files.delete(path, True)
+
+
 def stored_bytes(spark: SparkSession, *locations: str) -> int:
     """Size of the files below the locations, from their listing; 0 for a missing one."""
     total = 0
