@@ -237,8 +237,6 @@ BRONZE_WORKS_FOR_SILVER = T.StructType(
             "created_date", "keywords", "referenced_works_count",
         )
     ]
-    # Of equal works the authorships decide, the same fields in both reads.
-    + [BRONZE_WORKS_FOR_BRIDGE["authorships"]]
 )
 
 # --- Bronze CV tables ---------------------------------------------------------------------
@@ -252,6 +250,7 @@ RESEARCHER_COLUMNS = [
 BRONZE_RESEARCHERS = _strings(RESEARCHER_COLUMNS)
 BRONZE_EDUCATION = _strings([*EDUCATION_COLUMNS, "lattes_id"])
 BRONZE_AREAS = _strings([*AREA_ATTRIBUTES, "lattes_id"])
+BRONZE_REJECTS = _strings(["path", "entry", "xml", "error", "reject"])
 
 # --- Silver name maps (fixed values: source column -> silver column, in order) -------------
 
@@ -352,3 +351,21 @@ SILVER_RESEARCHERS = record(
     data_atualizacao_lattes=T.DateType(),
     updated_at=RUN_TIME,
 )
+GOLD_WORKS = T.StructType(
+    [
+        *[SILVER_RESEARCHERS[name] for name in ("lattes_id", "nome_completo", "openalex_id")],
+        *[
+            SILVER_BRIDGE[name]
+            for name in (
+                "openalex_producao_id", "ordem_autoria", "autor_principal", "correspondente",
+            )
+        ],
+        *[
+            SILVER_WORKS[name]
+            for name in (
+                "titulo", "ano_publicacao", "tipo_producao", "journal_name",
+                "qtd_citacoes_producao",
+            )
+        ],
+    ]
+)
