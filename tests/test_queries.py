@@ -1,5 +1,7 @@
 """Every registered query against its SQL on DuckDB."""
 
+import re
+
 import duckdb
 import pytest
 from conftest import SF_DIR
@@ -18,7 +20,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", list(spark_entry.queries()))
+@pytest.mark.parametrize("name", list(ORACLES))
 def test_query_matches_sql(spark, db, name):
     df = spark_entry.queries()[name](spark, SF_DIR)
     relation = db.sql(ORACLES[name])
@@ -33,4 +35,8 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(ORACLES)
+    """But for the optional training-data queries that SQL cannot express, which have their own
+    tests against brute force."""
+    missing = set(spark_entry.queries()) - set(ORACLES)
+    assert all(re.match(r"op[1-9]_|pipeline$", name) for name in missing)
+    assert set(ORACLES) <= set(spark_entry.queries())
