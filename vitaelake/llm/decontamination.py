@@ -30,12 +30,12 @@ SPAN = 9
 @dataclass(frozen=True)
 class Settings:
     """min_words: words the stretch must span (or the whole item, if shorter). min_equal: share
-    of its words that must be equal. block_seeds: test windows broadcast at once; a larger
-    benchmark is run in as many blocks as it needs, so each broadcast stays below 100 MB."""
+    of its words that must be equal. block_bytes: test windows, with their items' words, that
+    are broadcast at once; a larger benchmark is run in as many blocks as it needs."""
 
     min_words: int = 13
     min_equal: float = 0.8
-    block_seeds: int = 500_000
+    block_bytes: int = 64 << 20
 
 
 def word_hashes(text: Column) -> Column:
@@ -127,10 +127,14 @@ def overlaps(
         word_hashes(F.col(text)).alias("words"),
     )
     seeds = staged(spark, test_seeds(benchmark, item_id, item_text), "decontamination-seeds")
-    blocks = -(-seeds.count() // settings.block_seeds) or 1
+    # Eight bytes a word and 64 for the rest of a row; an item id is taken for a short one.
+    stored = seeds.agg(F.sum(64 + 8 * F.size("item_words"))).first()[0] or 0
+    blocks = -(-stored // settings.block_bytes) or 1
     found = None
     for block in range(blocks):
-        part = seeds.where(F.pmod("seed", F.lit(blocks)) == block) if blocks > 1 else seeds
+        # Dealt by the whole row, so a seed that many items share spreads over the blocks.
+        dealt = F.pmod(F.xxhash64("seed", "item_id", "item_at"), F.lit(blocks))
+        part = seeds.where(dealt == block) if blocks > 1 else seeds
         hits = alignments(rows, part)
         found = hits if found is None else found.unionByName(hits)
     if blocks > 1:
