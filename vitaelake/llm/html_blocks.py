@@ -23,6 +23,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -181,12 +182,10 @@ def block_vectors(blocks: list[Block]) -> np.ndarray:
     for number, block in enumerate(blocks):
         row, text = rows[number], block.text
         row[:PATH_SLOTS] = path_vector(block.path)
-        # Words of both ends of the block; its sizes below are those of the whole block.
-        words = _WORD.findall(text[:200]) + _WORD.findall(text[200:][-200:])
-        for word in words:
-            row[PATH_SLOTS + hash_word(word)] += 1
-        total = max(1, len(words))
-        row[PATH_SLOTS : PATH_SLOTS + WORD_SLOTS] /= total
+        slots = [hash_word(word) for word in _WORD.findall(text.lower())]
+        if slots:
+            shares = np.bincount(slots, minlength=WORD_SLOTS) / len(slots)
+            row[PATH_SLOTS : PATH_SLOTS + WORD_SLOTS] = shares
         n = len(text)
         row[-NUMBERS:] = (
             np.log1p(n) / 6, min(1.0, block.linked / n), text.count(" ") / n * 4,
@@ -195,8 +194,9 @@ def block_vectors(blocks: list[Block]) -> np.ndarray:
     return rows
 
 
+@lru_cache(maxsize=1 << 16)
 def hash_word(word: str) -> int:
-    return zlib.crc32(word.lower().encode()) % WORD_SLOTS
+    return zlib.crc32(word.encode()) % WORD_SLOTS
 
 
 def markup_label(block: Block) -> int:
