@@ -203,6 +203,61 @@ def test_ngram_join_finds_chains_and_edited_copies(spark, monkeypatch):
     assert join_rows(df) == linked_by_hand(rows)
 
 
+def kept_by_hand(rows, length, limit):
+    """First ids of the groups linked by shingles of ``length`` words, every pair compared."""
+    sets = {}
+    for i, text in rows:
+        words = text.lower().split()
+        sets[i] = {tuple(words[at : at + length]) for at in range(max(1, len(words) - length + 1))}
+    group = {i: i for i in sets}
+    for i in sets:
+        for j in sets:
+            if i < j and 100 * len(sets[i] & sets[j]) >= limit * len(sets[i] | sets[j]):
+                old, new = group[j], group[i]
+                group = {k: new if g == old else g for k, g in group.items()}
+    return sorted({min(k for k in group if group[k] == g) for g in group.values()})
+
+
+def test_pipeline_drops_near_copies_by_five_words(spark, sf_dir, monkeypatch):
+    ship_packages(spark, vitaelake)
+    draw = np.random.default_rng(5)
+    places = {55: [27], 100: [30, 60], 200: range(90, 102), 1000: range(400, 460)}
+    rows = []
+    for size, changed in places.items():  # alike on five words at 80, not on three words at 90
+        base = [f"s{size}_{n}" for n in range(size)]
+        edited = ["new" + word if n in changed else word for n, word in enumerate(base)]
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(edited))]
+    for n in range(160):  # copies with a few words replaced, on both sides of the limit
+        size = int(draw.integers(12, 160))
+        base = [f"r{n}_{m}" for m in range(size)]
+        for copy in range(3):
+            own = list(base)
+            for at in draw.choice(size, min(copy * (1 + size // 60), size), replace=False):
+                own[at] = f"x{copy}_{at}"
+            rows.append((100 + 3 * n + copy, " ".join(own)))
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = sorted(row.doc_id for row in corpus_pipeline.near_duplicates(spark, df, sf_dir).collect())
+    assert kept == kept_by_hand(rows, 5, 80)
+    assert not {1, 3, 5, 7} & set(kept) and {1, 3, 5, 7} <= set(kept_by_hand(rows, 3, 90))
+
+
+@pytest.mark.parametrize("limit", [80, 90])
+def test_linked_sets_share_a_tile(limit):
+    draw = np.random.default_rng(limit)
+    for size in [*range(1, 60), 150, 400, 1500] * 8:
+        apart = int(size * (100 - limit) / (100 + limit))  # replaced: size + apart in the union
+        keys = np.sort(draw.integers(0, 1 << 64, size, dtype=np.uint64))
+        other = keys.copy()
+        gone = draw.choice(size, apart, replace=False)
+        other[gone] = draw.integers(0, 1 << 64, apart, dtype=np.uint64)
+        for twin in (np.sort(other), np.delete(keys, draw.choice(size, size * (100 - limit) // 100, replace=False))):
+            assert ngram_join.alike(keys, twin, limit)
+            bounds = np.array([0, size, size + len(twin)])
+            owner, found = ngram_join.tiles(np.concatenate([keys, twin]), bounds, limit)
+            assert set(found[owner == 0]) & set(found[owner == 1])
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(n, n + 1) for n in range(60)] + [(100, n) for n in range(101, 160)]
     found = components.connected_components(spark, spark.createDataFrame(links, "a long, b long"))

@@ -1,10 +1,12 @@
-"""N-gram Jaccard join: documents whose sets of word 3-grams are alike, exactly.
+"""N-gram Jaccard join: documents whose sets of word n-grams are alike, exactly.
 
-Documents are put in size bands so narrow that linked ones lie in the same or in adjacent bands.
+The n-gram length ``words`` and the likeness in percent ``limit`` are arguments; the defaults are
+those of the op9 query. Documents are put in size bands so narrow that linked ones lie in the same or in adjacent bands.
 Sets that are alike differ in at most ``K`` shingles, ``K`` known from the band. The 64-bit
-hash space is cut into ``K + 2`` equal parts, so some part with a shingle in it is the same in
-both, and a tile is what shares one whole part: (band, part, hash of the part). Frequent
-shingles make no large tiles, as a part holds about nine of them.
+hash space is cut into more than ``K + 1`` equal parts, so some part with a shingle in it is the
+same in both, and a tile is what shares one whole part: (band, part, hash of the part). Frequent
+shingles make no large tiles, as a part holds about nine of them (four at 80 percent). Sets with
+so many empty parts that two may agree only in those share tiles of two empty parts as well.
 
 1. Every document's tiles are looked up; in each, all are paired with one of them (first within a
    task, so a tile that a third of all documents share reaches the shuffle as a row per task).
@@ -18,13 +20,13 @@ Only connections are needed, so a group of n copies costs n pairs, and no link b
 texts is lost.
 
 Defined results: null and empty texts have no shingles, a component of their own and no links;
-fewer than three words are one shingle; a null doc_id is no candidate for a component's name (a
+fewer words than a shingle holds are one shingle; a null doc_id is no candidate for a component's name (a
 component of only such rows has none); repeated rows are one set; an empty table gives an empty
 table; further columns are ignored.
 """
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ from vitaelake.llm.native import staged
 from vitaelake.llm.wordarrays import batches_of, cut_words, mixed, utf8
 
 WORDS = 3
-# Two sets are linked when LIMIT * |union| <= 100 * |intersection|.
+# Two sets are linked when limit * |union| <= 100 * |intersection|.
 LIMIT = 90
 # Tile rows a task holds before it pairs them; documents of a block compared in one task.
 HELD_ROWS = 500_000
@@ -44,21 +46,29 @@ BLOCK = 256
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
-def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+@cache
+def steps_of(words: int) -> np.ndarray:
+    """The odd factor of each place in a shingle."""
+    later = mixed(np.arange(len(_STEPS), max(words, len(_STEPS)), dtype=np.uint64)) | np.uint64(1)
+    return np.concatenate([_STEPS, later])
+
+
+def shingle_sets(texts: list[bytes], length: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each text, one text after the other, and bounds."""
+    factors = steps_of(length)
     cut = cut_words(texts)
     first, words = cut.first, cut.hashes
     counts = np.diff(first)
     number = np.repeat(np.arange(len(texts)), counts)
-    keys = words * _STEPS[0]
-    for step in range(1, WORDS):
+    keys = words * factors[0]
+    for step in range(1, length):
         inside = np.zeros(len(words), bool)
         inside[: len(words) - step] = number[step:] == number[: len(words) - step]
         later = np.zeros(len(words), np.uint64)
         later[: len(words) - step] = words[step:]
-        keys += np.where(inside, (later + np.uint64(step)) * _STEPS[step], np.uint64(0))
+        keys += np.where(inside, (later + np.uint64(step)) * factors[step], np.uint64(0))
     place = np.arange(len(words)) - np.repeat(first[:-1], counts)
-    whole = place <= np.repeat(np.maximum(counts - WORDS, 0), counts)
+    whole = place <= np.repeat(np.maximum(counts - length, 0), counts)
     keys, number = mixed(keys[whole]), number[whole]
     order = np.lexsort((keys, number))
     keys, number = keys[order], number[order]
@@ -83,31 +93,41 @@ def set_nodes(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 @cache
-def band_edges() -> np.ndarray:
-    """Smallest set size of each band: sizes a <= b with 100 a >= LIMIT b are at most a band apart."""
+def band_edges(limit: int = LIMIT) -> np.ndarray:
+    """Smallest set size of each band: sizes a <= b with 100 a >= limit b are at most a band apart."""
     edges = [1, 2]
     while edges[-1] < 1 << 40:
-        edges.append(max(edges[-1] + 1, (edges[-1] - 1) * 100 // LIMIT + 1))
+        edges.append(max(edges[-1] + 1, (edges[-1] - 1) * 100 // limit + 1))
     return np.array(edges, np.int64)
 
 
-def parts_of(bands: np.ndarray) -> np.ndarray:
-    """Parts that the sets of a band are cut into: one more than can differ, and one that may be
-    empty in both."""
-    largest = band_edges()[bands + 1] - 1
-    return 2 * largest * (100 - LIMIT) // (100 + LIMIT) + 2
+def most_apart(bands: np.ndarray, limit: int) -> np.ndarray:
+    """Shingles that two linked sets of a band can differ in."""
+    largest = band_edges(limit)[bands + 1] - 1
+    return 2 * largest * (100 - limit) // (100 + limit)
+
+
+def parts_of(bands: np.ndarray, limit: int = LIMIT) -> np.ndarray:
+    """Parts that the sets of a band are cut into: one more than can differ, one that may be empty
+    in both, and twice the empty ones to expect of the smallest sets (two bands below)."""
+    apart = most_apart(bands, limit)
+    held = (100 + limit) / (2 * (100 - limit)) * (limit / 100) ** 2 if limit < 100 else np.inf
+    return apart + 2 + (apart * (2 * np.exp(-held))).astype(np.int64)
 
 
-def tiles(keys: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def tiles(
+    keys: np.ndarray, bounds: np.ndarray, limit: int = LIMIT
+) -> tuple[np.ndarray, np.ndarray]:
     """(number of the set, tile) for every tile of every set, in its own band and as the smaller
     one in the next."""
     sizes = np.diff(bounds)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    own = np.searchsorted(band_edges(), sizes, side="right") - 1
+    own = np.searchsorted(band_edges(limit), sizes, side="right") - 1
     numbers, found = [], []
     for lift in (0, 1):
         bands = own + lift
-        parts = parts_of(np.maximum(bands, 0)).astype(np.uint64)
+        cuts = parts_of(np.maximum(bands, 0), limit)
+        parts = cuts.astype(np.uint64)
         part = ((keys >> np.uint64(32)) * parts[owner]) >> np.uint64(32)
         starts = np.flatnonzero(
             np.concatenate([[True], (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])])
@@ -116,21 +136,26 @@ def tiles(keys: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         place = (bands[whose].astype(np.uint64) << np.uint64(40)) + part[starts] + np.uint64(1)
         numbers.append(whose)
         found.append(mixed(sums(mixed(keys), starts) ^ mixed(place)))
-        # Sets with more than one empty part name those too; two such may agree only there.
-        empty = parts.astype(np.int64) - np.bincount(whose, minlength=len(sizes))
-        for number in np.flatnonzero((empty > 1) & (sizes > 0)):
-            mine = part[starts][whose == number]
-            missing = np.setdiff1d(np.arange(parts[number], dtype=np.uint64), mine)
-            numbers.append(np.full(len(missing), number))
-            spot = (np.uint64(bands[number]) << np.uint64(40)) + missing + np.uint64(1)
-            found.append(mixed(mixed(spot)))
+        # Linked sets agree in more than ``spare`` parts. Where all of those may be empty, two of
+        # them are among the first ``empty - spare + 1`` empty parts of either set.
+        spare = cuts - most_apart(np.maximum(bands, 0), limit) - 1
+        empty = cuts - np.bincount(whose, minlength=len(sizes))
+        ends = np.searchsorted(whose, np.arange(len(sizes) + 1))
+        for number in np.flatnonzero((empty > spare) & (sizes > 0)):
+            filled = np.zeros(cuts[number], bool)
+            filled[part[starts[ends[number] : ends[number + 1]]].astype(np.int64)] = True
+            missing = np.flatnonzero(~filled)[: empty[number] - spare[number] + 1]
+            spot = (np.uint64(bands[number]) << np.uint64(40)) + missing.astype(np.uint64)
+            one, other = np.triu_indices(len(missing), 1)
+            numbers.append(np.full(len(one), number))
+            found.append(mixed(mixed(mixed(spot[one])) + spot[other]))
     return np.concatenate(numbers), np.concatenate(found)
 
 
-def alike(one: np.ndarray, other: np.ndarray) -> bool:
+def alike(one: np.ndarray, other: np.ndarray, limit: int = LIMIT) -> bool:
     """Whether two sorted arrays reach the limit: a bit count first, then the intersection."""
     total = len(one) + len(other)
-    needed = -(-LIMIT * total // (100 + LIMIT))
+    needed = -(-limit * total // (100 + limit))
     if min(len(one), len(other)) < needed:
         return False
     bits = 1 << max(10, int(4 * len(one)).bit_length())
@@ -151,12 +176,12 @@ def arrow_rows(names: list[str], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=names)
 
 
-def name_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def name_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) -> doc_id, node, n_shingles."""
     for batch in batches:
         texts = utf8(batch.column(1), fold=True)
         for first, last in batches_of(texts):
-            keys, bounds = shingle_sets(texts[first:last])
+            keys, bounds = shingle_sets(texts[first:last], words)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(first, last - first),
@@ -167,7 +192,9 @@ def name_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def tile_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def tile_rows(
+    batches: Iterator[pa.RecordBatch], words: int, limit: int
+) -> Iterator[pa.RecordBatch]:
     """(text) -> tile, node, leader: of the nodes a task sees in a tile, the smallest goes on
     alone (leader null) and the others are paired with it."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -175,8 +202,8 @@ def tile_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = utf8(batch.column(0), fold=True)
         for first, last in batches_of(texts):
-            keys, bounds = shingle_sets(texts[first:last])
-            owner, found = tiles(keys, bounds)
+            keys, bounds = shingle_sets(texts[first:last], words)
+            owner, found = tiles(keys, bounds, limit)
             held.append((found, set_nodes(keys, bounds)[owner]))
             size += len(found)
             if size >= HELD_ROWS:
@@ -238,17 +265,23 @@ def pair_leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield arrow_rows(["a", "b"], pairs[0], pairs[1])
 
 
-def judge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def judge_pairs(
+    batches: Iterator[pa.RecordBatch], words: int, limit: int
+) -> Iterator[pa.RecordBatch]:
     """(a, b, text_a, text_b) -> a, b, linked."""
     for batch in batches:
         left, right = utf8(batch.column(2), fold=True), utf8(batch.column(3), fold=True)
         verdicts = []
         for first, last in batches_of(left):
-            keys, bounds = shingle_sets(left[first:last])
-            keys_b, bounds_b = shingle_sets(right[first:last])
+            keys, bounds = shingle_sets(left[first:last], words)
+            keys_b, bounds_b = shingle_sets(right[first:last], words)
             for at in range(last - first):
                 verdicts.append(
-                    alike(keys[bounds[at] : bounds[at + 1]], keys_b[bounds_b[at] : bounds_b[at + 1]])
+                    alike(
+                        keys[bounds[at] : bounds[at + 1]],
+                        keys_b[bounds_b[at] : bounds_b[at + 1]],
+                        limit,
+                    )
                 )
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(verdicts, pa.bool_())],
@@ -256,12 +289,12 @@ def judge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def keep_wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def keep_wanted(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """(text) -> node, text."""
     for batch in batches:
         texts = utf8(batch.column(0), fold=True)
         for first, last in batches_of(texts):
-            keys, bounds = shingle_sets(texts[first:last])
+            keys, bounds = shingle_sets(texts[first:last], words)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(set_nodes(keys, bounds)), batch.column(0).slice(first, last - first)],
                 names=["node", "text"],
@@ -271,22 +304,24 @@ def keep_wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 WIDTH = 2048
 
 
-def tile_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def tile_nodes(
+    batches: Iterator[pa.RecordBatch], words: int, limit: int
+) -> Iterator[pa.RecordBatch]:
     """(node, text) -> tile, node."""
     for batch in batches:
         texts, nodes = utf8(batch.column(1), fold=True), batch.column(0).to_numpy()
         for first, last in batches_of(texts):
-            keys, bounds = shingle_sets(texts[first:last])
-            owner, found = tiles(keys, bounds)
+            keys, bounds = shingle_sets(texts[first:last], words)
+            owner, found = tiles(keys, bounds, limit)
             yield arrow_rows(["tile", "node"], found.view(np.int64), nodes[owner + first])
 
 
-def node_bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def node_bitmaps(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """(node, text) -> node, size, bits."""
     for batch in batches:
         texts, nodes = utf8(batch.column(1), fold=True), batch.column(0).to_numpy()
         for first, last in batches_of(texts):
-            keys, bounds = shingle_sets(texts[first:last])
+            keys, bounds = shingle_sets(texts[first:last], words)
             maps = [
                 bitmap(keys[bounds[at] : bounds[at + 1]], WIDTH).tobytes()
                 for at in range(last - first)
@@ -294,7 +329,7 @@ def node_bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield arrow_rows(["node", "size", "bits"], nodes[first:last], np.diff(bounds), maps)
 
 
-def possible_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def possible_pairs(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     """Rows in order of (tile, low, high) -> pairs of different components in a tile's block pair
     whose bit counts do not rule a link out. A block pair is bounded, so its rows are held."""
     held: list[pa.RecordBatch] = []
@@ -309,15 +344,15 @@ def possible_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 changes = np.append(0, changes)
         if len(changes):
             last = int(changes[-1])
-            yield compare_rows([*held, batch.slice(0, last)])
+            yield compare_rows([*held, batch.slice(0, last)], limit)
             held = [batch.slice(last)]
         else:
             held.append(batch)
     if held:
-        yield compare_rows(held)
+        yield compare_rows(held, limit)
 
 
-def compare_rows(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+def compare_rows(rows: list[pa.RecordBatch], limit: int) -> pa.RecordBatch:
     table = pa.Table.from_batches([one for one in rows if len(one)])
     tile, low, high, side, node, component, size = (
         table.column(at).to_numpy() for at in range(7)
@@ -336,7 +371,7 @@ def compare_rows(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         facing = (side[first] != side[first + step]) | (side[first] == 2)
         here = first[facing & (component[first] != component[first + step])]
         there = here + step
-        needed = -(-LIMIT * (size[here] + size[there]) // (100 + LIMIT))
+        needed = -(-limit * (size[here] + size[there]) // (100 + limit))
         lost = np.bitwise_count(bits[here] & ~bits[there]).sum(axis=1, dtype=np.int64)
         back = np.bitwise_count(bits[there] & ~bits[here]).sum(axis=1, dtype=np.int64)
         able = np.minimum(size[here] - lost, size[there] - back) >= needed
@@ -374,7 +409,7 @@ def hub_pairs(members: DataFrame) -> DataFrame:
     )
 
 
-def block_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
+def block_pairs(members: DataFrame, texts: DataFrame, words: int, limit: int) -> DataFrame:
     """All pairs across components in mixed tiles that bit counts do not rule out, found block by
     block: a tile's members are dealt to blocks, and each task row meets one pair of blocks."""
     tiles_left = mixed_tiles(members).select(
@@ -383,7 +418,7 @@ def block_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
     placed = members.join(tiles_left, "tile")
     bits = texts.join(placed.select("node").distinct(), "node", "left_semi").select("node", "text")
     placed = placed.join(
-        bits.mapInArrow(node_bitmaps, "node long, size long, bits binary"), "node"
+        bits.mapInArrow(partial(node_bitmaps, words=words), "node long, size long, bits binary"), "node"
     ).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     spread = placed.select("*", other).select(
@@ -396,28 +431,44 @@ def block_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
         "node", "component", "size", "bits",
     )
     ordered = spread.repartition("tile", "low", "high").sortWithinPartitions("tile", "low", "high")
-    return ordered.mapInArrow(possible_pairs, "a long, b long").distinct()
+    return ordered.mapInArrow(
+        partial(possible_pairs, limit=limit), "a long, b long"
+    ).distinct()
 
 
-def judged(spark, pairs: DataFrame, texts: DataFrame, label: str) -> DataFrame:
+def judged(
+    spark, pairs: DataFrame, texts: DataFrame, label: str, words: int, limit: int
+) -> DataFrame:
     """a, b, linked for each pair. ``texts`` has one row per node."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return staged(spark, both.mapInArrow(judge_pairs, "a long, b long, linked boolean"), label)
+    judge = partial(judge_pairs, words=words, limit=limit)
+    return staged(spark, both.mapInArrow(judge, "a long, b long, linked boolean"), label)
 
 
-def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def components(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = WORDS,
+    limit: int = LIMIT,
+) -> DataFrame:
     """A row per document: doc_id, node (names its set), n_shingles, component_id, first_of_set.
 
-    component_id is the smallest doc_id reachable by links.
+    component_id is the smallest doc_id reachable by links: shingles of ``words`` words, of which
+    ``limit`` percent of the union are in both.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     named = staged(
-        spark, rows.mapInArrow(name_sets, "doc_id long, node long, n_shingles long"), "sets"
+        spark,
+        rows.mapInArrow(partial(name_sets, words=words), "doc_id long, node long, n_shingles long"),
+        "sets",
+    )
+    shared = rows.select("text").mapInArrow(
+        partial(tile_rows, words=words, limit=limit), "tile long, node long, leader long"
     )
-    shared = rows.select("text").mapInArrow(tile_rows, "tile long, node long, leader long")
     ordered = shared.repartition("tile").sortWithinPartitions("tile", "node")
     pairs = staged(spark, ordered.mapInArrow(pair_leaders, "a long, b long").distinct(), "pairs")
 
@@ -429,16 +480,16 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     texts = staged(
         spark,
         held.select("text")
-        .mapInArrow(keep_wanted, "node long, text string")
+        .mapInArrow(partial(keep_wanted, words=words), "node long, text string")
         .join(ends, "node", "left_semi")
         .dropDuplicates(["node"]),
         "set-texts",
     )
-    verdicts = judged(spark, pairs, texts, "judged")
+    verdicts = judged(spark, pairs, texts, "judged", words, limit)
     links = verdicts.where("linked").select("a", "b")
     labels = connected_components(spark, links)
     if not verdicts.where("not linked").isEmpty():
-        labels = settle_misses(spark, ends, texts, verdicts, labels)
+        labels = settle_misses(spark, ends, texts, verdicts, labels, words, limit)
 
     named_sets = smallest.join(labels, "node", "left").select(
         "node", "first_id", F.coalesce("component", "node").alias("component")
@@ -458,7 +509,13 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
 
 def settle_misses(
-    spark, ends: DataFrame, texts: DataFrame, verdicts: DataFrame, labels: DataFrame
+    spark,
+    ends: DataFrame,
+    texts: DataFrame,
+    verdicts: DataFrame,
+    labels: DataFrame,
+    words: int,
+    limit: int,
 ) -> DataFrame:
     """The components once every pair that shares a tile has been compared or is connected.
 
@@ -482,27 +539,34 @@ def settle_misses(
         spark,
         texts.join(open_nodes, "node", "left_semi")
         .select("node", "text")
-        .mapInArrow(tile_nodes, "tile long, node long"),
+        .mapInArrow(partial(tile_nodes, words=words, limit=limit), "tile long, node long"),
         "members",
     )
-    for candidates in (hub_pairs, lambda rows: block_pairs(rows, texts)):
+    for candidates in (hub_pairs, lambda rows: block_pairs(rows, texts, words, limit)):
         placed = members.join(labels, "node", "left").select(
             "tile", "node", F.coalesce("component", "node").alias("component")
         )
         pairs = candidates(placed).join(verdicts.select("a", "b"), ["a", "b"], "left_anti")
         pairs = staged(spark, pairs, "more-pairs")
         if not pairs.isEmpty():
-            verdicts = verdicts.unionByName(judged(spark, pairs, texts, "judged"))
+            more = judged(spark, pairs, texts, "judged", words, limit)
+            verdicts = verdicts.unionByName(more)
             labels = connected_components(spark, verdicts.where("linked").select("a", "b"))
     return labels
 
 
-def keep_one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one_per_component(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = WORDS,
+    limit: int = LIMIT,
+) -> DataFrame:
     """The document with the smallest doc_id of each component; all columns of the input.
 
     Documents without words have no links and stay; repeated rows of one doc_id stay together.
     """
-    found = components(docs, doc_id, text)
+    found = components(docs, doc_id, text, words, limit)
     gone = found.where(F.col("doc_id") != F.col("component_id")).select(
         F.col("doc_id").alias("__gone")
     )
