@@ -1,6 +1,7 @@
 """The operators for training data, against brute force, on awkward rows and on small tables."""
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -143,6 +144,30 @@ def test_decontamination_finds_edited_passages(spark, docs, none):
     assert decontamination.remove_contaminated(docs, tests).columns == docs.columns
 
 
+def replaced_words(size):
+    """Every choice of the words that may be replaced in a stretch of this size."""
+    return map(set, itertools.combinations(range(size), size - -(-size * 8 // 10)))
+
+
+@pytest.mark.parametrize("size", range(13, 26))  # a longer stretch holds one of these
+def test_decontamination_masks_hit_every_stretch(size):
+    hits = [
+        sum(1 << (at + step) for step in mask)
+        for mask in decontamination.MASKS
+        for at in range(size - mask[-1])
+    ]
+    gone = (sum(1 << at for at in places) for places in replaced_words(size))
+    assert not [bits for bits in gone if all(bits & hit for hit in hits)]
+
+
+def test_decontamination_finds_two_of_thirteen_words_replaced(spark):
+    words = [f"q{n}" for n in range(13)]
+    edited = " ".join("new" if n in (5, 8) else word for n, word in enumerate(words))
+    train = spark.createDataFrame([(1, edited)], "doc_id long, text string")
+    tests = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    assert decontamination.overlaps(train, tests).count() == 1
+
+
 def shingles(text):
     fold = str.maketrans({chr(n): chr(n + 32) for n in range(65, 91)})
     words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(fold))

@@ -22,9 +22,16 @@ from pyspark.sql import functions as F
 
 from vitaelake.llm.native import let, row_digest, staged
 
-# Positions hashed by each mask. Weight 6 in a span of 9.
-MASKS = ((0, 1, 2, 4, 6, 8), (0, 1, 3, 5, 7, 8), (0, 2, 3, 4, 5, 8))
-SPAN = 9
+# Positions hashed by each mask. Every stretch of 13 words or more with 80% of them
+# equal, wherever the replaced ones stand, holds one of these (a stretch of 26 or more has half
+# of its words in a good one, so 13 to 25 are all lengths to count).
+MASKS = (
+    (0, 1, 2, 4, 6, 8),
+    (0, 1, 3, 5, 7, 8),
+    (0, 2, 3, 4, 5, 8),
+    (0, 1, 2, 3, 4),
+    (0, 1, 2, 3, 5, 6),
+)
 
 
 @dataclass(frozen=True)
@@ -45,12 +52,16 @@ def word_hashes(text: Column) -> Column:
 
 def windows(rows: DataFrame, hashes: str, keep: list[str]) -> DataFrame:
     """A row per window and mask: keep, at (0-based start), seed."""
-    last = F.size(hashes) - SPAN
+    last = F.size(hashes) - 1 - min(mask[-1] for mask in MASKS)
     # No filter on the size: it would be pushed below the hashing and compute it twice.
     starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0))))
     placed = rows.select(*keep, hashes, F.explode(starts).alias("at"))
+    # A window that a mask overhangs has no seed of it.
     seeds = [
-        F.xxhash64(F.lit(number), *[F.get(F.col(hashes), F.col("at") + step) for step in mask])
+        F.when(
+            F.col("at") + mask[-1] < F.size(hashes),
+            F.xxhash64(F.lit(number), *[F.get(F.col(hashes), F.col("at") + step) for step in mask]),
+        )
         for number, mask in enumerate(MASKS)
     ]
     return placed.select(*keep, hashes, "at", F.explode(F.array(*seeds)).alias("seed"))
@@ -60,7 +71,7 @@ def test_seeds(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     items = benchmark.select(
         F.col(item_id).alias("item_id"), word_hashes(F.col(text)).alias("item_words")
     )
-    return windows(items, "item_words", ["item_id"]).select(
+    return windows(items, "item_words", ["item_id"]).where("seed IS NOT NULL").select(
         "seed", "item_id", F.col("at").alias("item_at"), "item_words"
     ).distinct()
 
