@@ -168,6 +168,26 @@ def test_decontamination_finds_two_of_thirteen_words_replaced(spark):
     assert decontamination.overlaps(train, tests).count() == 1
 
 
+def test_decontamination_finds_short_items(spark):
+    items = [(size, " ".join(f"t{size}x{n}" for n in range(size))) for size in range(1, 13)]
+    rows = [(size, f"before {text} after") for size, text in items]
+    rows += [(100 + size, text.replace(f"t{size}x{size // 2}", "new")) for size, text in items if size > 1]
+    rows += [(200 + size, text[: text.rindex(" ")]) for size, text in items if size > 1]
+    train = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    tests = spark.createDataFrame([*items, (13, ""), (14, None)], "item_id long, text string")
+    found = {(row.doc_id, row.item_id) for row in decontamination.overlaps(train, tests).collect()}
+    # From five words on one may be replaced; an item whose last word is cut off is not whole.
+    edited = {(100 + size, size) for size in range(5, 13)}
+    assert found == {(size, size) for size in range(1, 13)} | edited
+
+
+@pytest.mark.parametrize("size", range(1, 13))
+def test_decontamination_masks_of_whole_items(size):
+    masks = decontamination.whole_masks(size, 0.8)
+    assert all(any(not places & set(mask) for mask in masks) for places in replaced_words(size))
+    assert all(masks)
+
+
 def shingles(text):
     fold = str.maketrans({chr(n): chr(n + 32) for n in range(65, 91)})
     words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(fold))

@@ -10,12 +10,15 @@ have enough equal words.
 
 Words are runs of letters and digits, lower-cased, compared by 64-bit hash.
 
-Defined results: null or empty texts have no windows; items shorter than a mask match nothing;
-a null doc_id or item_id is carried like any other; repeated rows give one result row; an empty
+Items shorter than the least stretch count as a whole, so they have masks of their own length:
+cut into parts, each mask leaves out as many parts as words may be replaced.
+
+Defined results: null or empty texts have no windows; a null doc_id or item_id is carried like any other; repeated rows give one result row; an empty
 table on either side gives no rows; further columns are ignored.
 """
 
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +35,8 @@ MASKS = (
     (0, 1, 2, 3, 4),
     (0, 1, 2, 3, 5, 6),
 )
+# Shares are taken to four decimals.
+SCALE = 10_000
 
 
 @dataclass(frozen=True)
@@ -50,28 +55,67 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.array_remove(parts, ""), lambda word: F.xxhash64(word))
 
 
-def windows(rows: DataFrame, hashes: str, keep: list[str]) -> DataFrame:
-    """A row per window and mask: keep, at (0-based start), seed."""
-    last = F.size(hashes) - 1 - min(mask[-1] for mask in MASKS)
+def whole_masks(size: int, min_equal: float) -> list[tuple[int, ...]]:
+    """Masks for an item that must be found whole: one of them misses the replaced words, wherever
+    they stand."""
+    replaced = size - -(-size * round(min_equal * SCALE) // SCALE)
+    parts = min(replaced + 2, size) if replaced else 1
+    edges = [size * part // parts for part in range(parts + 1)]
+    masks = []
+    for gone in combinations(range(parts), min(replaced, parts - 1)):
+        left = [part for part in range(parts) if part not in gone]
+        masks.append(tuple(at for part in left for at in range(edges[part], edges[part + 1])))
+    return masks
+
+
+def masks_for(items: DataFrame, settings: Settings) -> dict[int, list[tuple[int, ...]]]:
+    """The masks by size of the items they are for; 0: items that a stretch may be part of."""
+    sizes = items.select(F.size("item_words").alias("size")).distinct()
+    short = sizes.where((F.col("size") > 0) & (F.col("size") < settings.min_words))
+    found = sorted(row["size"] for row in short.collect())
+    return {0: list(MASKS), **{size: whole_masks(size, settings.min_equal) for size in found}}
+
+
+def windows(
+    rows: DataFrame,
+    hashes: str,
+    keep: list[str],
+    masks: dict[int, list[tuple[int, ...]]],
+    min_words: int | None = None,
+) -> DataFrame:
+    """A row per window and mask: keep, at (0-based start), seed. With min_words the rows are
+    items, each of which has the masks of its size only."""
+    last = F.size(hashes) - 1 - min(mask[-1] for group in masks.values() for mask in group)
     # No filter on the size: it would be pushed below the hashing and compute it twice.
     starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0))))
     placed = rows.select(*keep, hashes, F.explode(starts).alias("at"))
     # A window that a mask overhangs has no seed of it.
-    seeds = [
-        F.when(
-            F.col("at") + mask[-1] < F.size(hashes),
-            F.xxhash64(F.lit(number), *[F.get(F.col(hashes), F.col("at") + step) for step in mask]),
-        )
-        for number, mask in enumerate(MASKS)
-    ]
+    seeds = []
+    for size, group in masks.items():
+        if min_words is None:
+            meant = F.lit(True)
+        elif size:
+            meant = (F.size(hashes) == size) & (F.col("at") == 0)
+        else:
+            meant = F.size(hashes) >= min_words
+        for number, mask in enumerate(group):
+            places = [F.get(F.col(hashes), F.col("at") + step) for step in mask]
+            fits = F.col("at") + mask[-1] < F.size(hashes)
+            seeds.append(F.when(meant & fits, F.xxhash64(F.lit(size), F.lit(number), *places)))
     return placed.select(*keep, hashes, "at", F.explode(F.array(*seeds)).alias("seed"))
 
 
-def test_seeds(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
-    items = benchmark.select(
+def test_items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
+    return benchmark.select(
         F.col(item_id).alias("item_id"), word_hashes(F.col(text)).alias("item_words")
     )
-    return windows(items, "item_words", ["item_id"]).where("seed IS NOT NULL").select(
+
+
+def test_seeds(
+    items: DataFrame, masks: dict[int, list[tuple[int, ...]]], settings: Settings
+) -> DataFrame:
+    placed = windows(items, "item_words", ["item_id"], masks, settings.min_words)
+    return placed.where("seed IS NOT NULL").select(
         "seed", "item_id", F.col("at").alias("item_at"), "item_words"
     ).distinct()
 
@@ -103,9 +147,11 @@ def best_stretch(equal: Column) -> Column:
     return F.aggregate(F.sequence(zero, F.size(equal) - 1), start, step)
 
 
-def alignments(docs: DataFrame, seeds: DataFrame) -> DataFrame:
+def alignments(
+    docs: DataFrame, seeds: DataFrame, masks: dict[int, list[tuple[int, ...]]]
+) -> DataFrame:
     """Distinct (document, item, shift) that share a seed, with the words to compare."""
-    hit = windows(docs, "words", ["id", "digest"]).join(F.broadcast(seeds), "seed")
+    hit = windows(docs, "words", ["id", "digest"], masks).join(F.broadcast(seeds), "seed")
     shift = F.col("at") - F.col("item_at")
     first = F.greatest(shift, F.lit(0))
     return hit.select(
@@ -137,7 +183,9 @@ def overlaps(
         row_digest(F.col(text)).alias("digest"),
         word_hashes(F.col(text)).alias("words"),
     )
-    seeds = staged(spark, test_seeds(benchmark, item_id, item_text), "decontamination-seeds")
+    items = test_items(benchmark, item_id, item_text)
+    masks = masks_for(items, settings)
+    seeds = staged(spark, test_seeds(items, masks, settings), "decontamination-seeds")
     # Eight bytes a word and 64 for the rest of a row; an item id is taken for a short one.
     stored = seeds.agg(F.sum(64 + 8 * F.size("item_words"))).first()[0] or 0
     blocks = -(-stored // settings.block_bytes) or 1
@@ -146,7 +194,7 @@ def overlaps(
         # Dealt by the whole row, so a seed that many items share spreads over the blocks.
         dealt = F.pmod(F.xxhash64("seed", "item_id", "item_at"), F.lit(blocks))
         part = seeds.where(dealt == block) if blocks > 1 else seeds
-        hits = alignments(rows, part)
+        hits = alignments(rows, part, masks)
         found = hits if found is None else found.unionByName(hits)
     if blocks > 1:
         found = found.dropDuplicates(["id", "digest", "item_id", "shift"])
