@@ -168,6 +168,36 @@ def test_decontamination_finds_two_of_thirteen_words_replaced(spark):
     assert decontamination.overlaps(train, tests).count() == 1
 
 
+def edits_found(spark, words):
+    """The edits of an item, each in a document of its own, and those that are found."""
+    edits = [
+        " ".join(["before", *("new" if n in places else w for n, w in enumerate(words)), "after"])
+        for places in replaced_words(len(words))
+    ]
+    train = spark.createDataFrame(list(enumerate(edits)), "doc_id long, text string").repartition(2)
+    tests = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    return len(edits), decontamination.overlaps(train, tests).count()
+
+
+def test_decontamination_judges_every_stretch(spark):
+    for size in (10, 13, 15):  # replaced words at the ends as well
+        every, found = edits_found(spark, [f"e{size}x{n}" for n in range(size)])
+        assert found == every
+    words = [f"a{n}" for n in range(69)]
+    short = ["new" if n in (4, 8) or n > 12 and n % 4 == 0 else w for n, w in enumerate(words[:29])]
+    tail = ["new" if n > 12 and n % 4 == 3 else w for n, w in enumerate(words)]
+    spread = ["new" if n % 3 == 2 else w for n, w in enumerate(words)]
+    train = spark.createDataFrame(
+        [(1, " ".join(short)), (2, " ".join(tail)), (3, " ".join(spread)), (4, " ".join(words[:12]))],
+        "doc_id long, text string",
+    )
+    tests = spark.createDataFrame(
+        [(29, " ".join(words[:29])), (69, " ".join(words))], "item_id long, text string"
+    )
+    found = {(row.doc_id, row.item_id) for row in decontamination.overlaps(train, tests).collect()}
+    assert found == {(1, 29), (1, 69), (2, 29), (2, 69)}
+
+
 def test_decontamination_finds_short_items(spark):
     items = [(size, " ".join(f"t{size}x{n}" for n in range(size))) for size in range(1, 13)]
     rows = [(size, f"before {text} after") for size, text in items]

@@ -4,9 +4,9 @@ Built-in column functions only. A mask names the word positions of a window that
 others are free, so a seed survives words replaced there. Every window of a training document is
 hashed under each mask and joined to the hashes of the test items inside one generated-code
 stage: a window that hits nothing is never written, sorted or shuffled. A hit fixes an alignment
-(test item, document, shift). Each alignment is then verified once, word by word over the whole
-item: the best stretch, where a match scores 1 and a replaced word -2, must be long enough and
-have enough equal words.
+(test item, document, shift). Each alignment is then verified once, word by word over the words that
+both have: it counts if any stretch of the needed length has enough equal words. Given is the
+stretch that has most equal words beyond those it needs.
 
 Words are runs of letters and digits, lower-cased, compared by 64-bit hash.
 
@@ -120,28 +120,45 @@ def test_seeds(
     ).distinct()
 
 
-def best_stretch(equal: Column) -> Column:
-    """Start, end (exclusive) and equal words of the best-scoring run of an alignment."""
+def best_stretch(equal: Column, needed: Column, min_equal: float) -> Column:
+    """Start, end (exclusive) and equal words of the best stretch of at least ``needed`` words in
+    an alignment; end is 0 where none has ``min_equal`` of its words equal.
+
+    An equal word scores what a replaced one costs at that share, so a stretch is good from 0 on.
+    The best one that ends at a word starts at the least sum ``needed`` words before or earlier.
+    """
+    share = round(min_equal * SCALE)
     zero = F.lit(0)
     start = F.struct(
-        *[zero.alias(name) for name in ("score", "start", "hits", "best", "first", "end", "found")]
+        *[zero.alias(name) for name in ("ahead", "behind", "low_at", "low_hits")],
+        F.lit(1 << 60).cast("long").alias("low"),
+        F.lit(-1).cast("long").alias("best"),
+        *[zero.alias(name) for name in ("first", "end", "found")],
     )
 
+    def total(hits: Column, count: Column) -> Column:
+        return hits.cast("long") * SCALE - count.cast("long") * share
+
     def step(state: Column, at: Column) -> Column:
-        hit = F.get(equal, at)
-        fresh = state["score"] <= 0
-        score = F.when(fresh, zero).otherwise(state["score"]) + F.when(hit, 1).otherwise(-2)
-        began = F.when(fresh, at).otherwise(state["start"])
-        hits = F.when(fresh, zero).otherwise(state["hits"]) + F.when(hit, 1).otherwise(0)
-        better = score > state["best"]
+        back = at + 1 - needed
+        ahead = state["ahead"] + F.get(equal, at).cast("int")
+        behind = state["behind"] + F.when(back > 0, F.get(equal, back - 1).cast("int")).otherwise(0)
+        lower = (back >= 0) & (total(behind, back) < state["low"])
+        low = F.when(lower, total(behind, back)).otherwise(state["low"])
+        low_at = F.when(lower, back).otherwise(state["low_at"])
+        low_hits = F.when(lower, behind).otherwise(state["low_hits"])
+        score = total(ahead, at + 1) - low
+        better = (back >= 0) & (score > state["best"])
         return F.struct(
-            score.alias("score"),
-            began.alias("start"),
-            hits.alias("hits"),
+            ahead.alias("ahead"),
+            behind.alias("behind"),
+            low_at.alias("low_at"),
+            low_hits.alias("low_hits"),
+            low.alias("low"),
             F.when(better, score).otherwise(state["best"]).alias("best"),
-            F.when(better, began).otherwise(state["first"]).alias("first"),
+            F.when(better, low_at).otherwise(state["first"]).alias("first"),
             F.when(better, at + 1).otherwise(state["end"]).alias("end"),
-            F.when(better, hits).otherwise(state["found"]).alias("found"),
+            F.when(better, ahead - low_hits).otherwise(state["found"]).alias("found"),
         )
 
     return F.aggregate(F.sequence(zero, F.size(equal) - 1), start, step)
@@ -201,26 +218,18 @@ def overlaps(
 
     lead = F.greatest(-F.col("shift"), F.lit(0))
 
-    def compare(own: Column, item: Column, skip: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.size(item) - 1),
-            lambda at: F.coalesce(
-                (at >= skip) & (F.get(own, at - skip) == F.get(item, at)), F.lit(False)
-            ),
-        )
-
-    equal = compare(F.col("doc_words"), F.col("item_words"), lead)
-
-    def good_enough(best: Column) -> Column:
-        length = best["end"] - best["first"]
-        needed = F.least(F.lit(settings.min_words), F.size("item_words"))
-        return (length >= needed) & (best["found"] >= settings.min_equal * length)
-
+    # Item words before the document's first or after its last are no replaced ones.
+    equal = F.transform(
+        "doc_words", lambda word, at: F.coalesce(word == F.get("item_words", at + lead), F.lit(False))
+    )
+    needed = F.least(F.lit(settings.min_words), F.size("item_words"))
+    best = let(equal, lambda marks: best_stretch(marks, needed, settings.min_equal))
     # Judged inside a generator: a filter above would compute every stretch once more.
-    judged = F.filter(F.array(let(equal, best_stretch)), good_enough)
+    judged = F.filter(F.array(best), lambda stretch: stretch["end"] > 0)
     good = found.select(
         "id", "digest", "item_id", "shift",
         F.size("item_words").alias("item_size"),
+        lead.alias("lead"),
         F.explode(judged).alias("best"),
     )
     span = F.col("best.end") - F.col("best.first")
@@ -232,7 +241,7 @@ def overlaps(
                     F.col("best.found").alias("n_equal"),
                     (-F.col("shift")).alias("back"),
                     span.alias("n_span"),
-                    F.col("best.first").alias("first"),
+                    (F.col("best.first") + F.col("lead")).alias("first"),
                     F.col("item_size").alias("item_words"),
                 )
             ).alias("top")
