@@ -317,6 +317,15 @@ def test_pipeline_drops_near_copies_by_five_words(spark, sf_dir, monkeypatch):
     assert not {1, 3, 5, 7} & set(kept) and {1, 3, 5, 7} <= set(kept_by_hand(rows, 3, 90))
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 100])
+def test_tiles_of_one_set_go(size):
+    tile = np.array([1, 2, 2, 3, 4, 4, 4, 4, 4, 5, 6, 6, 7])
+    rows = ngram_join.arrow_rows(["tile", "node"], tile, np.arange(len(tile)))
+    found = ngram_join.shared_tiles(rows.slice(at, size) for at in range(0, len(tile), size))
+    kept = [node for batch in found for node in batch.column(1).to_pylist()]
+    assert kept == [1, 2, 4, 5, 6, 7, 8, 10, 11]
+
+
 @pytest.mark.parametrize("limit", [80, 90])
 def test_linked_sets_share_a_tile(limit):
     draw = np.random.default_rng(limit)

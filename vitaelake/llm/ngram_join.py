@@ -316,6 +316,25 @@ def tile_nodes(
             yield arrow_rows(["tile", "node"], found.view(np.int64), nodes[owner + first])
 
 
+def shared_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in tile order -> those whose tile another row has too."""
+    held, open_tile, met = None, None, False
+    for batch in batches:
+        if not len(batch):
+            continue
+        tile = batch.column(0).to_numpy()
+        same = tile[1:] == tile[:-1]
+        again = held is not None and tile[0] == open_tile
+        if held is not None and (met or again):
+            yield held
+        before = np.append(again, same)
+        shared = before | np.append(same, False)
+        yield batch.slice(0, len(batch) - 1).filter(pa.array(shared[:-1]))
+        held, open_tile, met = batch.slice(len(batch) - 1), tile[-1], bool(before[-1])
+    if held is not None and met:
+        yield held
+
+
 def node_bitmaps(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """(node, text) -> node, size, bits."""
     for batch in batches:
@@ -535,13 +554,14 @@ def settle_misses(
         .distinct()
     )
     open_nodes = staged(spark, every.join(touched, "component", "left_semi").select("node"), "open")
-    members = staged(
-        spark,
+    placed = (
         texts.join(open_nodes, "node", "left_semi")
         .select("node", "text")
-        .mapInArrow(partial(tile_nodes, words=words, limit=limit), "tile long, node long"),
-        "members",
+        .mapInArrow(partial(tile_nodes, words=words, limit=limit), "tile long, node long")
     )
+    # Most tiles hold one set only; they would be most of what is written and shuffled below.
+    ordered = placed.repartition("tile").sortWithinPartitions("tile")
+    members = staged(spark, ordered.mapInArrow(shared_tiles, "tile long, node long"), "members")
     for candidates in (hub_pairs, lambda rows: block_pairs(rows, texts, words, limit)):
         placed = members.join(labels, "node", "left").select(
             "tile", "node", F.coalesce("component", "node").alias("component")
