@@ -7,6 +7,8 @@ part of the time. A text in which case matters (a special token's string, combin
 encoded whole.
 """
 
+import unicodedata
+
 import numpy as np
 from tokenizers import Tokenizer
 
@@ -19,6 +21,17 @@ STEMS = 200_000
 _TAILS = frozenset(",.!?;:")
 
 
+def ends_in_letter(word: str) -> bool:
+    """Whether the word, composed and lower-cased as the tokenizer does it, ends in a letter.
+
+    Some letters end in a combining mark then, which belongs to the marks that follow it.
+    """
+    last = word[-1]
+    if last.isascii():
+        return last.isalpha()
+    return last.isalpha() and unicodedata.normalize("NFC", word).lower()[-1].isalpha()
+
+
 class WordEncoder:
     """Encodes texts with the tokenizer file at ``path``, without special tokens."""
 
@@ -39,7 +52,7 @@ class WordEncoder:
 
     def word_ids(self, word: str) -> bytes:
         """Ids of a word: a final mark after a letter is a token of its own."""
-        if len(word) > 1 and word[-1] in _TAILS and word[-2].isalpha():
+        if len(word) > 1 and word[-1] in _TAILS and ends_in_letter(word[:-1]):
             return self.stem_ids(word[:-1]) + self.stem_ids(word[-1])
         return self.stem_ids(word)
 
