@@ -1,0 +1,330 @@
+"""Spelling variants, embedding whitening and document fingerprints against brute force."""
+
+import hashlib
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import regex
+from hypothesis import given, settings, strategies
+
+import vitaelake
+from vitaelake.llm import embedding_whitening, fingerprints, spelling_variants
+from vitaelake.llm.queries import QUERIES
+from vitaelake.session import ship_packages
+
+DOCS = "doc_id long, text string, word string, n long, key int, part int"
+
+
+@pytest.fixture(autouse=True, scope="module")
+def shipped(spark):
+    ship_packages(spark, vitaelake)
+
+
+def documents(spark, rows):
+    """Rows of (doc_id, text) with columns whose names the operators use themselves."""
+    return spark.createDataFrame([(i, t, "w", 1, 2, 3) for i, t in rows], DOCS).repartition(3)
+
+
+# Spelling variants
+
+
+def counted(rows, thinned=31, least=7):
+    found = Counter()
+    for doc_id, text in rows:
+        for run in regex.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            digest = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if thinned and digest % thinned == 0:
+                run = run[: digest % len(run)] + run[digest % len(run) + 1 :]
+            if len(run) >= least:
+                found[run] += 1
+    return {word: n for word, n in found.items() if n >= 2}
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) == len(short) + 1 and any(
+        long[:at] + long[at + 1 :] == short for at in range(len(long))
+    )
+
+
+def variants(words):
+    """word -> (form, root, n, n_near, form_n), by comparing words that share all but a letter."""
+    alike = defaultdict(set)
+    for word in words:
+        for rest in {word, *(word[:at] + word[at + 1 :] for at in range(len(word)))}:
+            alike[rest].add(word)
+    near = defaultdict(set)
+    for group in alike.values():
+        for word in group:
+            near[word] |= {other for other in group if one_edit(word, other)}
+    form = {}
+    for word, others in near.items():
+        best = min(others, key=lambda other: (-words[other], other), default=None)
+        if best is not None and words[best] >= 10 * words[word]:
+            form[word] = best
+    found = {}
+    for word, n in words.items():
+        root = word
+        while root in form:
+            root = form[root]
+        mine = form.get(word)
+        found[word] = (mine, root, n, len(near[word]), words[mine] if mine else None)
+    return found
+
+
+def as_found(rows):
+    return {r["word"]: (r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in rows.collect()}
+
+
+def test_variants_of_all_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(row["doc_id"], row["text"]) for row in docs.collect()]
+    found = as_found(QUERIES["op11_spelling_variants"](spark, sf_dir))
+    assert found == variants(counted(rows))
+    assert any(form for form, *_ in found.values())
+
+
+def test_variants_in_halved_blocks(spark, monkeypatch):
+    """Chains of forms, crowded beginnings and endings, repeated letters, letters beyond Latin-1."""
+    monkeypatch.setattr(spelling_variants, "CROWDED", 3)
+    words = {"aaaaaaa": 10_000, "aaaaaaaa": 900, "aaaaaaab": 80, "aaaaaabb": 7, "baaaaaa": 10_000}
+    words |= {"a": 50, "b": 4, "ab": 4, "": 2, "wörter": 30, "wortér": 2, "ж漢字": 40, "ж漢": 3}
+    words |= {"same" + "abcdefghij"[n % 10] + "klmno"[n % 5] + "tail": n + 2 for n in range(60)}
+    words |= {"q" * 300: 20, "q" * 299 + "r": 2, "q" * 301: 200}
+    given = spark.createDataFrame(list(words.items()), "word string, n long")
+    expected = variants({word: n for word, n in words.items() if word})
+    found = as_found(spelling_variants.group_variants(given))
+    assert found.pop("") == (None, "", 2, 0, None)
+    # The empty word is an edit away from every single letter; it has no block and no links.
+    assert found == expected
+
+
+def test_word_counts_on_awkward_rows(spark):
+    long = "Straße" * 4000
+    rows = [
+        (1, "Repeated repeated REPEATED"), (1, "repeated"), (1, "repeated"), (2, None), (3, ""),
+        (None, "repeated nullword"), (4, "NULLWORD ÀÉÎÕÜÿß àéîõüÿß ×÷×÷×÷×"), (5, long), (6, long),
+        (7, "ÀÉÎÕÜÿß x1y2z3 under_score"), (8, "×÷×÷×÷×"),
+    ]
+    for thinned in (0, 3):
+        given = spelling_variants.word_counts(documents(spark, rows), thinned=thinned)
+        assert {r["word"]: r["n"] for r in given.collect()} == counted(rows, thinned)
+    none = documents(spark, [(1, None)]).limit(0)
+    assert spelling_variants.group_variants(spelling_variants.word_counts(none)).collect() == []
+
+
+def test_word_counts_passed_on_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(spelling_variants, "HELD_WORDS", 2)
+    texts = ["abcdefg hijklmn", "abcdefg opqrstu", "vwxyzab hijklmn"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(texts)], names=["d", "t"])
+    total = Counter()
+    for part in spelling_variants.count_words(iter([batch]), 7, 0):
+        total.update(dict(zip(*[column.to_pylist() for column in part.columns])))
+    assert total == Counter(" ".join(texts).split())
+
+
+@given(strategies.lists(strategies.text("ab", min_size=1, max_size=5), unique=True, max_size=40))
+@settings(max_examples=60, deadline=None)
+def test_pairs_of_a_block(words):
+    """All words of two lengths in one block, with the whole word as its range."""
+    for m in range(1, 6):
+        some = [word for word in words if len(word) in (m, m + 1)]
+        if len(some) < 2:
+            continue
+        n = np.ones(len(some), np.int64)
+        one, other = spelling_variants.near_in_blocks(
+            some, n, np.array([0, len(some)]), n * m, n * 0, n * m
+        )
+        found = Counter(frozenset((some[a], some[b])) for a, b in zip(one, other))
+        expected = {
+            frozenset((a, b)) for a in some for b in some if one_edit(a, b) and m in (len(a), len(b))
+        }
+        assert found == Counter(expected)
+
+
+# Embedding whitening
+
+VECTORS = "vec_id long, embedding array<double>, x string, size int, i int"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, "x", 1, 2) for i, v in rows], VECTORS).repartition(3)
+
+
+def integers(vector):
+    return [math.floor(64 * entry) + 1_000_000 for entry in vector]
+
+
+def check_whitening(found, rows, components=16):
+    """Against whole numbers, numpy's covariance and the model's own identities."""
+    usable = [(i, integers(v)) for i, v in rows]
+    distinct = sorted({tuple(x) for _, x in usable})
+    n, sums = len(distinct), [sum(column) for column in zip(*distinct)]
+    centred = np.array([[n * a - s for a, s in zip(x, sums)] for x in distinct], float) / n
+    cov = centred.T @ centred / n
+    values, axes = np.linalg.eigh(cov)
+    values, axes = values[::-1], axes[:, ::-1]
+    used = [k for k in range(min(components, len(values))) if values[k] > 1e-12 * np.trace(cov)]
+    assert len(found) == len(usable) * len(used)
+    by = defaultdict(dict)
+    for row in found:
+        assert row["n"] == n and row["identity_error"] < 1e-9
+        assert row["explained"] == pytest.approx(values[row["component"] - 1] / np.trace(cov), rel=1e-9)
+        by[row["vec_id"]].setdefault(row["component"], []).append((row["whitened"], row["deviation"]))
+    for key, x in usable:
+        deviation = sum((n * a - s) ** 2 for a, s in zip(x, sums))
+        for k in used:
+            expected = (np.array([n * a - s for a, s in zip(x, sums)], float) / n) @ axes[:, k]
+            expected = abs(expected / math.sqrt(values[k]))
+            assert any(
+                d == (deviation if deviation < 1 << 63 else None) and abs(w) == pytest.approx(expected, rel=1e-6, abs=1e-6)
+                for w, d in by[key][k + 1]
+            )
+
+
+def test_whitening_of_all_embeddings(spark, sf_dir):
+    rows = [
+        (row["vec_id"], row["embedding"])
+        for row in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
+    ]
+    check_whitening(QUERIES["op12_embedding_whitening"](spark, sf_dir).collect(), rows)
+
+
+def test_whitening_on_awkward_rows(spark):
+    random = np.random.default_rng(5)
+    rows = [(i, random.normal(size=5).tolist()) for i in range(40)]
+    rows += [(100, rows[3][1]), (101, rows[3][1]), (101, rows[3][1]), (None, rows[4][1])]
+    rows += [(102, [0.015, -0.015, 0.0, -0.0, 1.0])]
+    bad = [
+        (200, None), (201, [1.0, None, 0.0, 0.0, 0.0]), (202, [math.nan, 0.0, 0.0, 0.0, 0.0]),
+        (203, [math.inf, 0.0, 0.0, 0.0, 0.0]), (204, [0.0, 0.0, 0.0, 0.0, -math.inf]), (205, []),
+        (206, [1.0, 2.0]), (207, [2.0**42, 0.0, 0.0, 0.0, 0.0]), (208, [None] * 5),
+    ]
+    found = embedding_whitening.whiten(vectors(spark, rows + bad)).collect()
+    check_whitening(found, rows)
+    assert not {row["vec_id"] for row in found} & {i for i, _ in bad}
+
+
+def test_whitening_of_large_entries(spark):
+    random = np.random.default_rng(6)
+    rows = [(i, (random.normal(size=3) * 10.0 ** (1 + 4 * (i % 3))).tolist()) for i in range(30)]
+    found = embedding_whitening.whiten(vectors(spark, rows), components=1).collect()
+    check_whitening(found, rows, components=1)
+
+
+def test_whitening_without_variance(spark):
+    same = vectors(spark, [(1, [0.5, 1.0]), (2, [0.5, 1.0])])
+    assert embedding_whitening.whiten(same).collect() == []
+    flat = embedding_whitening.whiten(vectors(spark, [(1, [0.0, 1.0]), (2, [1.0, 1.0])])).collect()
+    assert sorted((row["vec_id"], row["component"]) for row in flat) == [(1, 1), (2, 1)]
+    for rows in ([], [(1, None)], [(1, [])]):
+        assert embedding_whitening.whiten(vectors(spark, rows)).collect() == []
+
+
+def test_polarisation_gives_the_covariance_exactly():
+    random = np.random.default_rng(7)
+    x = random.integers(-(10**6), 10**6, (50, 4))
+    n, sums = len(x), x.sum(axis=0)
+    parts = [divmod(int(total), n) for total in sums]
+    z = x - np.array([part[0] for part in parts])
+    held = embedding_whitening.square_sums(z.astype(object))
+    totals = {(i, j): held[i, j] for i in range(4) for j in range(i, 4)}
+    found = embedding_whitening.covariance(totals, [part[1] for part in parts], n)
+    for i in range(4):
+        for j in range(4):
+            exact = sum((n * int(a) - int(sums[i])) * (n * int(b) - int(sums[j])) for a, b in x[:, [i, j]])
+            assert found[i, j] == exact / n**3
+
+
+# Document fingerprints
+
+
+def fingerprint(text):
+    return fingerprints.paragraph_sums([text.encode()])
+
+
+def check_fingerprints(found, rows):
+    order = sorted(rows, key=lambda row: (row[0] is not None, row[0] or 0))
+    assert len(found) == len(rows)
+    texts = [text or "" for _, text in order]
+    results = {row["doc_id"]: row for row in found}
+    assert len(results) == len(rows)
+    for at, (doc_id, text) in enumerate(order):
+        text, row = text or "", results[doc_id]
+        following = texts[(at + 1) % len(texts)]
+        edited = text[: len(text) - len(text) // 2] + following[: len(text) // 2]
+        assert row["n_chars"] == len(text)
+        assert row["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        own, new, after = fingerprint(text), fingerprint(edited), fingerprint(following)
+        assert row["fingerprint"] == own.texts()[0]
+        assert row["edited_fingerprint"] == new.texts()[0]
+        assert row["near_edited"] == fingerprints.likeness(own, new)[0]
+        assert row["near_next"] == fingerprints.likeness(own, after)[0]
+
+
+def test_fingerprints_of_all_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(row["doc_id"], row["text"]) for row in docs.collect()]
+    found = QUERIES["op13_document_fingerprints"](spark, sf_dir).collect()
+    check_fingerprints(found, rows)
+    by_text = defaultdict(set)
+    for row in found:
+        by_text[dict(rows)[row["doc_id"]]].add(row["fingerprint"])
+    assert all(len(same) == 1 for same in by_text.values())
+    long = [row for row in found if row["n_chars"] > 400]
+    assert sum(row["near_edited"] > row["near_next"] for row in long) > 0.95 * len(long)
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 30])
+def test_fingerprints_on_awkward_rows(spark, count):
+    long = "\n".join(f"paragraph {n} of a long text" for n in range(40_000))
+    texts = ["\n\n", None, "", "one", "\n", "é漢🎉" * 9, long, "one\n", "a b c d\na b", "x" * 70_000, "same", "same"]
+    rows = [(3 * n, texts[n % len(texts)]) for n in range(count)]
+    check_fingerprints(fingerprints.edited_fingerprints(documents(spark, rows)).collect(), rows)
+    rows.append((None, "no id\nat all"))
+    check_fingerprints(fingerprints.edited_fingerprints(documents(spark, rows)).collect(), rows)
+
+
+def test_fingerprints_of_repeated_rows(spark):
+    """Rows of one doc_id follow each other, whatever range or batch they are in."""
+    rows = [(n // 4, f"text {n // 2}") for n in range(40)] + [(5, "text 10")] * 6
+    found = fingerprints.edited_fingerprints(documents(spark, rows)).collect()
+    assert Counter(row["doc_id"] for row in found) == Counter(doc_id for doc_id, _ in rows)
+    again = fingerprints.edited_fingerprints(documents(spark, rows[::-1]).repartition(5)).collect()
+    assert Counter(map(tuple, found)) == Counter(map(tuple, again))
+    assert fingerprints.edited_fingerprints(documents(spark, rows).limit(0)).collect() == []
+
+
+@given(strategies.lists(strategies.text("ab \n", max_size=12), min_size=1, max_size=6), strategies.randoms())
+@settings(max_examples=60, deadline=None)
+def test_fingerprints_are_sums(paragraphs, random):
+    """Any order gives the same; a paragraph can be put in and taken out."""
+    whole = fingerprint("\n".join(paragraphs))
+    mixed = list(paragraphs)
+    random.shuffle(mixed)
+    assert fingerprint("\n".join(mixed)).texts() == whole.texts()
+    more = whole.plus(fingerprint("new\none"))
+    assert more.texts() == fingerprint("\n".join([*paragraphs, "new", "one"])).texts()
+    assert more.minus(fingerprint("one\nnew")).texts() == whole.texts()
+    assert fingerprints.likeness(whole, whole)[0] == 1
+    changed = fingerprint("\n".join([*paragraphs[:-1], paragraphs[-1] + "x"]))
+    assert changed.texts() != whole.texts()
+
+
+def test_likeness_estimates_shared_words():
+    random = np.random.default_rng(8)
+    one, other = ([f"w{n}" for n in random.integers(0, 10**6, 3000)] for _ in range(2))
+    for share in (0.0, 0.25, 0.5, 0.75, 1.0):
+        kept = round(3000 * share)
+        near = fingerprints.likeness(
+            fingerprint(" ".join(one)), fingerprint(" ".join(one[:kept] + other[kept:]))
+        )
+        assert near[0] == pytest.approx(share, abs=4 / 16)

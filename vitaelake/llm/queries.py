@@ -10,12 +10,15 @@ import vitaelake
 from vitaelake.llm import (
     chat_quotes,
     decontamination,
+    embedding_whitening,
+    fingerprints,
     html_blocks,
     ngram_join,
     orc_tokens,
     packing,
     quality_rules,
     quality_trees,
+    spelling_variants,
     suffix_dedup,
     toxicity,
 )
@@ -176,3 +179,22 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with the far commoner one it is an edit away from."""
+    words = spelling_variants.word_counts(table(spark, sf_dir, "documents"), thinned=31)
+    return spelling_variants.group_variants(words)
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's whitened components."""
+    return embedding_whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_document_fingerprints")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, that of its edited copy, and how alike they are."""
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
