@@ -14,7 +14,11 @@ A new batch is sorted and merge-scanned against the levels so far:
   the family; all that the windows of the others reach is removed. This is done within each task
   first, so a passage that a third of all documents share reaches the shuffle as one entry a task.
 * Different entries with equal ``narrow`` agree in part. Their surroundings are fetched, and the 69
-  windows of each are compared by 64-bit hash, so a match ends at the exact byte.
+  windows of each are compared by 64-bit hash, so a match ends at the exact byte. Where very many
+  entries share an anchor, its windows are halved into those that reach further back and further
+  ahead: equal windows of a half agree in a longer string too, by which the entries are dealt anew;
+  those that agree in all of the half are settled at once. So no group of one anchor is compared
+  whole, and each round passes on only entries that agree in ever more bytes.
 
 The batch's new entries are a level of their own; levels of about equal size are merged, so there
 are logarithmically many.
@@ -44,9 +48,11 @@ REACH = LENGTH - GRAM  # bytes before an anchor that its windows reach
 WINDOWS = REACH + 1
 HELD_ANCHORS = 500_000
 # Different surroundings of one anchor in one task, above which they are spread by surroundings.
-SPREAD = 4096
-# Entries compared together; a larger group of one anchor goes on window by window.
-TOGETHER = 20_000
+SPREAD = 256
+# Entries that share a string, above which they are dealt anew by longer ones.
+TOGETHER = 1024
+# Entries whose windows are compared at once.
+HELD_ENTRIES = 20_000
 
 _BASE = 0xD1342543DE82EF95
 _UNBASE = pow(_BASE, -1, 1 << 64)
@@ -243,11 +249,32 @@ def scan_entries(keep_index: bool):
     return run
 
 
-SURROUNDINGS = "narrow long, doc long, packed long, around binary"
+RANGED = "key long, full long, low int, high int, doc long, packed long, around binary"
+COMPARED = "kind int, " + RANGED + ", start long, end long"
+
+
+def rows_of(schema: str, *columns) -> pa.RecordBatch:
+    """A batch with the names of a schema; a column is an array, or a value for every row."""
+    names = [part.split()[0] for part in schema.split(", ")]
+    return pa.RecordBatch.from_arrays(list(columns), names=names)
+
+
+def longs(values) -> pa.Array:
+    return pa.array(np.asarray(values).view(np.int64))
 
 
 def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, entries, text) -> narrow, doc, packed, the bytes that the entry's windows reach."""
+    """(doc, entries, text) -> a row per entry, keyed by ``narrow``, for all of its windows, with
+    the bytes that they reach."""
+
+    def rows(narrow, doc, packed, around) -> pa.RecordBatch:
+        zero = np.zeros(len(narrow), np.int64)
+        low, high = (pa.array((zero + step).astype(np.int32)) for step in (0, WINDOWS))
+        keys = [pa.array(one, pa.int64()) for one in (narrow, doc, packed)]
+        return rows_of(
+            RANGED, keys[0], pa.array(zero), low, high, *keys[1:], pa.array(around, pa.binary())
+        )
+
     for batch in batches:
         texts, docs = utf8(batch.column(2)), batch.column(0).to_pylist()
         narrow, doc, packed, around = [], [], [], []
@@ -261,34 +288,104 @@ def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 packed.append(word)
                 around.append(text[place - ((word >> 8) & 255) : place + (word & 255)])
             if len(narrow) >= 50_000:
-                yield surroundings_batch(narrow, doc, packed, around)
+                yield rows(narrow, doc, packed, around)
                 narrow, doc, packed, around = [], [], [], []
-        yield surroundings_batch(narrow, doc, packed, around)
+        yield rows(narrow, doc, packed, around)
 
 
-def surroundings_batch(narrow, doc, packed, around) -> pa.RecordBatch:
-    arrays = [pa.array(one, pa.int64()) for one in (narrow, doc, packed)]
-    arrays.append(pa.array(around, pa.binary()))
-    return pa.RecordBatch.from_arrays(arrays, names=["narrow", "doc", "packed", "around"])
-
-
-def window_keys(narrow: np.ndarray, packed: np.ndarray, around: list[bytes]):
-    """Hash of every window of every entry, and which of them lie inside their document."""
-    before, after = (packed >> 8) & 255, packed & 255
+def running_sums(packed: np.ndarray, around: list[bytes]) -> np.ndarray:
+    """Hash sums over each entry's bytes, with its anchor at column REACH."""
+    before = (packed >> 8) & 255
     width = REACH + LENGTH
     padded = b"".join(
         one.rjust(len(one) + REACH - int(left), b"\0").ljust(width, b"\0")
         for one, left in zip(around, before)
     )
     data = np.frombuffer(padded, np.uint8).reshape(-1, width)
-    up, down = tables(width)
     sums = np.zeros((len(data), width + 1), np.uint64)
-    np.cumsum(_VALUES[data] * up[:width], axis=1, out=sums[:, 1:])
-    keys = (sums[:, LENGTH:] - sums[:, : WINDOWS]) * down[:WINDOWS]
-    keys = mixed(mixed(keys) ^ narrow.view(np.uint64)[:, None])
-    step = np.arange(WINDOWS)
-    valid = (step >= (REACH - before)[:, None]) & (step + LENGTH <= (REACH + after)[:, None])
-    return keys, valid
+    np.cumsum(_VALUES[data] * tables(width)[0][:width], axis=1, out=sums[:, 1:])
+    return sums
+
+
+def inside(packed: np.ndarray, low, high) -> tuple[np.ndarray, np.ndarray]:
+    """Of the windows from low to high (exclusive), the first and the end of those that lie inside
+    the document."""
+    return np.maximum(low, REACH - ((packed >> 8) & 255)), np.minimum(high, (packed & 255) - GRAM + 1)
+
+
+def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries with a range of windows -> either half of the range, keyed by the string that all
+    its windows hold, with a hash of all that they reach; entries that agree in all of it are
+    settled within the task first."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, HELD_ENTRIES):
+            part = batch.slice(at, HELD_ENTRIES)
+            low, high = (part.column(place).to_numpy().astype(np.int64) for place in (2, 3))
+            packed = part.column(5).to_numpy()
+            sums, down = running_sums(packed, part.column(6).to_pylist()), tables(REACH + LENGTH)[1]
+            middle = (low + high) // 2
+            found = []
+            for begin, end in ((low, middle), (middle, high)):
+                first, last = inside(packed, begin, end)
+                rows = np.flatnonzero(first < last)
+                begin, end, first, last = begin[rows], end[rows], first[rows], last[rows]
+                # Windows of a range hold what is from the last one's start to the first one's end.
+                core = (sums[rows, begin + LENGTH] - sums[rows, end - 1]) * down[end - 1]
+                reach = (sums[rows, last - 1 + LENGTH] - sums[rows, first]) * down[first]
+                key = mixed(mixed(core) ^ (begin * 256 + end).astype(np.uint64))
+                full = mixed(mixed(reach) ^ (first * 256 + last).astype(np.uint64)) ^ key
+                found.append((rows, key.view(np.int64), full.view(np.int64), begin, end))
+            rows, key, full, begin, end = (np.concatenate(one) for one in zip(*found))
+            keyed = [pa.array(key), pa.array(full)]
+            keyed += [pa.array(one.astype(np.int32)) for one in (begin, end)]
+            keyed += [part.column(place).take(pa.array(rows)) for place in (4, 5, 6)]
+            order = np.lexsort((packed[rows], keyed[4].to_numpy(), full, key))
+            yield from settle_equal(iter([entry_batch(rows_of(RANGED, *keyed).take(pa.array(order)))]))
+
+
+def settle_equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries in order of (key, full, doc, packed) -> the first of each key and full, and the spans
+    that the windows of the others reach; spans pass through."""
+    held, held_place = None, None
+    for batch in batches:
+        entry = pa.compute.equal(batch.column(0), ENTRY)
+        yield batch.filter(pa.compute.invert(entry))
+        batch = rows_of(RANGED, *batch.filter(entry).columns[1:8])
+        if not batch.num_rows:
+            continue
+        key, full, low, high, doc, packed = (batch.column(at).to_numpy() for at in range(6))
+        first = np.ones(len(key), bool)
+        first[1:] = (key[1:] != key[:-1]) | (full[1:] != full[:-1])
+        chief = np.flatnonzero(first)[np.cumsum(first) - 1]
+        chief_doc, chief_packed = doc[chief], packed[chief]
+        if held == (key[0], full[0]):
+            own = chief == 0
+            chief_doc = np.where(own, held_place[0], chief_doc)
+            chief_packed = np.where(own, held_place[1], chief_packed)
+            first[0] = False
+        held, held_place = (key[-1], full[-1]), (chief_doc[-1], chief_packed[-1])
+        later = np.flatnonzero((doc != chief_doc) | (packed != chief_packed))
+        start, end = inside(packed[later], low[later], high[later])
+        place = place_of(packed[later]) - REACH
+        yield span_batch(doc[later], packed[later] >> 48, place + start, place + end - 1 + LENGTH)
+        yield entry_batch(batch.filter(pa.array(first)))
+
+
+def entry_batch(rows: pa.RecordBatch) -> pa.RecordBatch:
+    none = pa.nulls(rows.num_rows, pa.int64())
+    kind = pa.array(np.full(rows.num_rows, ENTRY, np.int32))
+    return rows_of(COMPARED, kind, *rows.columns, none, none)
+
+
+def span_batch(doc, twin, low, high) -> pa.RecordBatch:
+    doc, twin, low, high = joined_spans(doc, twin, low, high)
+    size = len(doc)
+    steps = pa.nulls(size, pa.int32())
+    return rows_of(
+        COMPARED, pa.array(np.full(size, SPAN, np.int32)), longs(mixed(doc.view(np.uint64))),
+        pa.nulls(size, pa.int64()), steps, steps, longs(doc), longs(pack_place(twin, low, 0, 0)),
+        pa.nulls(size, pa.binary()), longs(low), longs(high),
+    )
 
 
 def repeated_windows(keys: np.ndarray, valid: np.ndarray) -> np.ndarray:
@@ -305,110 +402,43 @@ def repeated_windows(keys: np.ndarray, valid: np.ndarray) -> np.ndarray:
     return repeated
 
 
-COMPARED = "kind int, key long, doc long, packed long, high long"
-
-
-def compared_rows(kind: int, key, doc, packed, high) -> pa.RecordBatch:
-    arrays = [pa.array(np.full(len(doc), kind, np.int32))]
-    arrays += [pa.array(np.asarray(one).view(np.int64)) for one in (key, doc, packed, high)]
-    return pa.RecordBatch.from_arrays(
-        arrays, names=[part.split()[0] for part in COMPARED.split(", ")]
-    )
-
-
-def compare_entries(together: int):
-    """Rows in order of (narrow, doc, packed) -> spans removed; of an anchor with more entries
-    than are compared at once, the windows that are first among those (kind NEW)."""
-
-    def compare(rows: list[tuple], whole: bool) -> Iterator[pa.RecordBatch]:
-        narrow, doc, packed = (np.concatenate([one[at] for one in rows]) for at in range(3))
-        around = [text for one in rows for text in one[3]]
-        if not len(narrow):
-            return
-        keys, valid = window_keys(narrow, packed, around)
-        repeated = repeated_windows(keys, valid)
-        # The same occurrence named twice is no repeat.
-        same = np.zeros(len(narrow), bool)
-        same[1:] = (narrow[1:] == narrow[:-1]) & (doc[1:] == doc[:-1]) & (packed[1:] == packed[:-1])
-        repeated[same] = False
-        some = repeated.any(axis=1)
-        low = place_of(packed) - REACH + repeated.argmax(axis=1)
-        high = place_of(packed) + REACH - repeated[:, ::-1].argmax(axis=1) - REACH + LENGTH
-        d, t, a, b = joined_spans(doc[some], (packed >> 48)[some], low[some], high[some])
-        yield compared_rows(SPAN, np.zeros(len(d), np.int64), d, pack_place(t, a, 0, 0), b)
-        if not whole:
-            row, step = np.nonzero(valid & ~repeated)
-            place = place_of(packed)[row] - REACH + step
-            yield compared_rows(
-                NEW, keys[row, step], doc[row],
-                pack_place((packed >> 48)[row], place, 0, 0), place + LENGTH,
-            )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size, split = 0, None  # split: the anchor that is being compared in parts
-        for batch in batches:
-            narrow, doc, packed = (batch.column(at).to_numpy() for at in range(3))
-            around = batch.column(3).to_pylist()
-            cuts = np.flatnonzero(np.append(True, narrow[1:] != narrow[:-1]))
-            for begin, end in zip(cuts, np.append(cuts[1:], len(narrow))):
-                for at in range(begin, end, together):
-                    to = min(end, at + together)
-                    piece = (narrow[at:to], doc[at:to], packed[at:to], around[at:to])
-                    same = bool(held) and held[-1][0][-1] == piece[0][0]
-                    if size + (to - at) > together and held:
-                        if not same and split is None:
-                            yield from compare(held, True)
-                            held, size = [], 0
-                        else:
-                            # The anchor at the end is too large: the others first, then its part.
-                            last = held[-1][0][-1]
-                            if not same:
-                                yield from compare(held, False)
-                                held, size, split = [], 0, None
-                            else:
-                                others = [one for one in held if one[0][0] != last]
-                                part = [one for one in held if one[0][0] == last]
-                                if others:
-                                    yield from compare(others, True)
-                                if sum(len(one[0]) for one in part) + (to - at) > together:
-                                    yield from compare(part, False)
-                                    part, split = [], last
-                                held, size = part, sum(len(one[0]) for one in part)
-                    elif split is not None and held and not same:
-                        yield from compare(held, False)
-                        held, size, split = [], 0, None
-                    if split is not None and piece[0][0] != split:
-                        split = None
-                    held.append(piece)
-                    size += to - at
-        if held:
-            yield from compare(held, split is None)
-
-    return run
-
-
-def settle_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows in order of (key, doc, packed) -> spans of those that are not a key's first."""
-    open_key, open_place = None, None
+def compare_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of (key, doc, packed) -> the spans of windows that an earlier row of the same
+    key has too. A key has a bounded number of rows."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        _, key, doc, packed, high = (column.to_numpy() for column in batch.columns)
-        if not len(key):
-            continue
-        first = np.ones(len(key), bool)
-        first[1:] = key[1:] != key[:-1]
-        chief = np.flatnonzero(first)[np.cumsum(first) - 1]
-        chief_doc, chief_packed = doc[chief], packed[chief]
-        if open_key is not None and key[0] == open_key:
-            own = key == open_key
-            chief_doc = np.where(own, open_place[0], chief_doc)
-            chief_packed = np.where(own, open_place[1], chief_packed)
-        later = (doc != chief_doc) | (packed != chief_packed)
-        open_key, open_place = key[-1], (chief_doc[-1], chief_packed[-1])
-        d, t, a, b = joined_spans(
-            doc[later], (packed >> 48)[later], place_of(packed)[later], high[later]
-        )
-        yield compared_rows(SPAN, np.zeros(len(d), np.int64), d, pack_place(t, a, 0, 0), b)
+        for at in range(0, batch.num_rows, HELD_ENTRIES):
+            held.append(batch.slice(at, HELD_ENTRIES))
+            size += held[-1].num_rows
+            if size < HELD_ENTRIES:
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            key = table.column(0).to_numpy()
+            whole = int(np.flatnonzero(np.append(True, key[1:] != key[:-1]))[-1])
+            yield compared(table.slice(0, whole))
+            held, size = table.slice(whole).to_batches(), table.num_rows - whole
+    if held:
+        yield compared(pa.Table.from_batches(held))
+
+
+def compared(table: pa.Table) -> pa.RecordBatch:
+    key, _, low, high, doc, packed = (table.column(at).to_numpy() for at in range(6))
+    if not len(key):
+        return span_batch(*[np.empty(0, int)] * 4)
+    sums, down = running_sums(packed, table.column(6).to_pylist()), tables(REACH + LENGTH)[1]
+    windows = (sums[:, LENGTH:] - sums[:, :WINDOWS]) * down[:WINDOWS]
+    windows = mixed(mixed(windows) ^ key.view(np.uint64)[:, None])
+    first, last = inside(packed, low, high)
+    step = np.arange(WINDOWS)
+    repeated = repeated_windows(windows, (step >= first[:, None]) & (step < last[:, None]))
+    # The same occurrence named twice is no repeat.
+    repeated[1:][(key[1:] == key[:-1]) & (doc[1:] == doc[:-1]) & (packed[1:] == packed[:-1])] = False
+    some = repeated.any(axis=1)
+    place = place_of(packed)[some] - REACH
+    start = place + repeated.argmax(axis=1)[some]
+    end = place + WINDOWS - 1 - repeated[:, ::-1].argmax(axis=1)[some] + LENGTH
+    return span_batch(doc[some], (packed >> 48)[some], start, end)
 
 
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -490,7 +520,8 @@ class SuffixFamily:
             size = level.count()
         self.levels.append((size, level.select("narrow", "wide", "doc", "packed")))
 
-    def _compare(self, entries: DataFrame) -> DataFrame:
+    def _fetched(self, entries: DataFrame) -> DataFrame:
+        """The surroundings of entries, out of the documents of all batches."""
         corpus = self.batches[0]
         for batch in self.batches[1:]:
             corpus = corpus.unionByName(batch)
@@ -500,30 +531,56 @@ class SuffixFamily:
         fetched = corpus.join(
             of_doc, (F.col("doc") == F.col("of")) & (F.col("twin") == F.col("of_twin"))
         ).select("doc", "entries", "text")
-        ordered = (
-            fetched.mapInArrow(surroundings, SURROUNDINGS)
-            .repartition("narrow")
-            .sortWithinPartitions("narrow", "doc", "packed")
-        )
-        compared = staged(
-            self.spark, ordered.mapInArrow(compare_entries(self.together), COMPARED), "compared"
+        return fetched.mapInArrow(surroundings, RANGED)
+
+    def _compare(self, entries: DataFrame) -> DataFrame:
+        """Spans of windows that two entries of an anchor share."""
+        counts = entries.groupBy("narrow").agg(F.count(F.lit(1)).alias("members"))
+        crowded = staged(
+            self.spark, counts.where(F.col("members") > self.together).select("narrow"), "crowded"
         )
-        windows = compared.where(F.col("kind") == NEW)
-        settled = (
-            windows.repartition("key")
-            .sortWithinPartitions("key", "doc", "packed")
-            .mapInArrow(settle_windows, COMPARED)
+        if crowded.isEmpty():
+            parts, spans = [self._fetched(entries)], []
+        else:
+            # No hint: Spark broadcasts the anchors if they are few, and else splits skewed parts.
+            parts = [self._fetched(entries.join(crowded, "narrow", "left_anti"))]
+            settled, spans = self._divided(self._fetched(entries.join(crowded, "narrow")))
+            parts += settled
+        together = parts[0]
+        for part in parts[1:]:
+            together = together.unionByName(part)
+        ordered = together.repartition("key").sortWithinPartitions("key", "doc", "packed")
+        found = ordered.mapInArrow(compare_entries, COMPARED).select("doc", "packed", "start", "end")
+        for part in spans:
+            found = found.unionByName(part)
+        return found.select(
+            "doc",
+            F.shiftright("packed", 48).cast("int").alias("twin"),
+            F.col("start").alias("low"),
+            F.col("end").alias("high"),
         )
-        return (
-            compared.where(F.col("kind") == SPAN)
-            .unionByName(settled)
-            .select(
-                "doc",
-                F.shiftright("packed", 48).cast("int").alias("twin"),
-                F.shiftright("packed", 16).bitwiseAND(F.lit(0xFFFFFFFF)).alias("low"),
-                "high",
+
+    def _divided(self, rows: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+        """Entries of crowded anchors by halves of their windows, until few share a half: the rows
+        to compare, and the spans found on the way. A half of one window leaves one row of a key."""
+        settled, spans = [], []
+        while True:
+            ordered = (
+                rows.mapInArrow(halves, COMPARED)
+                .repartition("key", "full")
+                .sortWithinPartitions("kind", "key", "full", "doc", "packed")
             )
-        )
+            left = staged(self.spark, ordered.mapInArrow(settle_equal, COMPARED), "halves")
+            spans.append(left.where(F.col("kind") == SPAN).select("doc", "packed", "start", "end"))
+            entries = left.where(F.col("kind") == ENTRY).drop("kind", "start", "end")
+            counts = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+            shared = staged(self.spark, counts.where("members > 1"), "shared")
+            few = F.col("members") <= self.together
+            settled.append(entries.join(shared.where(few).select("key"), "key"))
+            crowded = shared.where(~few).select("key")
+            if crowded.isEmpty():
+                return settled, spans
+            rows = entries.join(crowded, "key")
 
 
 KEPT = "doc long, n_bytes long, n_removed long, n_spans long, kept binary"
