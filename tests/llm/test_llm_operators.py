@@ -381,7 +381,8 @@ def test_suffix_dedup_spreads_crowded_anchors(spark, monkeypatch):
     rows = [(n, f"{n * 7919 % 1000:04d}" * 30 + PASSAGE[: 150 + n % 9] + f"{n:05d}" * 40) for n in range(60)]
     monkeypatch.setattr(suffix_dedup, "SPREAD", 3)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
-    assert cut_rows(df, together=11) == cut_by_hand(rows)
+    for batches in (1, 4):
+        assert cut_rows(df, batches=batches, together=11) == cut_by_hand(rows)
 
 
 def test_suffix_dedup_on_awkward_rows(docs, none):

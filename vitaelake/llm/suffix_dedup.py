@@ -63,7 +63,9 @@ _NO_ID = -(1 << 63)
 
 FOUND = "kind int, route long, narrow long, wide long, doc long, packed long"
 # Kinds of rows: an entry (packed: its place), or a removed span (packed: its start, wide: its end).
-ENTRY, SPAN, NEW = 0, 1, 2
+# NEW: an entry that is compared in any case, or one to be kept. OLD and KNOWN: the same as ENTRY
+# and NEW, of a level.
+ENTRY, SPAN, NEW, OLD, KNOWN = range(5)
 
 
 def tables(size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +200,8 @@ def removed(first: np.ndarray, doc: np.ndarray, packed: np.ndarray) -> pa.Record
 
 def scan_entries(keep_index: bool):
     """Rows in order of (route, narrow, wide, doc, packed) -> spans removed, entries that share
-    ``narrow`` with a different one (kind ENTRY), and all first entries (kind NEW) if kept."""
+    ``narrow`` with a different one (kind ENTRY), and all first entries that are of no level (kind
+    NEW) if kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried = None  # the last entry: its columns and whether it has been given out
@@ -208,7 +211,8 @@ def scan_entries(keep_index: bool):
             if spans.any():
                 yield batch.filter(pa.array(spans))
             entry = ~spans
-            sure = kind[entry] == NEW
+            sure = (kind[entry] == NEW) | (kind[entry] == KNOWN)
+            own = (kind[entry] == ENTRY) | (kind[entry] == NEW)
             narrow, wide, doc, packed = (one[entry] for one in (narrow, wide, doc, packed))
             if not len(narrow):
                 continue
@@ -219,6 +223,7 @@ def scan_entries(keep_index: bool):
                     for old, one in zip(carried[:4], (narrow, wide, doc, packed))
                 )
                 sure, given[0] = np.append(False, sure), carried[4]
+                own = np.append(False, own)
             given = given[: len(narrow)]
             opens = np.ones(len(narrow), bool)
             opens[1:] = narrow[1:] != narrow[:-1]
@@ -226,8 +231,8 @@ def scan_entries(keep_index: bool):
             first[1:] |= wide[1:] != wide[:-1]
             yield removed(first, doc, packed)
             group = (np.cumsum(opens) - 1)[first]
-            sure, given, narrow, wide, doc, packed = (
-                one[first] for one in (sure, given, narrow, wide, doc, packed)
+            sure, given, own, narrow, wide, doc, packed = (
+                one[first] for one in (sure, given, own, narrow, wide, doc, packed)
             )
             many = np.bincount(group)[group] > 1
             # The first row of a group that began in an earlier batch and was given out.
@@ -238,11 +243,10 @@ def scan_entries(keep_index: bool):
             yield found_rows(
                 np.full(len(zero), ENTRY), zero, narrow[out], wide[out], doc[out], packed[out]
             )
-            fresh = np.arange(len(narrow)) >= (carried is not None)
-            if keep_index and fresh.any():
+            if keep_index and own.any():
                 yield found_rows(
-                    np.full(int(fresh.sum()), NEW), np.zeros(int(fresh.sum()), np.int64),
-                    narrow[fresh], wide[fresh], doc[fresh], packed[fresh],
+                    np.full(int(own.sum()), NEW), np.zeros(int(own.sum()), np.int64),
+                    narrow[own], wide[own], doc[own], packed[own],
                 )
             carried = (narrow[-1], wide[-1], doc[-1], packed[-1], bool(out[-1] or given[-1]))
 
@@ -485,7 +489,7 @@ class SuffixFamily:
         self.batches.append(batch)
         rows = batch.select("doc", "twin", "text").mapInArrow(anchor_rows, FOUND)
         for _, level in self.levels:
-            rows = rows.unionByName(level.withColumn("kind", F.lit(ENTRY)).withColumn("route", F.col("narrow")))
+            rows = rows.unionByName(level)
         ordered = rows.repartition("route").sortWithinPartitions(
             "route", "narrow", "wide", "doc", "packed"
         )
@@ -501,24 +505,30 @@ class SuffixFamily:
         return spans.unionByName(self._compare(found.where(F.col("kind") == ENTRY)))
 
     def _keep(self, entries: DataFrame) -> None:
-        """The levels' entries came back in the scan, so ``entries`` holds them too: those of
-        levels as large as the new entries are merged with them, those of larger ones stay."""
-        known = [level for _, level in self.levels]
-        fresh = entries
-        if known:
-            old = known[0]
-            for level in known[1:]:
-                old = old.unionByName(level)
-            fresh = entries.join(old.select("wide", "doc", "packed"), ["wide", "doc", "packed"], "left_anti")
-        level = staged(self.spark, fresh.sortWithinPartitions("narrow", "wide"), "level")
-        size = level.count()
+        """The batch's entries are a level of their own, merged with levels as large as it."""
+        parts, size = [entries], entries.count()
         while self.levels and self.levels[-1][0] <= 2 * size:
-            _, equal = self.levels.pop()
-            together = level.select("narrow", "wide", "doc", "packed").unionByName(equal)
-            ordered = together.repartition("narrow").sortWithinPartitions("narrow", "wide")
-            level = staged(self.spark, ordered, "level")
-            size = level.count()
-        self.levels.append((size, level.select("narrow", "wide", "doc", "packed")))
+            equal, level = self.levels.pop()
+            parts.append(level.select("narrow", "wide", "doc", "packed"))
+            size += equal
+        level = parts[0]
+        for part in parts[1:]:
+            level = level.unionByName(part)
+        # A crowded anchor's entries are spread by their surroundings; two stay to tell the others.
+        members = level.groupBy("narrow").agg(
+            F.count(F.lit(1)).alias("members"), F.min("wide").alias("least"), F.max("wide").alias("most")
+        )
+        crowded = staged(self.spark, members.where(F.col("members") > SPREAD), "crowded")
+        spread = F.coalesce((F.col("wide") != F.col("least")) & (F.col("wide") != F.col("most")), F.lit(False))
+        dealt = level.join(crowded, "narrow", "left").select(
+            F.when(spread, KNOWN).otherwise(OLD).alias("kind"),
+            F.when(spread, F.xxhash64("wide")).otherwise(F.col("narrow")).alias("route"),
+            "narrow",
+            "wide",
+            "doc",
+            "packed",
+        )
+        self.levels.append((size, staged(self.spark, dealt, "level")))
 
     def _fetched(self, entries: DataFrame) -> DataFrame:
         """The surroundings of entries, out of the documents of all batches."""
@@ -617,6 +627,10 @@ def cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
+# Batches that a whole corpus is loaded in, in its order.
+BATCHES = 4
+
+
 def ordered_batches(rows: DataFrame, batches: int) -> list[DataFrame]:
     """The rows in ``batches`` ranges of ``doc``, in corpus order, of about equal counts."""
     if batches <= 1:
@@ -652,7 +666,7 @@ def cut_documents(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    batches: int = 1,
+    batches: int = BATCHES,
     together: int = TOGETHER,
 ) -> DataFrame:
     """A row per row of docs: doc_id, twin_text (its text), n_bytes, n_removed, n_spans, kept
@@ -674,7 +688,9 @@ def cut_documents(
     )
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batches: int = 1) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batches: int = BATCHES
+) -> DataFrame:
     """The documents without repeated passages; all columns of the input.
 
     Bytes of a character cut in two are dropped. A document that was not empty and has nothing
