@@ -29,7 +29,7 @@ the same result each; an empty table gives an empty table; further columns are i
 ``repeated_spans`` and carried by ``remove_repeats``.
 """
 
-import hashlib
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from vitaelake.llm.native import staged
 from vitaelake.llm.wordarrays import batches_of, mixed, power_table, utf8
+from vitaelake.session import scratch_location
 
 LENGTH = 100
 GRAM = 32
@@ -268,8 +269,8 @@ def longs(values) -> pa.Array:
 
 
 def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, entries, text) -> a row per entry, keyed by ``narrow``, for all of its windows, with
-    the bytes that they reach."""
+    """(doc, twin, entries, text) -> a row per entry of the text, keyed by ``narrow``, for all of its
+    windows, with the bytes that they reach."""
 
     def rows(narrow, doc, packed, around) -> pa.RecordBatch:
         zero = np.zeros(len(narrow), np.int64)
@@ -280,12 +281,14 @@ def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        texts, docs = utf8(batch.column(2)), batch.column(0).to_pylist()
+        texts, docs, twins = utf8(batch.column(3)), *(batch.column(at).to_pylist() for at in (0, 1))
         narrow, doc, packed, around = [], [], [], []
-        for number, entries in enumerate(batch.column(1).to_pylist()):
+        for number, entries in enumerate(batch.column(2).to_pylist()):
             text = texts[number]
             for entry in entries:
                 word = entry["packed"]
+                if word >> 48 != twins[number]:
+                    continue
                 place = (word >> 16) & 0xFFFFFFFF
                 narrow.append(entry["narrow"])
                 doc.append(docs[number])
@@ -445,6 +448,22 @@ def compared(table: pa.Table) -> pa.RecordBatch:
     return span_batch(doc[some], (packed >> 48)[some], start, end)
 
 
+def by_document(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """The rows, stored in buckets of ``doc`` in the shared folder: every later join with them, for
+    each batch and for the result, leaves the texts where they are."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"suffix_documents_{uuid.uuid4().hex}"
+    (
+        rows.repartition(buckets, "doc")
+        .sortWithinPartitions("doc")
+        .write.bucketBy(buckets, "doc")
+        .sortBy("doc")
+        .option("path", scratch_location(spark, "documents"))
+        .saveAsTable(name)
+    )
+    return spark.table(name)
+
+
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc (null: least), twin (number among different texts of one doc_id), text."""
     rows = docs.select(
@@ -471,22 +490,22 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 @dataclass
 class SuffixFamily:
-    """Levels of sorted entries, oldest and largest first, and the documents they come from.
+    """Levels of entries, oldest and largest first, and the documents (doc, twin, text) they come
+    from, in buckets of ``doc``.
 
     ``add`` takes batches in corpus order: every document of a batch follows those before.
     """
 
     spark: SparkSession
+    corpus: DataFrame
     together: int = TOGETHER
     levels: list[tuple[int, DataFrame]] = field(default_factory=list)
-    batches: list[DataFrame] = field(default_factory=list)
 
     def add(self, batch: DataFrame, last: bool = False) -> DataFrame:
         """Spans (doc, twin, low, high) of a (doc, twin, text) batch that repeat earlier text.
 
         ``last``: no batch will follow, so its entries need not be kept.
         """
-        self.batches.append(batch)
         rows = batch.select("doc", "twin", "text").mapInArrow(anchor_rows, FOUND)
         for _, level in self.levels:
             rows = rows.unionByName(level)
@@ -531,16 +550,12 @@ class SuffixFamily:
         self.levels.append((size, staged(self.spark, dealt, "level")))
 
     def _fetched(self, entries: DataFrame) -> DataFrame:
-        """The surroundings of entries, out of the documents of all batches."""
-        corpus = self.batches[0]
-        for batch in self.batches[1:]:
-            corpus = corpus.unionByName(batch)
-        of_doc = entries.groupBy(
-            F.col("doc").alias("of"), F.shiftright("packed", 48).cast("int").alias("of_twin")
-        ).agg(F.collect_list(F.struct("narrow", "packed")).alias("entries"))
-        fetched = corpus.join(
-            of_doc, (F.col("doc") == F.col("of")) & (F.col("twin") == F.col("of_twin"))
-        ).select("doc", "entries", "text")
+        """The surroundings of entries, out of the documents."""
+        of_doc = entries.groupBy(F.col("doc").alias("of")).agg(
+            F.collect_list(F.struct("narrow", "packed")).alias("entries")
+        )
+        corpus = self.corpus.join(of_doc, F.col("doc") == F.col("of"))
+        fetched = corpus.select("doc", "twin", "entries", "text")
         return fetched.mapInArrow(surroundings, RANGED)
 
     def _compare(self, entries: DataFrame) -> DataFrame:
@@ -597,16 +612,18 @@ KEPT = "doc long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
 def cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text, spans) -> doc, n_bytes, n_removed, n_spans, kept."""
+    """(doc, twin, text, spans) -> doc, n_bytes, n_removed, n_spans, kept."""
     for batch in batches:
-        texts = utf8(batch.column(1))
-        spans = batch.column(2).to_pylist()
+        twins, texts = batch.column(1).to_pylist(), utf8(batch.column(2))
+        spans = batch.column(3).to_pylist()
         for start in range(0, batch.num_rows, 500):
             sizes, gone, runs, kept = [], [], [], []
-            for text, rows in zip(texts[start : start + 500], spans[start : start + 500]):
+            part = slice(start, start + 500)
+            for twin, text, rows in zip(twins[part], texts[part], spans[part]):
                 at, left, lost, count = 0, [], 0, 0
                 end = -1
-                for low, high in sorted((one["low"], one["high"]) for one in rows or ()):
+                own = [one for one in rows or () if one["twin"] == twin]
+                for low, high in sorted((one["low"], one["high"]) for one in own):
                     if low > end:
                         left.append(text[at:low])
                         count += 1
@@ -628,7 +645,7 @@ def cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 # Batches that a whole corpus is loaded in, in its order.
-BATCHES = 4
+BATCHES = 3
 
 
 def ordered_batches(rows: DataFrame, batches: int) -> list[DataFrame]:
@@ -652,8 +669,8 @@ def repeated_spans(
     docs: DataFrame, doc_id: str, text: str, batches: int, together: int = TOGETHER
 ) -> tuple[DataFrame, DataFrame]:
     """The rows (doc, twin, text) and the spans (doc, twin, low, high) to remove from them."""
-    rows = keyed(docs, doc_id, text)
-    family = SuffixFamily(docs.sparkSession, together)
+    rows = by_document(docs.sparkSession, keyed(docs, doc_id, text))
+    family = SuffixFamily(docs.sparkSession, rows, together)
     parts = ordered_batches(rows, batches)
     spans = None
     for number, part in enumerate(parts):
@@ -672,12 +689,11 @@ def cut_documents(
     """A row per row of docs: doc_id, twin_text (its text), n_bytes, n_removed, n_spans, kept
     (the bytes that are left; a character cut in two leaves the bytes of its other part)."""
     rows, spans = repeated_spans(docs, doc_id, text, batches, together)
-    listed = spans.groupBy(F.col("doc").alias("of"), F.col("twin").alias("of_twin")).agg(
-        F.collect_list(F.struct("low", "high")).alias("spans")
+    listed = spans.groupBy(F.col("doc").alias("of")).agg(
+        F.collect_list(F.struct("twin", "low", "high")).alias("spans")
     )
-    joined = rows.join(
-        listed, (F.col("doc") == F.col("of")) & (F.col("twin") == F.col("of_twin")), "left"
-    ).select("doc", "text", "spans")
+    joined = rows.join(listed, F.col("doc") == F.col("of"), "left")
+    joined = joined.select("doc", "twin", "text", "spans")
     cut = joined.mapInArrow(cut_spans, KEPT)
     return cut.select(
         F.when(F.col("doc") != _NO_ID, F.col("doc")).alias("doc_id"),
@@ -698,14 +714,14 @@ def remove_repeats(
     """
     rows, spans = repeated_spans(docs, doc_id, text, batches)
     listed = spans.groupBy(F.col("doc").alias("__of"), F.col("twin").alias("of_twin")).agg(
-        F.collect_list(F.struct("low", "high")).alias("__spans")
+        F.collect_list(F.struct("twin", "low", "high")).alias("__spans")
     )
     twins = rows.select("doc", "twin", F.xxhash64("text").alias("digest")).where("twin > 0").distinct()
     listed = listed.join(
         twins.select(F.col("doc").alias("__of"), F.col("twin").alias("of_twin"), "digest"),
         ["__of", "of_twin"],
         "left",
-    ).select("__of", "__spans", F.col("digest").alias("__twin"))
+    ).select("__of", F.col("of_twin").alias("__number"), "__spans", F.col("digest").alias("__twin"))
     own = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID))
     whole = F.coalesce(F.col(text), F.lit(""))
     joined = docs.join(
@@ -719,8 +735,9 @@ def remove_repeats(
         at = names.index(text)
         for batch in batches:
             place = pa.array(np.zeros(batch.num_rows, np.int64))
+            number, spans = batch.column(len(names)), batch.column(len(names) + 1)
             only = pa.RecordBatch.from_arrays(
-                [place, batch.column(at), batch.column(len(names))], names=["doc", "text", "spans"]
+                [place, number, batch.column(at), spans], names=["doc", "twin", "text", "spans"]
             )
             kept, lost = [], []
             for part in cut_spans(iter([only])):
@@ -733,4 +750,4 @@ def remove_repeats(
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(stays)
 
     names = docs.columns
-    return joined.select(*named, "__spans").mapInArrow(cut, docs.schema)
+    return joined.select(*named, "__number", "__spans").mapInArrow(cut, docs.schema)
