@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from vitaelake.llm.native import staged
 from vitaelake.llm.wordarrays import batches_of, mixed, power_table, utf8
-from vitaelake.session import scratch_location
+from vitaelake.session import drop_scratch, scratch_location
 
 LENGTH = 100
 GRAM = 32
@@ -488,6 +488,24 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
+class Scratch:
+    """Tables that one batch stages for itself."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folders: list[str] = []
+
+    def staged(self, rows: DataFrame, label: str) -> DataFrame:
+        self.folders.append(scratch_location(self.spark, label))
+        rows.write.parquet(self.folders[-1])
+        return self.spark.read.schema(rows.schema).parquet(self.folders[-1])
+
+    def drop(self) -> None:
+        for folder in self.folders:
+            drop_scratch(self.spark, folder)
+        self.folders = []
+
+
 @dataclass
 class SuffixFamily:
     """Levels of entries, oldest and largest first, and the documents (doc, twin, text) they come
@@ -499,7 +517,7 @@ class SuffixFamily:
     spark: SparkSession
     corpus: DataFrame
     together: int = TOGETHER
-    levels: list[tuple[int, DataFrame]] = field(default_factory=list)
+    levels: list[tuple[int, DataFrame, Scratch]] = field(default_factory=list)
 
     def add(self, batch: DataFrame, last: bool = False) -> DataFrame:
         """Spans (doc, twin, low, high) of a (doc, twin, text) batch that repeat earlier text.
@@ -507,12 +525,13 @@ class SuffixFamily:
         ``last``: no batch will follow, so its entries need not be kept.
         """
         rows = batch.select("doc", "twin", "text").mapInArrow(anchor_rows, FOUND)
-        for _, level in self.levels:
+        for _, level, _ in self.levels:
             rows = rows.unionByName(level)
         ordered = rows.repartition("route").sortWithinPartitions(
             "route", "narrow", "wide", "doc", "packed"
         )
-        found = staged(self.spark, ordered.mapInArrow(scan_entries(not last), FOUND), "entries")
+        work = Scratch(self.spark)
+        found = work.staged(ordered.mapInArrow(scan_entries(not last), FOUND), "entries")
         if not last:
             self._keep(found.where(F.col("kind") == NEW).select("narrow", "wide", "doc", "packed"))
         spans = found.where(F.col("kind") == SPAN).select(
@@ -521,14 +540,18 @@ class SuffixFamily:
             F.shiftright("packed", 16).bitwiseAND(F.lit(0xFFFFFFFF)).alias("low"),
             F.col("wide").alias("high"),
         )
-        return spans.unionByName(self._compare(found.where(F.col("kind") == ENTRY)))
+        compared = self._compare(found.where(F.col("kind") == ENTRY), work)
+        spans = staged(self.spark, spans.unionByName(compared), "spans")
+        work.drop()
+        return spans
 
     def _keep(self, entries: DataFrame) -> None:
         """The batch's entries are a level of their own, merged with levels as large as it."""
-        parts, size = [entries], entries.count()
+        parts, size, merged = [entries], entries.count(), []
         while self.levels and self.levels[-1][0] <= 2 * size:
-            equal, level = self.levels.pop()
+            equal, level, table = self.levels.pop()
             parts.append(level.select("narrow", "wide", "doc", "packed"))
+            merged.append(table)
             size += equal
         level = parts[0]
         for part in parts[1:]:
@@ -537,7 +560,8 @@ class SuffixFamily:
         members = level.groupBy("narrow").agg(
             F.count(F.lit(1)).alias("members"), F.min("wide").alias("least"), F.max("wide").alias("most")
         )
-        crowded = staged(self.spark, members.where(F.col("members") > SPREAD), "crowded")
+        work, table = Scratch(self.spark), Scratch(self.spark)
+        crowded = work.staged(members.where(F.col("members") > SPREAD), "crowded")
         spread = F.coalesce((F.col("wide") != F.col("least")) & (F.col("wide") != F.col("most")), F.lit(False))
         dealt = level.join(crowded, "narrow", "left").select(
             F.when(spread, KNOWN).otherwise(OLD).alias("kind"),
@@ -547,7 +571,9 @@ class SuffixFamily:
             "doc",
             "packed",
         )
-        self.levels.append((size, staged(self.spark, dealt, "level")))
+        self.levels.append((size, table.staged(dealt, "level"), table))
+        for old in [work, *merged]:
+            old.drop()
 
     def _fetched(self, entries: DataFrame) -> DataFrame:
         """The surroundings of entries, out of the documents."""
@@ -558,18 +584,17 @@ class SuffixFamily:
         fetched = corpus.select("doc", "twin", "entries", "text")
         return fetched.mapInArrow(surroundings, RANGED)
 
-    def _compare(self, entries: DataFrame) -> DataFrame:
+    def _compare(self, entries: DataFrame, work: Scratch) -> DataFrame:
         """Spans of windows that two entries of an anchor share."""
         counts = entries.groupBy("narrow").agg(F.count(F.lit(1)).alias("members"))
-        crowded = staged(
-            self.spark, counts.where(F.col("members") > self.together).select("narrow"), "crowded"
-        )
+        many = counts.where(F.col("members") > self.together).select("narrow")
+        crowded = work.staged(many, "crowded")
         if crowded.isEmpty():
             parts, spans = [self._fetched(entries)], []
         else:
             # No hint: Spark broadcasts the anchors if they are few, and else splits skewed parts.
             parts = [self._fetched(entries.join(crowded, "narrow", "left_anti"))]
-            settled, spans = self._divided(self._fetched(entries.join(crowded, "narrow")))
+            settled, spans = self._divided(self._fetched(entries.join(crowded, "narrow")), work)
             parts += settled
         together = parts[0]
         for part in parts[1:]:
@@ -585,7 +610,7 @@ class SuffixFamily:
             F.col("end").alias("high"),
         )
 
-    def _divided(self, rows: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+    def _divided(self, rows: DataFrame, work: Scratch) -> tuple[list[DataFrame], list[DataFrame]]:
         """Entries of crowded anchors by halves of their windows, until few share a half: the rows
         to compare, and the spans found on the way. A half of one window leaves one row of a key."""
         settled, spans = [], []
@@ -595,11 +620,11 @@ class SuffixFamily:
                 .repartition("key", "full")
                 .sortWithinPartitions("kind", "key", "full", "doc", "packed")
             )
-            left = staged(self.spark, ordered.mapInArrow(settle_equal, COMPARED), "halves")
+            left = work.staged(ordered.mapInArrow(settle_equal, COMPARED), "halves")
             spans.append(left.where(F.col("kind") == SPAN).select("doc", "packed", "start", "end"))
             entries = left.where(F.col("kind") == ENTRY).drop("kind", "start", "end")
             counts = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-            shared = staged(self.spark, counts.where("members > 1"), "shared")
+            shared = work.staged(counts.where("members > 1"), "shared")
             few = F.col("members") <= self.together
             settled.append(entries.join(shared.where(few).select("key"), "key"))
             crowded = shared.where(~few).select("key")
