@@ -14,12 +14,18 @@ from querybook.derived import (
     write_archives,
 )
 from querybook.registry import query
+from querybook.relational import (
+    BRIDGE_TEXT,
+    SILVER_WORKS,
+    flags_as_text,
+    works_as_text,
+)
 from querybook.scalar import RUN_AT
 from querybook.service import table_service
 from querybook.sql import AUTHORS, WORKS_WITH_ABSTRACT
 from vitaelake import schemas as S
 from vitaelake.functions import text_from_inverted_index
-from vitaelake.operators import curriculum
+from vitaelake.operators import curriculum, joins
 from vitaelake.plans import authors as author_jobs
 from vitaelake.plans import curricula_to_bronze
 from vitaelake.plans import works as work_jobs
@@ -436,6 +442,27 @@ def works_to_bronze(spark, sf_dir):
     )
 
 
+def _stored_works(spark, sf_dir) -> str:
+    """A lake that holds bronze works."""
+    lake = scratch_location(spark, "lake")
+    snapshots.write_snapshot(bronze_works(spark, sf_dir), Lake(lake).bronze_works, DAY_1)
+    return lake
+
+
+@query("works_to_silver", SILVER_WORKS)
+def works_to_silver(spark, sf_dir):
+    """The job: copies are found by their places in the stored works."""
+    works, _ = work_jobs.works_to_silver(spark, _stored_works(spark, sf_dir), DAY_2, RUN_AT, DAY_1)
+    return works_as_text(works)
+
+
+@query("works_to_silver_bridge", BRIDGE_TEXT)
+def works_to_silver_bridge(spark, sf_dir):
+    """The job's other output."""
+    _, bridge = work_jobs.works_to_silver(spark, _stored_works(spark, sf_dir), DAY_2, RUN_AT, DAY_1)
+    return flags_as_text(bridge)
+
+
 # --- Snapshots ----------------------------------------------------------------------------
 
 ORDERS_SCHEMA = S.record(o_orderkey=S.WHOLE, o_custkey=S.WHOLE, o_orderstatus=S.TEXT)
@@ -489,6 +516,60 @@ def snapshot_latest(spark, sf_dir):
     return found[0].unionByName(found[1])
 
 
+@query("snapshot_failed_rerun", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def snapshot_failed_rerun(spark, sf_dir):
+    """A rerun of day 2 that fails at its pending orders leaves what was published before."""
+    target = _order_snapshots(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders").select(*ORDERS_SCHEMA.names)
+    pending = F.when(F.col("o_orderstatus") == "P", F.raise_error(F.lit("a pending order")))
+    broken = orders.withColumn("o_orderstatus", F.coalesce(pending, "o_orderstatus"))
+    try:
+        snapshots.write_snapshot(broken, target, DAY_2)
+    except Exception as error:
+        if "a pending order" not in str(error):
+            raise
+    return snapshots.read_snapshot(spark, target, DAY_2)
+
+
+@query(
+    "snapshot_counts",
+    """
+    SELECT '2024-05-01' AS day, count(*) AS rows, CAST(1 AS BIGINT) AS version
+    FROM orders WHERE o_orderstatus <> 'P'
+    UNION ALL SELECT '2024-05-09', count(*), 2 FROM orders
+    UNION ALL SELECT '2024-06-01', 0, 1
+    """,
+)
+def snapshot_counts(spark, sf_dir):
+    """Rows of each day and how often it was published, out of the manifests."""
+    target = _order_snapshots(spark, sf_dir)
+    manifests = [(day, snapshots.published(spark, target, day)) for day in (DAY_1, DAY_2, DAY_3)]
+    return spark.createDataFrame(
+        [(day.isoformat(), told.rows, told.version) for day, told in manifests],
+        "day string, rows long, version long",
+    )
+
+
+@query(
+    "semi_join_keyed_snapshot",
+    """
+    SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
+    WHERE o_orderstatus IN ('F', 'O')
+      AND EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 9900)
+    """,
+)
+def semi_join_keyed_snapshot(spark, sf_dir):
+    """Few customers' orders out of a snapshot that is kept in order of its customers."""
+    target = snapshots.Table(
+        scratch_location(spark, "lake"), snapshots.SILVER, "shop", "orders", ORDERS_SCHEMA, key="o_custkey"
+    )
+    orders = table(spark, sf_dir, "orders").select(*ORDERS_SCHEMA.names)
+    snapshots.write_snapshot(orders, target, DAY_1)
+    rich = table(spark, sf_dir, "customer").where("c_acctbal > 9900")
+    kept = snapshots.read_snapshot(spark, target, DAY_1).where("o_orderstatus IN ('F', 'O')")
+    return joins.key_filter(kept, rich.select(F.col("c_custkey").alias("o_custkey")), "o_custkey")
+
+
 @query(
     "guard_nonempty",
     """

@@ -17,6 +17,7 @@ from vitaelake.plans.authors import silver_authors
 from vitaelake.plans.gold import gold_works as join_gold
 from vitaelake.plans.researchers import add_author_metrics, silver_researchers
 from vitaelake.plans.works import silver_bridge, silver_works
+from vitaelake.session import scratch_location
 
 from querybook.scalar import RUN_AT
 
@@ -127,6 +128,38 @@ def dedup_keep_first(spark, sf_dir):
     return dedup.keep_first(docs, ["text"], ["source", "doc_id"])
 
 
+@query(
+    "dedup_by_places",
+    """
+    SELECT doc_id, text, source, lang FROM (
+      SELECT *, row_number() OVER (PARTITION BY text ORDER BY source NULLS LAST, doc_id) AS n
+      FROM documents)
+    WHERE n = 1
+    """,
+)
+def dedup_by_places(spark, sf_dir):
+    """The first of equal texts, read around the places of the others in the stored table."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    folder = scratch_location(spark, "later")
+    dedup.later_copies(docs, ["text"], ["source", "doc_id"]).write.parquet(folder)
+    return dedup.without_places(docs, spark.read.parquet(folder))
+
+
+@query(
+    "require_columns",
+    "SELECT c_custkey, c_name, true AS absent_stops FROM customer",
+)
+def require_columns(spark, sf_dir):
+    """The input itself where the columns are there; an error that names those that are not."""
+    customers = projection.require_columns(table(spark, sf_dir, "customer"), ["c_custkey", "c_name"])
+    try:
+        projection.require_columns(customers, ["c_name", "absent"])
+        stopped = False
+    except ValueError as error:
+        stopped = "absent" in str(error)
+    return customers.select("c_custkey", "c_name", F.lit(stopped).alias("absent_stops"))
+
+
 @query(
     "dedup_keep_null_keys",
     """
@@ -195,19 +228,22 @@ BRIDGE = f"""
     FROM works_authors
 """
 
-_BRIDGE_TEXT = """openalex_producao_id, openalex_autor_id, orcid_id, nome_autor, ordem_autoria,
+_BRIDGE_COLUMNS = """openalex_producao_id, openalex_autor_id, orcid_id, nome_autor, ordem_autoria,
     CAST(autor_principal AS VARCHAR) AS autor_principal,
     CAST(correspondente AS VARCHAR) AS correspondente, afiliacao_autor"""
 
 
-def _flags_as_text(df):
+def flags_as_text(df):
     flags = [name for name, kind in df.dtypes if kind == "boolean"]
     return df.withColumns({name: F.col(name).cast("string") for name in flags})
 
 
-@query("author_work_bridge", f"SELECT {_BRIDGE_TEXT} FROM ({BRIDGE})")
+BRIDGE_TEXT = f"SELECT {_BRIDGE_COLUMNS} FROM ({BRIDGE})"
+
+
+@query("author_work_bridge", BRIDGE_TEXT)
 def author_work_bridge(spark, sf_dir):
-    return _flags_as_text(silver_bridge(bronze_works(spark, sf_dir)))
+    return flags_as_text(silver_bridge(bronze_works(spark, sf_dir)))
 
 
 SILVER_WORKS = f"""
@@ -230,7 +266,7 @@ SILVER_WORKS = f"""
 """
 
 
-def _works_as_text(silver):
+def works_as_text(silver):
     return silver.withColumns(
         {
             "palavras_chave": F.array_join("palavras_chave", "|", "<null>"),
@@ -241,7 +277,7 @@ def _works_as_text(silver):
 
 @query("works_silver", SILVER_WORKS)
 def works_silver(spark, sf_dir):
-    return _works_as_text(silver_works(bronze_works(spark, sf_dir), RUN_AT))
+    return works_as_text(silver_works(bronze_works(spark, sf_dir), RUN_AT))
 
 
 @query(
@@ -325,7 +361,7 @@ def gold_works(spark, sf_dir):
     authors = silver_authors(bronze_authors(spark, sf_dir), RUN_AT)
     researchers = silver_researchers(bronze_researchers(spark, sf_dir), authors, RUN_AT)
     bronze = bronze_works(spark, sf_dir)
-    return _flags_as_text(
+    return flags_as_text(
         join_gold(researchers, silver_bridge(bronze), silver_works(bronze, RUN_AT))
     )
 

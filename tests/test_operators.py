@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from conftest import rows
@@ -147,6 +148,49 @@ def test_left_join_with_equal_right_rows_and_unique_keys(spark):
     ]
 
 
+@pytest.mark.parametrize("stored", [False, True])
+@pytest.mark.parametrize("broadcast", ["-1", "10MB"])
+def test_left_join_deals_hot_keys_of_either_side(spark, broadcast, stored):
+    """Keys that are hot left, right, on both sides and nowhere; nulls and equal rows on both."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        left = [(k, n) for k, count in (("l", 90), ("r", 2), ("both", 40), ("few", 3), ("no", 50),
+                                        (None, 70)) for n in range(count)]
+        right = [(k, n % 7) for k, count in (("l", 1), ("r", 95), ("both", 45), ("few", 2),
+                                             ("other", 60), (None, 30)) for n in range(count)]
+        left = spark.createDataFrame(left, "k STRING, w INT").repartition(3)
+        right = spark.createDataFrame(right, "k STRING, v INT").repartition(3)
+        hot = joins.hot_keys(right, "k", 10)
+        assert rows(hot) == [("both", 5), ("other", 6), ("r", 10)]
+        dealt = joins.left_join(left, right, "k", hot=hot if stored else None, hot_rows=10)
+        assert rows(dealt) == rows(left.join(right, "k", "left").select("k", "w", "v"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def scans(df, column):
+    """Scans of the physical plan that read the column."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return len(re.findall(rf"FileScan parquet \[[^\]]*\b{column}#", plan))
+
+
+def test_left_join_reads_the_left_side_once(spark, tmp_path):
+    for name, columns in (("left", "id AS w"), ("right", "id AS v"), ("third", "id AS u")):
+        table = spark.range(20).selectExpr("id % 5 AS k", columns, "id % 3 AS j")
+        table.write.parquet(str(tmp_path / name))
+    left, right, third = (
+        spark.read.parquet(str(tmp_path / name)) for name in ("left", "right", "third")
+    )
+    once = joins.left_join(left, right.select("k", "v"), "k")
+    assert scans(once, "w") == 1 and scans(once, "v") == 1
+    twice = joins.left_join(once, third.select("j", "u"), "j")
+    assert scans(twice, "w") == 1 and scans(twice, "v") == 1 and scans(twice, "u") == 1
+    # With the hot keys measured before, each side is read once in all.
+    hot = spark.createDataFrame([], "_hot LONG, salts LONG")
+    measured = joins.left_join(left, right.select("k", "v"), "k", hot=hot)
+    assert scans(measured, "k") == 2
+
+
 def test_building_a_left_join_runs_no_job(spark):
     left = spark.createDataFrame(LEFT, "id INT, k STRING")
     right = spark.createDataFrame(RIGHT, "k STRING, v INT")

@@ -1,0 +1,223 @@
+"""Snapshots are published in one step: what a failed, killed or concurrent write leaves."""
+
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date
+from pathlib import Path
+
+import pytest
+from conftest import rows
+from pyspark import inheritable_thread_target
+from pyspark.sql import functions as F
+
+from vitaelake import schemas as S
+from vitaelake.operators import dedup
+from vitaelake.sources import snapshots
+
+DAY = date(2024, 5, 4)
+SCHEMA = S.record(id=S.WHOLE, label=S.TEXT)
+
+
+@pytest.fixture()
+def target(tmp_path):
+    return snapshots.Table(str(tmp_path), snapshots.BRONZE, "shop", "things", SCHEMA)
+
+
+def things(spark, count, label="a"):
+    return spark.range(count).select("id", F.lit(label).alias("label")).repartition(3)
+
+
+def test_failed_rerun_leaves_the_rows_before(spark, target):
+    snapshots.write_snapshot(things(spark, 10), target, DAY)
+    broken = things(spark, 20, "b").withColumn(
+        "label", F.when(F.col("id") == 13, F.raise_error(F.lit("broken row"))).otherwise(F.col("label"))
+    )
+    with pytest.raises(Exception, match="broken row"):
+        snapshots.write_snapshot(broken, target, DAY)
+    assert snapshots.read_snapshot(spark, target, DAY).count() == 10
+    assert snapshots.latest_date(spark, target) == DAY
+
+
+@pytest.mark.parametrize("at", ["file_rows", "publish"])
+def test_killed_rerun_leaves_the_rows_before(spark, target, monkeypatch, at):
+    """Killed after all rows are written, before they are published."""
+    snapshots.write_snapshot(things(spark, 10), target, DAY)
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patched:
+        patched.setattr(snapshots, at, killed)
+        with pytest.raises(KeyboardInterrupt):
+            snapshots.write_snapshot(things(spark, 20, "b"), target, DAY)
+    left = snapshots.read_snapshot(spark, target, DAY)
+    assert {row.label for row in left.collect()} == {"a"}
+    snapshots.write_snapshot(things(spark, 30, "c"), target, DAY)
+    assert snapshots.read_snapshot(spark, target, DAY).count() == 30
+
+
+def test_writer_killed_while_publishing(spark, target):
+    """A manifest that is cut short counts for nothing, and its number is not used again."""
+    folder = Path(snapshots.write_snapshot(things(spark, 10), target, DAY))
+    manifests = folder.parent / snapshots.MANIFESTS
+    whole = (manifests / "0000000001.json").read_bytes()
+    (manifests / "0000000002.json").write_bytes(whole[:20])
+    (manifests / "0000000003.json").write_bytes(b"")
+    assert snapshots.read_snapshot(spark, target, DAY).count() == 10
+    assert snapshots.write_counted(things(spark, 5), target, DAY).version == 4
+    assert snapshots.read_snapshot(spark, target, DAY).count() == 5
+
+
+def test_readers_keep_what_they_opened(spark, target):
+    snapshots.write_snapshot(things(spark, 10), target, DAY)
+    before = snapshots.open_latest(spark, target)
+    opened = before.read()
+    snapshots.write_snapshot(things(spark, 3), target, DAY)
+    assert opened.count() == 10 and before.rows == 10
+    assert snapshots.open_latest(spark, target).rows == 3
+
+
+def test_concurrent_writers_are_published_one_after_the_other(spark, target):
+    frames = [things(spark, count, str(count)) for count in (4, 5, 6, 7)]
+
+    @inheritable_thread_target(spark)
+    def write(frame):
+        return snapshots.write_counted(frame, target, DAY)
+
+    with ThreadPoolExecutor(4) as pool:
+        written = list(pool.map(write, frames))
+    assert sorted(manifest.version for manifest in written) == [1, 2, 3, 4]
+    last = max(written, key=lambda manifest: manifest.version)
+    found = snapshots.read_snapshot(spark, target, DAY)
+    assert {row.label for row in found.collect()} == {str(last.rows)}
+
+
+def test_a_taken_number_is_passed_over(spark, target, monkeypatch):
+    folder = snapshots.write_snapshot(things(spark, 10), target, DAY)
+    own, calls = snapshots._versions, []
+
+    def late(*given):
+        calls.append(1)
+        return own(*given) if len(calls) > 1 else []
+
+    monkeypatch.setattr(snapshots, "_versions", late)
+    name = Path(folder).name
+    assert snapshots.publish(spark, target, DAY, name, {}).version == 2 and len(calls) == 2
+
+
+def test_manifest_counts_rows_of_every_file(spark, target):
+    skewed = spark.range(1000).select("id", F.lit("x").alias("label")).repartition(4, F.col("id") < 900)
+    manifest = snapshots.write_counted(skewed, target, DAY)
+    assert manifest.rows == 1000 and sum(manifest.files.values()) == 1000
+    by_file = snapshots.read_snapshot(spark, target, DAY).groupBy("_metadata.file_name").count()
+    assert {row.file_name: row["count"] for row in by_file.collect()} == {
+        name: count for name, count in manifest.files.items() if count
+    }
+
+
+def test_lost_file_is_noticed(spark, target, monkeypatch):
+    monkeypatch.setattr(snapshots, "file_rows", lambda *_: {"part-0.parquet": 9})
+    with pytest.raises(OSError, match="9 rows of the 10"):
+        snapshots.write_snapshot(things(spark, 10), target, DAY)
+    assert snapshots.read_snapshot(spark, target, DAY) is None
+
+
+def test_guards_and_counts_run_no_job(spark, target):
+    snapshots.write_snapshot(things(spark, 0), target, DAY)
+    snapshots.write_snapshot(things(spark, 7), target, date(2024, 5, 5))
+    spark.sparkContext.setJobGroup("guards", "no job")
+    try:
+        assert snapshots.with_rows(snapshots.open_snapshot(spark, target, DAY)) is None
+        assert snapshots.with_rows(snapshots.open_latest(spark, target)).rows == 7
+        assert snapshots.with_rows(snapshots.open_latest(spark, target, date(2024, 1, 1))) is None
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("guards")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_superseded_attempts_are_removed_on_request(spark, target):
+    first = snapshots.write_snapshot(things(spark, 10), target, DAY)
+    second = snapshots.write_snapshot(things(spark, 3), target, DAY)
+    other = snapshots.write_snapshot(things(spark, 4), target, date(2024, 5, 5))
+    assert Path(first).exists()
+    assert snapshots.remove_superseded(spark, target, DAY) == [Path(first).name]
+    assert not Path(first).exists() and Path(second).exists() and Path(other).exists()
+    assert snapshots.read_snapshot(spark, target, DAY).count() == 3
+    assert snapshots.remove_superseded(spark, target, date(2030, 1, 1)) == []
+
+
+def scanned_rows(df):
+    """Rows that the scans of a finished query gave out."""
+    total, plans = 0, [df._jdf.queryExecution().executedPlan()]
+    df.collect()
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName().startswith("AdaptiveSparkPlan"):
+            plans.append(plan.executedPlan())
+            continue
+        if plan.nodeName().endswith("QueryStage") or "QueryStage" in plan.getClass().getName():
+            plans.append(plan.plan())
+        if plan.nodeName().startswith("Scan parquet"):
+            total += plan.metrics().get("numOutputRows").get().value()
+        plans += [plan.children().apply(at) for at in range(plan.children().size())]
+    return total
+
+
+def test_keyed_snapshots_open_few_row_groups(spark, tmp_path):
+    """Keys are spread over all files of an unordered table, and few of them hold one."""
+    shuffled = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("id"), F.lit("x").alias("label"))
+    plain = snapshots.Table(str(tmp_path), snapshots.SILVER, "shop", "plain", SCHEMA)
+    keyed = snapshots.Table(str(tmp_path), snapshots.SILVER, "shop", "keyed", SCHEMA, key="id")
+    found = {}
+    for table in (plain, keyed):
+        # So small a table would be one file.
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            snapshots.write_snapshot(shuffled.repartition(8), table, DAY)
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        some = snapshots.read_snapshot(spark, table, DAY).where(F.col("id").isin(5, 6, 7))
+        found[table.entity] = scanned_rows(some)
+        assert sorted(row.id for row in some.collect()) == [5, 6, 7]
+    assert found["keyed"] < found["plain"] / 1.9
+
+
+# Keep-first by places
+
+
+def stored(spark, tmp_path, data, schema):
+    spark.createDataFrame(data, schema).repartition(4).write.parquet(str(tmp_path / "stored"))
+    return spark.read.parquet(str(tmp_path / "stored"))
+
+
+@pytest.mark.parametrize("most", [1_000_000, 7])
+def test_keep_first_by_places(spark, tmp_path, most):
+    """A hot key, a hot null key, keys of several columns, nulls in the order, exact copies."""
+    data = [("hot", n % 7 or None, n, "wide" * 9) for n in range(60)]
+    data += [(None, n % 5, n, None) for n in range(40)] + [("twin", 1, 1, "w")] * 3
+    data += [(f"key{n % 30}", n % 2 or None, n, f"w{n}") for n in range(90)]
+    df = stored(spark, tmp_path, data, "title STRING, doi INT, id INT, body STRING")
+    expected = rows(dedup.keep_first(df, ["title"], ["doi", "id"]))
+    places = dedup.later_copies(df, ["title"], ["doi", "id"])
+    places.write.parquet(str(tmp_path / "places"))
+    later = spark.read.parquet(str(tmp_path / "places"))
+    assert rows(dedup.without_places(df, later, most)) == expected
+    both = dedup.later_copies(df, ["title", "doi"], ["id"])
+    assert rows(dedup.without_places(df, both.cache())) == rows(
+        dedup.keep_first(df, ["title", "doi"], ["id"])
+    )
+
+
+def test_keep_first_by_places_without_copies(spark, tmp_path):
+    df = stored(spark, tmp_path, [(n, "x") for n in range(9)], "id INT, body STRING")
+    places = dedup.later_copies(df, ["id"], ["body"]).cache()
+    assert places.isEmpty() and rows(dedup.without_places(df, places)) == rows(df)
+
+
+def test_keep_first_by_places_shuffles_no_wide_column(spark, tmp_path):
+    df = stored(spark, tmp_path, [("t", n, "wide") for n in range(9)], "title STRING, id INT, body STRING")
+    places = dedup.later_copies(df, ["title"], ["id"])
+    assert "body" not in places._jdf.queryExecution().executedPlan().toString()
+    kept = dedup.without_places(df, places.cache())
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "body" in plan
+    assert "Exchange hashpartitioning" not in plan.split("InMemoryTableScan")[0]

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitaelake.operators import curriculum
-from vitaelake.plans.lake import Lake
+from vitaelake.plans.lake import Lake, report
 from vitaelake.session import drop_scratch, scratch_location
 from vitaelake.sources.archive import read_archives
-from vitaelake.sources.snapshots import Table, write_snapshot
+from vitaelake.sources.snapshots import Manifest, Table, write_counted
 
 
 def stage_documents(
@@ -48,11 +48,15 @@ def curricula_to_bronze(
     }
 
     @inheritable_thread_target(spark)
-    def write(table: Table) -> str:
-        return write_snapshot(outputs[table], table, run_date)
+    def write(table: Table) -> Manifest:
+        return write_counted(outputs[table], table, run_date)
 
     # The outputs are independent, so the last tasks of one overlap the first of the next.
     with ThreadPoolExecutor(len(outputs)) as pool:
-        folders = list(pool.map(write, outputs))
+        written = dict(zip(outputs, pool.map(write, outputs)))
     drop_scratch(spark, staging)
-    return {table.entity: folder for table, folder in zip(outputs, folders)}
+    rows = {table.entity: manifest.rows for table, manifest in written.items()}
+    # Every document gives a researcher or a reject.
+    documents = rows[lake.bronze_researchers.entity] + rows[lake.bronze_rejects.entity]
+    report("curricula to bronze", {"documents": documents}, rows)
+    return {table.entity: manifest.folder for table, manifest in written.items()}
