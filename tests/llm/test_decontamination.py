@@ -1,0 +1,144 @@
+"""Decontamination against a word-by-word search, and each way of joining the seeds."""
+
+import numpy as np
+import pytest
+import regex
+from conftest import rows
+
+import vitaelake
+from vitaelake.llm import decontamination
+from vitaelake.llm.decontamination import Settings
+from vitaelake.session import ship_packages
+
+LONG_ITEM = " ".join(f"item{n}" for n in range(5000))
+
+
+def words(text):
+    return [word for word in regex.split(r"[^\p{L}\p{N}]+", (text or "").lower()) if word]
+
+
+def contained(document, item, least=13, share=0.8):
+    """Whether some stretch of the item, laid at some place of the document, has enough equal
+    words: every shift and every stretch is tried."""
+    needed = min(least, len(item))
+    if not needed or not document:
+        return False
+    document, item = np.array(document), np.array(item)
+    for shift in range(-len(item) + 1, len(document)):
+        low, high = max(0, shift), min(len(document), shift + len(item))
+        if high - low < needed:
+            continue
+        equal = document[low:high] == item[low - shift : high - shift]
+        sums = np.concatenate([[0], np.cumsum(equal)])
+        # A longer stretch has a good one of less than twice the length in it.
+        for size in range(needed, min(2 * needed, len(equal) + 1)):
+            if (10_000 * (sums[size:] - sums[:-size]) >= round(10_000 * share) * size).any():
+                return True
+    return False
+
+
+def by_hand(docs, items):
+    """Pairs (doc_id, item_id); a document that shares no word with an item has no place for it."""
+    known = {}
+
+    def numbers(text):
+        return [known.setdefault(word, len(known)) for word in words(text)]
+
+    told = [(key, numbers(text)) for key, text in items]
+    found = set()
+    for doc_id, text in docs:
+        document = numbers(text)
+        own = set(document)
+        for item_id, item in told:
+            if len(own & set(item)) >= 0.5 * min(13, len(set(item))) and contained(document, item):
+                found.add((doc_id, item_id))
+    return found
+
+
+def pairs(found):
+    return {(row.doc_id, row.item_id) for row in found.collect()}
+
+
+def edited_rows():
+    """Items of many sizes, and documents with edited stretches of them at odd places."""
+    draw = np.random.default_rng(3)
+    items = [(size, [f"i{size}w{n}" for n in range(size)]) for size in (1, 2, 5, 9, 12, 13, 14, 20, 31)]
+    docs = []
+    for number in range(120):
+        size, item = items[number % len(items)]
+        first = int(draw.integers(0, max(1, size - 12)))
+        part = list(item[first : first + int(draw.integers(8, 32))])
+        for at in draw.permutation(len(part))[: int(draw.integers(0, 1 + len(part) // 3))]:
+            part[at] = f"other{at}"
+        around = [f"noise{n}" for n in draw.integers(0, 50, int(draw.integers(0, 9)))]
+        docs.append((number, " ".join([*around, *part, *around])))
+    return docs, [(size, " ".join(item)) for size, item in items]
+
+
+@pytest.fixture(autouse=True, scope="module")
+def shipped(spark):
+    ship_packages(spark, vitaelake)
+
+
+WAYS = {
+    "one block": Settings(),
+    "blocks": Settings(block_bytes=64 * 40, most_blocks=1000),
+    "shuffle": Settings(block_bytes=64 * 40, most_blocks=1),
+}
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_edited_stretches_against_brute_force(spark, way):
+    docs, items = edited_rows()
+    found = decontamination.overlaps(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+        spark.createDataFrame(items, "item_id long, text string"),
+        settings=WAYS[way],
+    )
+    expected = by_hand(docs, items)
+    assert pairs(found) == expected and 20 < len(expected) < 120
+
+
+def test_given_tables_against_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.overlaps(docs, items)
+    expected = by_hand(
+        [(row.doc_id, row.text) for row in docs.collect()],
+        [(row.item_id, row.text) for row in items.collect()],
+    )
+    assert pairs(found) == expected and expected
+
+
+def test_awkward_items_every_way(spark):
+    """Nulls, empty texts, repeated ids and rows, a very long item and a document that holds it."""
+    items = [(1, "one short item"), (1, "one short item"), (1, "another text of that id"), (2, None),
+             (3, ""), (None, "an item without an id"), (4, LONG_ITEM)]
+    docs = [(1, "here is one short item indeed"), (None, "an item without an id"), (2, None), (3, ""),
+            (4, "before " + LONG_ITEM.replace("item77 ", "gone ") + " after"), (5, "another text of that id"),
+            (5, "another text of that id"), (6, "nothing")]
+    results = []
+    for settings in WAYS.values():
+        settings = Settings(block_bytes=max(settings.block_bytes, 64 * 9000), most_blocks=settings.most_blocks)
+        found = decontamination.overlaps(
+            spark.createDataFrame(docs, "doc_id long, text string"),
+            spark.createDataFrame(items, "item_id long, text string"),
+            settings=settings,
+        )
+        results.append(rows(found))
+        assert pairs(found) == {(1, 1), (None, None), (4, 4), (5, 1)}
+    assert results[0] == results[1] == results[2]
+    long = [row for row in results[0] if row[0] == 4]
+    assert len(long) == 1 and 5000 in long[0] and 4999 in long[0]
+
+
+def test_seeds_grow_with_the_words_of_an_item(spark):
+    """A broadcast row is as large for a long item as for a short one."""
+    for size in (200, 400, 800):
+        text = " ".join(f"w{n}" for n in range(size))
+        items = decontamination.test_items(
+            spark.createDataFrame([(1, text)], "item_id long, text string"), "item_id", "text"
+        )
+        seeds = decontamination.test_seeds(items, decontamination.masks_for(items, Settings()), Settings())
+        assert 4.5 * size < seeds.count() <= 5 * size
+        assert seeds.columns == ["seed", "item", "item_at", "item_size"]

@@ -3,8 +3,11 @@
 Built-in column functions only. A mask names the word positions of a window that are hashed; the
 others are free, so a seed survives words replaced there. Every window of a training document is
 hashed under each mask and joined to the hashes of the test items inside one generated-code
-stage: a window that hits nothing is never written, sorted or shuffled. A hit fixes an alignment
-(test item, document, shift). Each alignment is then verified once, word by word over the words that
+stage: a window that hits nothing is never written, sorted or shuffled. What is broadcast for that is
+a seed, its item's number and size, and its place there, so it grows with the words of the benchmark;
+a large benchmark goes in blocks of bounded bytes, and one of many blocks is joined by a shuffle of the
+seeds instead. A hit fixes an alignment (test item, document, shift); the items' words are joined to
+the few alignments. Each alignment is then verified once, word by word over the words that
 both have: it counts if any stretch of the needed length has enough equal words. Given is the
 stretch that has most equal words beyond those it needs.
 
@@ -42,12 +45,18 @@ SCALE = 10_000
 @dataclass(frozen=True)
 class Settings:
     """min_words: words the stretch must span (or the whole item, if shorter). min_equal: share
-    of its words that must be equal. block_bytes: test windows, with their items' words, that
-    are broadcast at once; a larger benchmark is run in as many blocks as it needs."""
+    of its words that must be equal. block_bytes: test windows that are broadcast at once; a larger
+    benchmark reads the documents once for each block, and beyond most_blocks the seeds of the
+    documents are shuffled. All ways give the same rows."""
 
     min_words: int = 13
     min_equal: float = 0.8
     block_bytes: int = 64 << 20
+    most_blocks: int = 8
+
+
+# What a row of seeds takes in a hash table.
+SEED_BYTES = 64
 
 
 def word_hashes(text: Column) -> Column:
@@ -106,17 +115,19 @@ def windows(
 
 
 def test_items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
-    return benchmark.select(
+    """Distinct items: item (64 bits that tell them apart), item_id, item_words."""
+    items = benchmark.select(
         F.col(item_id).alias("item_id"), word_hashes(F.col(text)).alias("item_words")
     )
+    return items.select(row_digest(F.col("item_id"), F.col("item_words")).alias("item"), "*").dropDuplicates(["item"])
 
 
 def test_seeds(
     items: DataFrame, masks: dict[int, list[tuple[int, ...]]], settings: Settings
 ) -> DataFrame:
-    placed = windows(items, "item_words", ["item_id"], masks, settings.min_words)
+    placed = windows(items, "item_words", ["item"], masks, settings.min_words)
     return placed.where("seed IS NOT NULL").select(
-        "seed", "item_id", F.col("at").alias("item_at"), "item_words"
+        "seed", "item", F.col("at").alias("item_at"), F.size("item_words").alias("item_size")
     ).distinct()
 
 
@@ -164,23 +175,43 @@ def best_stretch(equal: Column, needed: Column, min_equal: float) -> Column:
     return F.aggregate(F.sequence(zero, F.size(equal) - 1), start, step)
 
 
-def alignments(
-    docs: DataFrame, seeds: DataFrame, masks: dict[int, list[tuple[int, ...]]]
-) -> DataFrame:
-    """Distinct (document, item, shift) that share a seed, with the words to compare."""
-    hit = windows(docs, "words", ["id", "digest"], masks).join(F.broadcast(seeds), "seed")
+ALIGNED = ["id", "digest", "item", "shift"]
+
+
+def aligned(hit: DataFrame) -> DataFrame:
+    """Distinct alignments of hits, with the document's words that face the item's."""
     shift = F.col("at") - F.col("item_at")
     first = F.greatest(shift, F.lit(0))
-    return hit.select(
-        "id",
-        "digest",
-        "item_id",
-        shift.alias("shift"),
-        "item_words",
-        F.slice(F.col("words"), first + 1, F.size("item_words") + F.least(shift, F.lit(0))).alias(
-            "doc_words"
-        ),
-    ).dropDuplicates(["id", "digest", "item_id", "shift"])
+    facing = F.slice(F.col("words"), first + 1, F.col("item_size") + F.least(shift, F.lit(0)))
+    found = hit.select("id", "digest", "item", shift.alias("shift"), facing.alias("doc_words"))
+    return found.dropDuplicates(ALIGNED)
+
+
+def alignments_by_blocks(
+    docs: DataFrame, seeds: DataFrame, masks: dict[int, list[tuple[int, ...]]], blocks: int
+) -> DataFrame:
+    """The documents read once for every block of seeds, which is broadcast."""
+    found = None
+    for block in range(blocks):
+        # Dealt by the whole row, so a seed that many items share spreads over the blocks.
+        dealt = F.pmod(F.xxhash64("seed", "item", "item_at"), F.lit(blocks))
+        part = seeds.where(dealt == block) if blocks > 1 else seeds
+        hit = windows(docs, "words", ["id", "digest"], masks).join(F.broadcast(part), "seed")
+        found = aligned(hit) if found is None else found.unionByName(aligned(hit))
+    return found.dropDuplicates(ALIGNED) if blocks > 1 else found
+
+
+def alignments_by_shuffle(
+    docs: DataFrame, seeds: DataFrame, masks: dict[int, list[tuple[int, ...]]]
+) -> DataFrame:
+    """The documents read once for their seeds, which are shuffled alone, and once for the words of
+    those that are hit."""
+    placed = windows(docs, "words", ["id", "digest"], masks).where("seed IS NOT NULL")
+    hit = placed.select("id", "digest", "at", "seed").join(seeds.hint("shuffle_merge"), "seed")
+    hit = hit.select("id", "digest", "at", "item", "item_at", "item_size")
+    # Equal texts have equal words, so a digest is enough to fetch them.
+    words = docs.select("digest", "words").join(hit.select("digest").distinct(), "digest", "left_semi")
+    return aligned(hit.join(words.dropDuplicates(["digest"]), "digest"))
 
 
 def overlaps(
@@ -200,21 +231,15 @@ def overlaps(
         row_digest(F.col(text)).alias("digest"),
         word_hashes(F.col(text)).alias("words"),
     )
-    items = test_items(benchmark, item_id, item_text)
+    items = staged(spark, test_items(benchmark, item_id, item_text), "decontamination-items")
     masks = masks_for(items, settings)
     seeds = staged(spark, test_seeds(items, masks, settings), "decontamination-seeds")
-    # Eight bytes a word and 64 for the rest of a row; an item id is taken for a short one.
-    stored = seeds.agg(F.sum(64 + 8 * F.size("item_words"))).first()[0] or 0
-    blocks = -(-stored // settings.block_bytes) or 1
-    found = None
-    for block in range(blocks):
-        # Dealt by the whole row, so a seed that many items share spreads over the blocks.
-        dealt = F.pmod(F.xxhash64("seed", "item_id", "item_at"), F.lit(blocks))
-        part = seeds.where(dealt == block) if blocks > 1 else seeds
-        hits = alignments(rows, part, masks)
-        found = hits if found is None else found.unionByName(hits)
-    if blocks > 1:
-        found = found.dropDuplicates(["id", "digest", "item_id", "shift"])
+    blocks = -(-seeds.count() * SEED_BYTES // settings.block_bytes) or 1
+    if blocks > settings.most_blocks:
+        found = alignments_by_shuffle(rows, seeds, masks)
+    else:
+        found = alignments_by_blocks(rows, seeds, masks, blocks)
+    found = found.join(items, "item")
 
     lead = F.greatest(-F.col("shift"), F.lit(0))
 
