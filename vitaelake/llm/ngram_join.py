@@ -3,10 +3,12 @@
 The n-gram length ``words`` and the likeness in percent ``limit`` are arguments; the defaults are
 those of the op9 query. Documents are put in size bands so narrow that linked ones lie in the same or in adjacent bands.
 Sets that are alike differ in at most ``K`` shingles, ``K`` known from the band. The 64-bit
-hash space is cut into more than ``K + 1`` equal parts, so some part with a shingle in it is the
-same in both, and a tile is what shares one whole part: (band, part, hash of the part). Frequent
-shingles make no large tiles, as a part holds about nine of them (four at 80 percent). Sets with
-so many empty parts that two may agree only in those share tiles of two empty parts as well.
+hash space is cut into equal parts, so many that nearly every set has shingles in more than ``K`` of
+them; then some part with a shingle in it is the same in both, and a tile is what shares one whole
+part: (band, part, hash of the part). Frequent shingles make no large tiles, as a part holds several.
+The few sets with shingles in no more than ``K`` parts have prefix tiles as well: of linked sets,
+the first shingles by hash, one more than may be missing, have one in common. So each tile has
+content, and unrelated sets share none.
 
 1. Every document's tiles are looked up; in each, all are paired with one of them (first within a
    task, so a tile that a third of all documents share reaches the shuffle as a row per task).
@@ -14,7 +16,9 @@ so many empty parts that two may agree only in those share tiles of two empty pa
    and those that may reach the limit are intersected as sorted arrays.
 3. Where a pair of step 1 was not a link, other members of its tiles may still be linked. The
    components it touched are compared again, all members of a tile but those already connected,
-   in blocks of bounded size.
+   in blocks of bounded size. A crowded tile (pages of one template, each with a word of its own)
+   is not compared whole: its members are dealt anew by their rarest shingles, as many as linked
+   sets of their two sizes must have one of in common, so texts that share only a template part.
 
 Only connections are needed, so a group of n copies costs n pairs, and no link between different
 texts is lost.
@@ -30,7 +34,7 @@ from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitaelake.llm.components import connected_components
@@ -43,6 +47,8 @@ LIMIT = 90
 # Tile rows a task holds before it pairs them; documents of a block compared in one task.
 HELD_ROWS = 500_000
 BLOCK = 256
+# Members of a tile beyond which they are dealt anew by their rarest shingles.
+CROWDED = 256
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -107,12 +113,33 @@ def most_apart(bands: np.ndarray, limit: int) -> np.ndarray:
     return 2 * largest * (100 - limit) // (100 + limit)
 
 
+@cache
+def part_count(band: int, limit: int) -> int:
+    """Parts that the sets of a band are cut into, and the smaller ones of the band below: so many
+    that even the smallest has shingles in more parts than linked sets can differ in, but for one in
+    thousands (four standard deviations)."""
+    apart = int(most_apart(np.array([band]), limit)[0])
+    smallest = int(band_edges(limit)[max(band - 1, 0)])
+    count = apart + 2
+    while True:
+        each = smallest / count
+        empty = np.exp(-each)
+        filled = count * (1 - empty)
+        spread = np.sqrt(max(0.0, count * empty * (1 - (1 + each) * empty)))
+        if filled - 4 * spread > apart or count > 4 * smallest:
+            return count
+        count += 1 + count // 50
+
+
 def parts_of(bands: np.ndarray, limit: int = LIMIT) -> np.ndarray:
-    """Parts that the sets of a band are cut into: one more than can differ, one that may be empty
-    in both, and twice the empty ones to expect of the smallest sets (two bands below)."""
-    apart = most_apart(bands, limit)
-    held = (100 + limit) / (2 * (100 - limit)) * (limit / 100) ** 2 if limit < 100 else np.inf
-    return apart + 2 + (apart * (2 * np.exp(-held))).astype(np.int64)
+    used, place = np.unique(bands, return_inverse=True)
+    return np.array([part_count(int(band), limit) for band in used], np.int64)[place]
+
+
+def prefix_size(size: int, partner: int, limit: int) -> int:
+    """Shingles of a set, in any order that all sets share, of which one is among those of every
+    linked set of at least ``partner`` shingles."""
+    return size + 1 - -(-limit * (size + partner) // (100 + limit))
 
 
 def tiles(
@@ -122,33 +149,27 @@ def tiles(
     one in the next."""
     sizes = np.diff(bounds)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    own = np.searchsorted(band_edges(limit), sizes, side="right") - 1
+    own = np.maximum(np.searchsorted(band_edges(limit), sizes, side="right") - 1, 0)
     numbers, found = [], []
     for lift in (0, 1):
         bands = own + lift
-        cuts = parts_of(np.maximum(bands, 0), limit)
-        parts = cuts.astype(np.uint64)
+        parts = parts_of(bands, limit).astype(np.uint64)
         part = ((keys >> np.uint64(32)) * parts[owner]) >> np.uint64(32)
         starts = np.flatnonzero(
             np.concatenate([[True], (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])])
         ) if len(keys) else np.empty(0, np.int64)
         whose = owner[starts]
-        place = (bands[whose].astype(np.uint64) << np.uint64(40)) + part[starts] + np.uint64(1)
+        band = bands[whose].astype(np.uint64) << np.uint64(40)
         numbers.append(whose)
-        found.append(mixed(sums(mixed(keys), starts) ^ mixed(place)))
-        # Linked sets agree in more than ``spare`` parts. Where all of those may be empty, two of
-        # them are among the first ``empty - spare + 1`` empty parts of either set.
-        spare = cuts - most_apart(np.maximum(bands, 0), limit) - 1
-        empty = cuts - np.bincount(whose, minlength=len(sizes))
-        ends = np.searchsorted(whose, np.arange(len(sizes) + 1))
-        for number in np.flatnonzero((empty > spare) & (sizes > 0)):
-            filled = np.zeros(cuts[number], bool)
-            filled[part[starts[ends[number] : ends[number + 1]]].astype(np.int64)] = True
-            missing = np.flatnonzero(~filled)[: empty[number] - spare[number] + 1]
-            spot = (np.uint64(bands[number]) << np.uint64(40)) + missing.astype(np.uint64)
-            one, other = np.triu_indices(len(missing), 1)
-            numbers.append(np.full(len(one), number))
-            found.append(mixed(mixed(mixed(spot[one])) + spot[other]))
+        found.append(mixed(sums(mixed(keys), starts) ^ mixed(band + part[starts] + np.uint64(1))))
+        # Linked sets may agree in empty parts only where neither has shingles in more parts
+        # than they can differ in.
+        filled = np.bincount(whose, minlength=len(sizes))
+        for number in np.flatnonzero((filled <= most_apart(bands, limit)) & (sizes > 0)).tolist():
+            size = int(sizes[number])
+            first = keys[bounds[number] : bounds[number] + size + 1 - -(-limit * size // 100)]
+            numbers.append(np.full(len(first), number))
+            found.append(mixed(mixed(first) + (np.uint64(bands[number]) << np.uint64(40))))
     return np.concatenate(numbers), np.concatenate(found)
 
 
@@ -402,13 +423,17 @@ def compare_rows(rows: list[pa.RecordBatch], limit: int) -> pa.RecordBatch:
 
 
 def mixed_tiles(members: DataFrame) -> DataFrame:
-    """Tiles of (tile, node, component) rows that hold more than one component."""
+    """Tiles of (tile, node, component, half) rows that hold more than one component, with the
+    members of either half. Members of half 2 meet all others of their tile; those of half 0 meet
+    those of half 1 only."""
     counts = members.groupBy("tile").agg(
-        F.count(F.lit(1)).alias("members"),
+        F.count_if(F.col("half") != 1).alias("members"),
+        F.count_if(F.col("half") != 0).alias("facing"),
         F.min("component").alias("least"),
         F.max("component").alias("greatest"),
     )
-    return counts.where("least <> greatest").select("tile", "members")
+    met = counts.where("least <> greatest AND members > 0 AND facing > 0")
+    return met.select("tile", "members", "facing")
 
 
 def hub_pairs(members: DataFrame) -> DataFrame:
@@ -432,20 +457,31 @@ def block_pairs(members: DataFrame, texts: DataFrame, words: int, limit: int) ->
     """All pairs across components in mixed tiles that bit counts do not rule out, found block by
     block: a tile's members are dealt to blocks, and each task row meets one pair of blocks."""
     tiles_left = mixed_tiles(members).select(
-        "tile", F.ceil(F.col("members") / BLOCK).cast("long").alias("blocks")
+        "tile",
+        F.ceil(F.col("members") / BLOCK).cast("long").alias("blocks"),
+        F.ceil(F.col("facing") / BLOCK).cast("long").alias("facing_blocks"),
     )
     placed = members.join(tiles_left, "tile")
     bits = texts.join(placed.select("node").distinct(), "node", "left_semi").select("node", "text")
     placed = placed.join(
         bits.mapInArrow(partial(node_bitmaps, words=words), "node long, size long, bits binary"), "node"
-    ).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    )
+    here, there = F.col("blocks"), F.col("facing_blocks")
+    here, there = F.when(F.col("half") == 1, there).otherwise(here), F.when(F.col("half") == 1, here).otherwise(there)
+    placed = placed.select("*", F.pmod(F.xxhash64("node"), here).alias("block"), there.alias("others"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)).alias("other")
+    whole, first = F.col("half") == 2, F.col("block") < F.col("other")
     spread = placed.select("*", other).select(
         "tile",
-        F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high"),
-        F.when(F.col("block") == F.col("other"), 2)
-        .otherwise(F.when(F.col("block") < F.col("other"), 0).otherwise(1))
+        F.when(whole, F.least("block", "other"))
+        .otherwise(F.when(F.col("half") == 0, F.col("block")).otherwise(F.col("other")))
+        .alias("low"),
+        F.when(whole, F.greatest("block", "other"))
+        .otherwise(F.when(F.col("half") == 0, F.col("other")).otherwise(F.col("block")))
+        .alias("high"),
+        F.when(~whole, F.col("half"))
+        .otherwise(F.when(F.col("block") == F.col("other"), 2).otherwise(F.when(first, 0).otherwise(1)))
+        .cast("int")
         .alias("side"),
         "node", "component", "size", "bits",
     )
@@ -455,6 +491,91 @@ def block_pairs(members: DataFrame, texts: DataFrame, words: int, limit: int) ->
     ).distinct()
 
 
+@cache
+def class_edges() -> np.ndarray:
+    """Smallest set size of each size class: a shingle wide at first, then a hundredth."""
+    edges = [1]
+    while edges[-1] < 1 << 40:
+        edges.append(edges[-1] + max(1, edges[-1] // 100))
+    return np.array(edges, np.int64)
+
+
+def member_shingles(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """(node, text) -> node, size, shingle."""
+    for batch in batches:
+        texts, nodes = utf8(batch.column(1), fold=True), batch.column(0).to_numpy()
+        for first, last in batches_of(texts):
+            keys, bounds = shingle_sets(texts[first:last], words)
+            sizes = np.diff(bounds)
+            yield arrow_rows(
+                ["node", "size", "shingle"],
+                np.repeat(nodes[first:last], sizes), np.repeat(sizes, sizes), keys.view(np.int64),
+            )
+
+
+@cache
+def partner_prefixes(size: int, limit: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The size classes that hold linked partners of a set, how many of its first shingles count for
+    each, and its own class."""
+    edges = class_edges()
+    own = int(np.searchsorted(edges, size, side="right")) - 1
+    least, most = -(-limit * size // 100), 100 * size // limit
+    classes = np.arange(
+        np.searchsorted(edges, least, side="right") - 1, np.searchsorted(edges, most, side="right")
+    )
+    # No partner of a class is smaller than its edge, nor than the least that can be linked.
+    smallest = np.maximum(edges[classes], least)
+    counts = np.array([prefix_size(size, int(one), limit) for one in smallest], np.int64)
+    return classes, counts, own
+
+
+def rare_tiles(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """(node, size, shingle, rank from 1, rarest first) -> tile, node, half: a tile for each class of
+    partners that the shingle counts for, of which the smaller class is half 0 and the larger half
+    1, or half 2 for partners of the own class."""
+    for batch in batches:
+        node, size, shingle, rank = (batch.column(at).to_numpy() for at in range(4))
+        for one in np.unique(size).tolist():
+            classes, counts, own = partner_prefixes(one, limit)
+            rows = np.flatnonzero(size == one)
+            row, place = np.nonzero(rank[rows][:, None] <= counts)
+            other = classes[place]
+            pair = (np.minimum(other, own) << 20) + np.maximum(other, own)
+            tile = mixed(mixed(shingle[rows][row].view(np.uint64)) + pair.astype(np.uint64))
+            half = np.where(other == own, 2, (other < own).astype(int)).astype(np.int32)
+            yield arrow_rows(["tile", "node", "half"], tile.view(np.int64), node[rows][row], half)
+
+
+def deal_crowded(members: DataFrame, texts: DataFrame, words: int, limit: int) -> DataFrame:
+    """(tile, node, component, half) rows, with the members of crowded mixed tiles in tiles of their rarest
+    shingles instead. Of the pairs that shared a crowded tile, all linked ones share a new one."""
+    spark = members.sparkSession
+    crowded = mixed_tiles(members).where(F.col("members") > CROWDED).select("tile")
+    crowded = staged(spark, crowded, "crowded")
+    if crowded.isEmpty():
+        return members
+    placed = members.join(crowded, "tile", "left_semi")
+    nodes = placed.select("node", "component").distinct()
+    shingles = texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(
+        partial(member_shingles, words=words), "node long, size long, shingle long"
+    )
+    # Counted before the shuffle; Spark splits a shingle that very many members have.
+    frequency = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"))
+    rarest = Window.partitionBy("node").orderBy("holders", "shingle")
+    # No partner is smaller than its limit allows, so no more shingles than these count.
+    most = F.col("size") + 1 - F.ceil(F.col("size") * limit / 100)
+    ranked = (
+        shingles.join(frequency, "shingle")
+        .withColumn("rank", F.row_number().over(rarest))
+        .where(F.col("rank") <= most)
+        .select("node", "size", "shingle", "rank")
+    )
+    dealt = ranked.mapInArrow(partial(rare_tiles, limit=limit), "tile long, node long, half int")
+    fresh = dealt.join(nodes, "node").select("tile", "node", "component", "half")
+    left = members.join(crowded, "tile", "left_anti").unionByName(fresh)
+    return staged(spark, left.select("tile", "node", "component", "half"), "dealt")
+
+
 def judged(
     spark, pairs: DataFrame, texts: DataFrame, label: str, words: int, limit: int
 ) -> DataFrame:
@@ -562,9 +683,13 @@ def settle_misses(
     # Most tiles hold one set only; they would be most of what is written and shuffled below.
     ordered = placed.repartition("tile").sortWithinPartitions("tile")
     members = staged(spark, ordered.mapInArrow(shared_tiles, "tile long, node long"), "members")
-    for candidates in (hub_pairs, lambda rows: block_pairs(rows, texts, words, limit)):
+
+    def remaining_pairs(rows: DataFrame) -> DataFrame:
+        return block_pairs(deal_crowded(rows, texts, words, limit), texts, words, limit)
+
+    for candidates in (hub_pairs, remaining_pairs):
         placed = members.join(labels, "node", "left").select(
-            "tile", "node", F.coalesce("component", "node").alias("component")
+            "tile", "node", F.coalesce("component", "node").alias("component"), F.lit(2).alias("half")
         )
         pairs = candidates(placed).join(verdicts.select("a", "b"), ["a", "b"], "left_anti")
         pairs = staged(spark, pairs, "more-pairs")
