@@ -2,14 +2,14 @@
 
 A page is cut into blocks, the runs of text between block-level tags, each with its tag path. A
 bidirectional LSTM, in numpy, reads a vector per block (hashed tags, classes and ids of the path,
-hashed words, sizes, share of linked text) over the whole sequence and gives each block the chance
-of being main text.
+hashed words, sizes, share of linked text, how much of the page its container holds) over the whole
+sequence and gives each block the chance of being main text.
 
 Pages carry no labels. The network learns from the markup of a bounded sample of pages: blocks
-inside an article are main text, blocks of navigation, adverts, forms and the like are not. Each
-sampled page is also learned in altered forms, with its semantic tags replaced by plain ones and
-other boilerplate from the sample around and inside it, so that words, sizes, order and class
-names must be used as well.
+inside an article are main text, blocks of navigation, adverts, forms and the like are not. What the
+markup says is a label only, never an input. Each sampled page is also learned in altered forms:
+containers by other tags and names or by bare ``div`` ones, with other boilerplate from the sample
+around and inside the text, so that words, sizes, order and containers must be used as well.
 
 Defined results: null and empty pages give no text; unclosed and stray tags are allowed; text
 outside any block-level tag is a block; white space inside a block (``<br>`` too) is one space;
@@ -21,6 +21,7 @@ import html
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 from functools import lru_cache
@@ -30,14 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Pages a network is fitted on: those with the least hash of their address and text.
+# Pages a network is fitted on: those with the least hash of their address and text, of at most so
+# many characters. Both bound what reaches the driver.
 MOST_PAGES = 120
+MOST_CHARS = 1 << 18
 # Blocks of a page that are learned from; scoring reads all blocks of all pages.
 LEARNED_BLOCKS = 64
 
-PATH_SLOTS, WORD_SLOTS, NUMBERS = 96, 32, 6
+PATH_SLOTS, WORD_SLOTS, NUMBERS = 128, 32, 11
 WIDTH = PATH_SLOTS + WORD_SLOTS + NUMBERS
-HIDDEN = 12
+HIDDEN = 16
 
 # Tags by their part in the HTML standard.
 INLINE = frozenset(
@@ -48,6 +51,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 SILENT = frozenset("script style noscript template iframe object svg canvas textarea".split())
 CLOSES_ITSELF = {"p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                  "th": {"td", "th"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
+# Tags whose element is a block rather than a container of blocks.
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li td th dt dd blockquote pre figcaption caption span".split())
 # Tags and name parts that say what a part of a page is.
 MAIN_TAGS = frozenset({"article", "main"})
 OTHER_TAGS = frozenset("nav header footer aside form menu dialog head title select button".split())
@@ -71,26 +76,28 @@ _CLOSERS = {tag: re.compile(rf"</{tag}\b", re.I) for tag in SILENT}
 
 @dataclass
 class Block:
-    """path: (tag, names) from the outside in. linked: characters inside links."""
+    """path: (tag, names) from the outside in. linked: characters inside links. container: the number
+    of the innermost element around it that may hold several blocks; 0 is the page."""
 
     path: tuple[tuple[str, tuple[str, ...]], ...]
     text: str
     linked: int
+    container: int = 0
 
 
 def page_blocks(page: str) -> list[Block]:
     """The blocks of a page, in page order."""
     blocks: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, tuple[str, ...], int]] = []  # with the number of the element
     pieces: list[str] = []
-    linked, in_link, at = 0, 0, 0
+    linked, in_link, at, opened = 0, 0, 0, 0
 
     def close_block() -> None:
         nonlocal pieces, linked
         text = " ".join("".join(pieces).split())
         if text:
-            path = tuple(part for part in stack if part[0] not in INLINE)
-            blocks.append(Block(path, text, linked))
+            around = next((number for tag, _, number in reversed(stack) if tag not in LEAVES), 0)
+            blocks.append(Block(tuple((tag, names) for tag, names, _ in stack), text, linked, around))
         pieces, linked = [], 0
 
     def add(raw: str) -> None:
@@ -135,7 +142,8 @@ def page_blocks(page: str) -> list[Block]:
             if stack and stack[-1][0] == "p":  # a block-level tag ends an open paragraph
                 stack.pop()
             words = [a or b or c for a, b, c in _NAMES.findall(found.group(3))]
-            stack.append((tag, tuple(_PARTS.findall(" ".join(words).lower()))))
+            opened += 1
+            stack.append((tag, tuple(_PARTS.findall(" ".join(words).lower())), opened))
     close_block()
     return blocks
 
@@ -157,19 +165,16 @@ _path_vectors: dict[tuple, np.ndarray] = {}
 
 
 def path_vector(path: tuple) -> np.ndarray:
-    """Tags, names and meanings of a path, hashed; paths repeat, so they are remembered."""
+    """Tags and names of a path and the parts of the names, hashed; paths repeat, so they are
+    remembered."""
     vector = _path_vectors.get(path)
     if vector is None:
         vector = np.zeros(PATH_SLOTS, np.float32)
-        free = PATH_SLOTS - 4
         for depth, (tag, names) in enumerate(reversed(path)):
-            vector[slot("tag", tag, free)] += 1 / (1 + depth)
+            vector[slot("tag", tag, PATH_SLOTS)] += 1 / (1 + depth)
             for name in names:
-                vector[slot("name", name, free)] += 1 / (1 + depth)
-        vector[free] = any(tag in MAIN_TAGS for tag, _ in path)
-        vector[free + 1] = any(tag in OTHER_TAGS for tag, _ in path)
-        vector[free + 2] = any(names_other(names) for _, names in path)
-        vector[free + 3] = len(path) / 10
+                for part in {name, *re.split(r"[-_]", name)} - {""}:
+                    vector[slot("name", part, PATH_SLOTS)] += 1 / (1 + depth)
         if len(_path_vectors) > 50_000:
             _path_vectors.clear()
         _path_vectors[path] = vector
@@ -179,6 +184,13 @@ def path_vector(path: tuple) -> np.ndarray:
 def block_vectors(blocks: list[Block]) -> np.ndarray:
     """A row per block: path, words and numbers."""
     rows = np.zeros((len(blocks), WIDTH), np.float32)
+    held, members = Counter(), Counter()
+    for block in blocks:
+        held[block.container] += len(block.text)
+        members[block.container] += 1
+    whole, most = sum(held.values()), max(held.values(), default=1)
+    before = [None, *(block.container for block in blocks)]
+    after = [*(block.container for block in blocks[1:]), None]
     for number, block in enumerate(blocks):
         row, text = rows[number], block.text
         row[:PATH_SLOTS] = path_vector(block.path)
@@ -190,6 +202,10 @@ def block_vectors(blocks: list[Block]) -> np.ndarray:
         row[-NUMBERS:] = (
             np.log1p(n) / 6, min(1.0, block.linked / n), text.count(" ") / n * 4,
             sum(map(text.count, ".!?")) / n * 20, number / len(blocks), text[-1] in ".!?:;\"",
+            held[block.container] / whole, held[block.container] / most,
+            np.log1p(members[block.container]) / 4,
+            (block.container == before[number]) + (block.container == after[number]),
+            len(block.path) / 10,
         )
     return rows
 
@@ -214,50 +230,74 @@ def markup_label(block: Block) -> int:
     return int(len(block.path) > 0 and block.linked * 2 < len(block.text) and len(block.text) > 40)
 
 
-# Plain and classed stand-ins for semantic tags, in altered pages.
-MAIN_STANDS = ("div", 'div class="content"', 'div class="post-body"', "main", "section", "article")
-OTHER_STANDS = (
-    'div class="sidebar"', "aside", 'div class="cookie-notice"', 'div class="comments"', "footer",
-    'section id="comments"', 'div class="related-posts"', "header", "form", "nav", 'div class="ad"',
-    'ul class="menu"', 'div class="newsletter"', 'div class="notice"',
-)
+# Names that altered forms give to the container of the text, and affixes of names.
+MAIN_NAMES = ("content", "post", "entry", "story", "body", "text", "main", "article")
+AFFIXES = ("", "", "site-", "page-", "block-", "-box", "-area", "-wrap", "-1")
 
 
 def altered(blocks: list[Block], labels: list[int], spare: list[str], draw: random.Random):
-    """The same page in other markup, with further boilerplate: blocks and labels."""
-    def part(stand: str) -> tuple[str, tuple[str, ...]]:
-        tag, _, rest = stand.partition(" ")
-        names = tuple(_PARTS.findall(rest.partition('"')[2]))
-        return tag, names
+    """The same page in other markup, with further boilerplate: blocks and labels.
+
+    Blocks of one container stay together. A style has semantic tags or plain ones, and names or
+    none; without both, only what the blocks hold and how they lie tells them apart.
+    """
+    semantic, named = draw.random() < 0.35, draw.random() < 0.5
+    numbers = iter(range(1, 1 << 30))
+
+    def names(known: tuple[str, ...]) -> tuple[str, ...]:
+        if not named or draw.random() < 0.15:
+            return ()
+        affix, name = draw.choice(AFFIXES), draw.choice(known)
+        return (affix + name if affix.endswith("-") else name + affix,)
+
+    def container(main: bool) -> tuple[tuple, int]:
+        if main:
+            tag = draw.choice(("article", "main")) if semantic else draw.choice(("div", "div", "section"))
+            return (tag, names(MAIN_NAMES)), next(numbers)
+        plain = draw.choice(("div", "div", "section", "ul"))
+        tag = draw.choice(sorted(OTHER_TAGS - {"head", "title", "select", "button"})) if semantic else plain
+        return (tag, names(OTHER_NAMES)), next(numbers)
 
-    main = part(draw.choice(MAIN_STANDS))
     frame: list[tuple] = [("html", ()), ("body", ())]
-    if draw.random() < 0.5:
-        frame.append(("div", draw.choice([(), ("page",), ("wrapper",), ("container",)])))
-    out, out_labels, stand = [], [], part(draw.choice(OTHER_STANDS))
-
-    def boilerplate() -> None:
-        where = part(draw.choice(OTHER_STANDS))
-        nested = [main] if draw.random() < 0.4 else []
-        for _ in range(draw.randint(1, 4)):
+    for _ in range(draw.choice((0, 0, 1, 2))):
+        frame.append(("div", names(("page", "wrapper", "container", "layout"))))
+    out: list[Block] = []
+    out_labels: list[int] = []
+    main, main_number = container(True)
+    seen: dict[int, tuple] = {}
+
+    def boilerplate(inside: bool) -> None:
+        where, number = container(False)
+        path = [*frame, main, where] if inside else [*frame, where]
+        link = draw.random() < 0.4
+        for _ in range(draw.choice((1, 1, 1, 2, 3, 5))):
             text = draw.choice(spare)
-            tag = draw.choice(["p", "li", "div", "span", "h3"])
-            own = Block(tuple([*frame, *nested, where, (tag, ())]), text, len(text) * (draw.random() < 0.4))
-            out.append(own)
+            leaf = [] if draw.random() < 0.4 else [(draw.choice(("p", "p", "li", "h3", "span")), ())]
+            out.append(Block(tuple([*path, *leaf]), text, len(text) * link, number))
             out_labels.append(0)
 
+    kind = draw.choice(("", "", "", "p", "li", "span", "blockquote"))
+    # Some pages hold little text, and short one.
+    shown = draw.choice((1, 2, 2, 3)) if draw.random() < 0.25 else len(blocks)
+    kept = 0
     for block, label in zip(blocks, labels):
-        if draw.random() < 0.08:
-            boilerplate()
+        kept += label
+        if label and kept > shown:
+            continue
+        if label and shown < len(blocks) and draw.random() < 0.5:
+            block = Block(block.path, block.text[: draw.randint(1, 30)].strip() or "-", 0)
+        if draw.random() < 0.06:
+            boilerplate(bool(label) and draw.random() < 0.7)
         last = block.path[-1] if block.path else ("p", ())
+        leaf = [(last[0], ())] if last[0] in LEAVES else []
         if label:
-            out.append(Block(tuple([*frame, main, last if last not in (main,) else ("p", ())]), block.text, block.linked))
+            where, number = main, main_number
+            leaf = [(kind, ())] if kind else leaf or [("p", ())]
         else:
-            if draw.random() < 0.3:
-                stand = part(draw.choice(OTHER_STANDS))
-            out.append(Block(tuple([*frame, stand, last]), block.text, block.linked))
+            where, number = seen.setdefault(block.container, container(False))
+        out.append(Block(tuple([*frame, where, *leaf]), block.text, block.linked, number))
         out_labels.append(label)
-    boilerplate()
+    boilerplate(False)
     return out, out_labels
 
 
@@ -363,7 +403,7 @@ def padded(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return rows, mask
 
 
-def fit(pages: list[str], rounds: int = 12, copies: int = 4, rate: float = 0.01) -> Network:
+def fit(pages: list[str], rounds: int = 30, copies: int = 8, rate: float = 0.01) -> Network:
     """A network that agrees with the markup of the pages, also when they are altered."""
     net, draw = fresh_network(), random.Random(11)
     cut = [page_blocks(page) for page in pages]
@@ -389,7 +429,8 @@ def fit(pages: list[str], rounds: int = 12, copies: int = 4, rate: float = 0.01)
     momentum = Network(*(np.zeros_like(getattr(net, one.name)) for one in fields(net)))
     power = Network(*(np.zeros_like(getattr(net, one.name)) for one in fields(net)))
     step = 0
-    for _ in range(rounds):
+    for done in range(rounds):
+        pace = rate * (1 - done / rounds)
         draw.shuffle(groups)
         for group in groups:
             step += 1
@@ -404,7 +445,7 @@ def fit(pages: list[str], rounds: int = 12, copies: int = 4, rate: float = 0.01)
                 m += 0.1 * (slope - m)
                 v += 0.01 * (slope**2 - v)
                 weights = getattr(net, one.name)
-                weights -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+                weights -= pace * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return net
 
 
@@ -431,7 +472,7 @@ def main_texts(net: Network, pages: list[str], together: int = 128) -> list[str]
 def train(pages: DataFrame, page: str = "html", url: str = "url", most: int = MOST_PAGES) -> Network:
     """Fitted on a bounded sample of pages."""
     sample = (
-        pages.where(F.length(page) > 0)
+        pages.where(F.length(page).between(1, MOST_CHARS))
         .select(F.xxhash64(url, page).alias("draw"), F.col(page).alias("page"))
         .orderBy("draw", "page")
         .limit(most)
