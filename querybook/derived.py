@@ -305,6 +305,26 @@ def cv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_section_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``cv_documents`` with sections of the wrong shape: a text instead of all education (every
+    10th, from 4), the areas twice (from 6), a degree that is a text beside the others (from 8)."""
+    documents = cv_documents(spark, sf_dir)
+    key, xml = F.substring_index("entry", ".", 1).cast("long"), F.col("xml")
+    education, areas = "FORMACAO-ACADEMICA-TITULACAO", "AREAS-DE-ATUACAO"
+    whole = rf"(?s)<{education}>.*</{education}>"
+    twice = rf"(?s)(<{areas}>.*</{areas}>)"
+    odd = (
+        F.when(key % 10 == 4, F.regexp_replace(xml, whole, f"<{education}>see annex</{education}>"))
+        .when(key % 10 == 6, F.regexp_replace(xml, twice, "$1$1"))
+        .when(
+            key % 10 == 8,
+            F.regexp_replace(xml, f"</{education}>", f"<MESTRADO>lost</MESTRADO></{education}>"),
+        )
+        .otherwise(xml)
+    )
+    return documents.withColumn("xml", odd)
+
+
 def write_archives(documents: DataFrame, folder: str) -> None:
     """Pack documents (``entry``, ``xml``) into zip files, one per task, each with a stray
     non-XML entry. A retried task writes the same file again."""

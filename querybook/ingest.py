@@ -9,6 +9,7 @@ from querybook.derived import (
     bronze_researchers,
     bronze_works,
     cv_documents,
+    odd_section_documents,
     table,
     text,
     write_archives,
@@ -29,6 +30,7 @@ from vitaelake.operators import curriculum, joins
 from vitaelake.plans import authors as author_jobs
 from vitaelake.plans import curricula_to_bronze
 from vitaelake.plans import works as work_jobs
+from vitaelake.plans.curricula import stage_documents
 from vitaelake.plans.lake import Lake
 from vitaelake.session import scratch_location
 from vitaelake.sources import archive, paging, snapshots
@@ -144,6 +146,49 @@ def xml_reject_malformed(spark, sf_dir):
     return curriculum.rejected(_parsed(spark, sf_dir)).select("entry", "reject")
 
 
+_SHAPED = f"""
+    SELECT *, c_custkey % 10 AS shape,
+           c_custkey % 8 <> 0
+             AND (c_custkey % 3 > 0 OR nation % 2 > 0 OR c_custkey % 2 > 0 OR nation % 3 > 0) AS degrees,
+           c_custkey % 9 <> 0 AND c_custkey % 4 > 0 AS areas
+    FROM ({CV}) cv
+"""
+
+
+@query(
+    "xml_reject_section",
+    f"""
+    WITH shaped AS ({_SHAPED}),
+    bad AS (
+      SELECT lattes_id, 'FORMACAO-ACADEMICA-TITULACAO' AS section,
+             CASE shape WHEN 4 THEN 'text in place of entries'
+                        ELSE 'text in place of an entry''s attributes' END AS reason
+      FROM shaped WHERE shape IN (4, 8) AND degrees
+      UNION ALL
+      SELECT lattes_id, 'AREAS-DE-ATUACAO', 'section occurs twice' FROM shaped WHERE shape = 6 AND areas),
+    education AS (SELECT lattes_id, count(*) AS n FROM ({EDUCATION}) e GROUP BY 1),
+    area AS (SELECT lattes_id, count(*) AS n FROM ({AREAS}) a GROUP BY 1)
+    SELECT s.lattes_id, b.section, b.reason,
+           CASE WHEN b.section LIKE 'FORMACAO%' THEN 0 ELSE coalesce(e.n, 0) END AS degrees,
+           CASE WHEN b.section LIKE 'AREAS%' THEN 0 ELSE coalesce(a.n, 0) END AS areas
+    FROM shaped s LEFT JOIN bad b USING (lattes_id)
+    LEFT JOIN education e USING (lattes_id) LEFT JOIN area a USING (lattes_id)
+    """,
+)
+def xml_reject_section(spark, sf_dir):
+    """Every researcher, the section of theirs that could not be read, and the rows of the others."""
+    staged = stage_documents(spark, odd_section_documents(spark, sf_dir))
+    key = F.substring_index("entry", ".", 1)
+    rejects = curriculum.rejected(staged).where("section IS NOT NULL")
+    rejects = rejects.select(key.alias("lattes_id"), "section", F.col("reject").alias("reason"))
+    found = curriculum.researcher_rows(staged).select("lattes_id").join(rejects, "lattes_id", "left")
+    children = {"degrees": curriculum.education_rows(staged), "areas": curriculum.area_rows(staged)}
+    for name, rows in children.items():
+        counts = rows.groupBy("lattes_id").agg(F.count(F.lit(1)).alias(name))
+        found = found.join(counts, "lattes_id", "left")
+    return found.fillna(0, list(children))
+
+
 # --- Archives -----------------------------------------------------------------------------
 
 

@@ -124,6 +124,52 @@ def test_areas(parsed):
     )
 
 
+def sectioned(key, education="", areas=""):
+    return (
+        f'<CURRICULO-VITAE NUMERO-IDENTIFICADOR="{key}"><DADOS-GERAIS NOME-COMPLETO="n{key}">\n'
+        f"{education}\n{areas}\n</DADOS-GERAIS></CURRICULO-VITAE>"
+    )
+
+
+DEGREE = '<GRADUACAO NOME-CURSO="c"/>'
+AREA = '<AREAS-DE-ATUACAO>\n <AREA-DE-ATUACAO SEQUENCIA-AREA-DE-ATUACAO="1"/>\n</AREAS-DE-ATUACAO>'
+
+
+def education(inside):
+    return f"<FORMACAO-ACADEMICA-TITULACAO>{inside}</FORMACAO-ACADEMICA-TITULACAO>"
+
+
+def test_sections_of_the_wrong_shape_are_set_apart(spark):
+    """The researcher and the other section stay."""
+    documents = [
+        sectioned(1, education(DEGREE), AREA),
+        sectioned(2, education("see annex"), AREA),
+        sectioned(3, education(DEGREE + "<MESTRADO>lost</MESTRADO>"), AREA),
+        sectioned(4, education(DEGREE) * 2, AREA),
+        sectioned(5, education(DEGREE), AREA * 2),
+        sectioned(6, education(DEGREE), "<AREAS-DE-ATUACAO>none</AREAS-DE-ATUACAO>"),
+        sectioned(7, education("a"), "<AREAS-DE-ATUACAO>b</AREAS-DE-ATUACAO>"),
+        sectioned(8, education("<GRADUACAO/><MESTRADO/>"), "<AREAS-DE-ATUACAO><AREA-DE-ATUACAO/></AREAS-DE-ATUACAO>"),
+        sectioned(9, education(DEGREE)[:50], AREA),
+    ]
+    parsed = curriculum.parse_documents(
+        spark.createDataFrame([(text, "t") for text in documents], "xml STRING, other STRING")
+    ).cache()
+    assert [row.lattes_id for row in curriculum.researcher_rows(parsed).orderBy("lattes_id").collect()] == list("12345678")
+    assert sorted(row.lattes_id for row in curriculum.education_rows(parsed).collect()) == ["1", "5", "6"]
+    assert sorted(row.lattes_id for row in curriculum.area_rows(parsed).collect()) == ["1", "2", "3", "4"]
+    rejects = curriculum.rejected(parsed)
+    assert rejects.columns == ["xml", "other", "reject", "section"]
+    part, areas = "FORMACAO-ACADEMICA-TITULACAO", "AREAS-DE-ATUACAO"
+    text, twice = "text in place of entries", "section occurs twice"
+    expected = [
+        (documents[1], text, part), (documents[2], "text in place of an entry's attributes", part),
+        (documents[3], twice, part), (documents[4], twice, areas), (documents[5], text, areas),
+        (documents[6], text, part), (documents[6], text, areas), (documents[8], "malformed XML", None),
+    ]
+    assert rows(rejects.select("xml", "reject", "section")) == sorted(expected, key=repr)
+
+
 def test_each_document_is_parsed_once(spark):
     documents = curriculum.parse_documents(spark.createDataFrame([(BARE,)], "xml STRING"))
     for table in (

@@ -1,6 +1,11 @@
-"""CV documents (XML text) to researcher, education and area rows."""
+"""CV documents (XML text) to researcher, education and area rows.
 
-from collections.abc import Mapping
+What cannot be read is set apart as narrowly as it can be: a document that is no CV gives a reject
+and nothing else; a section of the wrong shape (text where entries belong, or the section twice)
+gives a reject of that section, while the researcher and the other sections go on.
+"""
+
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,15 +20,17 @@ _XML_OPTIONS = {
     "ignoreSurroundingSpaces": "false",
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": S.CORRUPT_RECORD,
+    "valueTag": S.TEXT_VALUE,
 }
 _ROOT_TAG = rf"^\s*(?:<\?[\s\S]*?\?>\s*|<!--[\s\S]*?-->\s*|<!DOCTYPE[^>]*>\s*)*<{S.CV_ROOT}[\s/>]"
 _PARSED = T.StructType([*S.CV_XML.fields, T.StructField(S.CORRUPT_RECORD, T.StringType())])
 
 
 def parse_documents(documents: DataFrame) -> DataFrame:
-    """Add ``cv`` (the document as a struct) and ``reject`` (why it could not be read).
+    """Add ``cv`` (the document as a struct), ``reject`` (why it could not be read) and
+    ``bad_sections`` (section and reason of each that has the wrong shape).
 
-    One of the two is null. A readable document with another root element gives a ``cv`` whose
+    One of the first two is null. A readable document with another root element gives a ``cv`` whose
     fields are null. Values are kept as written, spaces included. Documents are independent: a
     bad one never stops the others.
     """
@@ -43,7 +50,41 @@ def parse_documents(documents: DataFrame) -> DataFrame:
     ]
     judged = parsed.withColumns({"reject": reject, "_fields": F.struct(*fields)})
     cv = F.when(F.col("reject").isNull(), F.col("_fields"))
-    return judged.withColumn("cv", cv).drop("_cv", "_fields")
+    read = judged.withColumn("cv", cv).drop("_cv", "_fields")
+    return read.withColumn("bad_sections", _bad_sections(F.col("cv").getField("DADOS-GERAIS")))
+
+
+def _section_fault(node: Column, entries: Sequence[str]) -> Column:
+    """Why a section (a list of its occurrences) cannot be read; null where it can, or is absent."""
+    section = F.get(node, 0)
+    lists = [section.getField(name) for name in entries]
+
+    def is_text(entry: Column) -> Column:
+        return entry.getField(S.TEXT_VALUE).isNotNull()
+
+    text_entry = [F.coalesce(F.exists(members, is_text), F.lit(False)) for members in lists]
+    return (
+        F.when(F.size(node) > 1, F.lit("section occurs twice"))
+        .when(section.getField(S.TEXT_VALUE).isNotNull(), F.lit("text in place of entries"))
+        .when(F.greatest(*text_entry, F.lit(False)), F.lit("text in place of an entry's attributes"))
+    )
+
+
+def _bad_sections(general: Column) -> Column:
+    faults = [
+        F.struct(
+            F.lit(name).alias("section"),
+            _section_fault(general.getField(name), entries).alias("reason"),
+        )
+        for name, entries in S.SECTIONS.items()
+    ]
+    return F.filter(F.array(*faults), lambda fault: fault["reason"].isNotNull())
+
+
+def _sound_section(name: str) -> Column:
+    """The section where its shape is right, else null."""
+    node = F.col("cv").getField("DADOS-GERAIS").getField(name)
+    return F.when(_section_fault(node, S.SECTIONS[name]).isNull(), F.get(node, 0))
 
 
 def _rows_where(condition: Column, *row: Column) -> Column:
@@ -56,9 +97,14 @@ def _rows_where(condition: Column, *row: Column) -> Column:
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
-    """Documents that could not be read, with the reason; all but the struct is kept."""
-    kept = [F.col(name) for name in parsed.columns if name != "cv"]
-    return parsed.select(_rows_where(F.col("reject").isNotNull(), *kept))
+    """Documents and sections that could not be read, with the reason; ``section`` is null for a
+    whole document. All but the struct is kept."""
+    kept = [F.col(name) for name in parsed.columns if name not in ("cv", "reject", "bad_sections")]
+    whole = F.struct(F.lit(None).cast("string").alias("section"), F.col("reject").alias("reason"))
+    faults = F.when(F.col("reject").isNotNull(), F.array(whole)).otherwise(F.col("bad_sections"))
+    told = parsed.select(*kept, F.inline(faults))
+    return told.select(*[F.col(name) for name in told.columns if name not in ("section", "reason")],
+                       F.col("reason").alias("reject"), "section")
 
 
 def _attributes(node: Column, mapping: Mapping[str, str]) -> list[Column]:
@@ -104,7 +150,7 @@ def _member_rows(members: Column, mapping: Mapping[str, str], columns, **fixed:
 
 def education_rows(parsed: DataFrame) -> DataFrame:
     """All degrees of all kinds, each document read once; columns a kind lacks are null."""
-    node = F.col("cv").getField("DADOS-GERAIS").getField("FORMACAO-ACADEMICA-TITULACAO")
+    node = _sound_section("FORMACAO-ACADEMICA-TITULACAO")
     kinds = [
         _member_rows(node.getField(kind), mapping, S.EDUCATION_COLUMNS, tipo_formacao=kind)
         for kind, mapping in S.EDUCATION_ATTRIBUTES.items()
@@ -114,7 +160,7 @@ def education_rows(parsed: DataFrame) -> DataFrame:
 
 def area_rows(parsed: DataFrame) -> DataFrame:
     """All areas of expertise."""
-    node = F.col("cv").getField("DADOS-GERAIS").getField("AREAS-DE-ATUACAO")
+    node = _sound_section("AREAS-DE-ATUACAO")
     rows = _member_rows(node.getField("AREA-DE-ATUACAO"), S.AREA_ATTRIBUTES, S.AREA_ATTRIBUTES)
     return _with_document_key(parsed, rows, S.AREA_ATTRIBUTES)
 

@@ -11,7 +11,7 @@ from vitaelake.operators import curriculum
 from vitaelake.plans.lake import Lake, report
 from vitaelake.session import drop_scratch, scratch_location
 from vitaelake.sources.archive import read_archives
-from vitaelake.sources.snapshots import Manifest, Table, write_counted
+from vitaelake.sources.snapshots import Manifest, Table, file_rows, write_counted
 
 
 def stage_documents(
@@ -20,10 +20,11 @@ def stage_documents(
     """Parse the documents once and keep the result as a table the three outputs read.
 
     A written table survives lost executors and lets each output read only its own columns.
-    The text itself is kept for rejected documents alone.
+    The text itself is kept for documents alone that are rejected, in whole or in part.
     """
     parsed = curriculum.parse_documents(documents)
-    parsed = parsed.withColumn("xml", F.when(F.col("reject").isNotNull(), F.col("xml")))
+    odd = F.col("reject").isNotNull() | (F.size("bad_sections") > 0)
+    parsed = parsed.withColumn("xml", F.when(odd, F.col("xml")))
     folder = folder or scratch_location(spark, "documents")
     parsed.write.parquet(folder)
     return spark.read.schema(parsed.schema).parquet(folder)
@@ -35,11 +36,12 @@ def curricula_to_bronze(
     """Landing to bronze; gives the folders written. An empty table is an empty snapshot, so a
     rerun of a day leaves nothing of the run before.
 
-    Unreadable documents go to the ``rejects`` table with the reason; the others go on.
+    Unreadable documents and sections go to the ``rejects`` table with the reason; the others go on.
     """
     lake = Lake(base)
     staging = scratch_location(spark, "documents")
     staged = stage_documents(spark, read_archives(spark, archives, pattern), staging)
+    documents = sum(file_rows(spark, staging, staged.schema).values())
     outputs = {
         lake.bronze_researchers: curriculum.researcher_rows(staged),
         lake.bronze_education: curriculum.education_rows(staged),
@@ -56,7 +58,5 @@ def curricula_to_bronze(
         written = dict(zip(outputs, pool.map(write, outputs)))
     drop_scratch(spark, staging)
     rows = {table.entity: manifest.rows for table, manifest in written.items()}
-    # Every document gives a researcher or a reject.
-    documents = rows[lake.bronze_researchers.entity] + rows[lake.bronze_rejects.entity]
     report("curricula to bronze", {"documents": documents}, rows)
     return {table.entity: manifest.folder for table, manifest in written.items()}

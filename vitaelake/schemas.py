@@ -106,6 +106,14 @@ EDUCATION_COLUMNS = [
 ]
 
 CORRUPT_RECORD = "_corrupt_record"
+# Where the text of an element goes that holds text rather than attributes and children.
+TEXT_VALUE = "_text"
+
+# Sections that a researcher row does without, and the entries that each may hold.
+SECTIONS = {
+    "FORMACAO-ACADEMICA-TITULACAO": tuple(EDUCATION_ATTRIBUTES),
+    "AREAS-DE-ATUACAO": ("AREA-DE-ATUACAO",),
+}
 
 
 def _strings(names) -> T.StructType:
@@ -116,6 +124,14 @@ def _children(**nodes) -> list[T.StructField]:
     return [T.StructField(name, type_) for name, type_ in nodes.items()]
 
 
+def _section(**entries) -> T.ArrayType:
+    """A section as often as it occurs, with text where there is some in place of its entries."""
+    lists = {
+        name: T.ArrayType(_strings([TEXT_VALUE, *attributes])) for name, attributes in entries.items()
+    }
+    return T.ArrayType(T.StructType(_strings([TEXT_VALUE]).fields + _children(**lists)))
+
+
 CV_XML = T.StructType(
     _strings(ROOT_ATTRIBUTES.values()).fields
     + _children(
@@ -130,22 +146,14 @@ CV_XML = T.StructType(
                                 **{"ENDERECO-PROFISSIONAL": _strings(ADDRESS_ATTRIBUTES.values())}
                             )
                         ),
-                        "FORMACAO-ACADEMICA-TITULACAO": T.StructType(
-                            _children(
-                                **{
-                                    kind: T.ArrayType(_strings(attributes.values()))
-                                    for kind, attributes in EDUCATION_ATTRIBUTES.items()
-                                }
-                            )
+                        "FORMACAO-ACADEMICA-TITULACAO": _section(
+                            **{
+                                kind: attributes.values()
+                                for kind, attributes in EDUCATION_ATTRIBUTES.items()
+                            }
                         ),
-                        "AREAS-DE-ATUACAO": T.StructType(
-                            _children(
-                                **{
-                                    "AREA-DE-ATUACAO": T.ArrayType(
-                                        _strings(AREA_ATTRIBUTES.values())
-                                    )
-                                }
-                            )
+                        "AREAS-DE-ATUACAO": _section(
+                            **{"AREA-DE-ATUACAO": AREA_ATTRIBUTES.values()}
                         ),
                     }
                 )
@@ -250,7 +258,7 @@ RESEARCHER_COLUMNS = [
 BRONZE_RESEARCHERS = _strings(RESEARCHER_COLUMNS)
 BRONZE_EDUCATION = _strings([*EDUCATION_COLUMNS, "lattes_id"])
 BRONZE_AREAS = _strings([*AREA_ATTRIBUTES, "lattes_id"])
-BRONZE_REJECTS = _strings(["path", "entry", "xml", "error", "reject"])
+BRONZE_REJECTS = _strings(["path", "entry", "xml", "error", "reject", "section"])
 
 # --- Silver name maps (fixed values: source column -> silver column, in order) -------------
 
