@@ -33,7 +33,7 @@ from vitaelake.plans import works as work_jobs
 from vitaelake.plans.curricula import stage_documents
 from vitaelake.plans.lake import Lake
 from vitaelake.session import scratch_location
-from vitaelake.sources import archive, paging, snapshots
+from vitaelake.sources import archive, drift, paging, snapshots
 
 DAY_1, DAY_2, DAY_3 = date(2024, 5, 1), date(2024, 5, 9), date(2024, 6, 1)
 
@@ -415,6 +415,68 @@ def json_results_explode(spark, sf_dir):
     )
 
 
+# What the pages of events are read as: one field of another kind, two that nothing holds.
+NARROW_EVENT = S.record(event_id=S.WHOLE, event_type=S.WHOLE, props=S.record(z=S.TEXT), absent=S.FLAG)
+
+
+def _event_pages(spark, sf_dir):
+    """Events as pages of one record each; every third has a list and every fifth a null more."""
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.from_json("props", "k BIGINT").alias("props"), "user_id"
+    )
+    tags = F.when(F.col("event_id") % 3 == 0, F.array("event_type"))
+    note = F.when(F.col("event_id") % 5 == 0, F.lit(',"note":null')).otherwise("")
+    record = F.to_json(F.struct("event_id", "event_type", "props", tags.alias("tags")))
+    body = text('{"results":[', F.expr("left(rec, length(rec) - 1)"), F.col("note"), "}]}")
+    return events.select(record.alias("rec"), note.alias("note")).select(body.alias("body"))
+
+
+@query(
+    "schema_drift",
+    """
+    WITH fields AS (
+      SELECT 'event_id' AS path, 'whole' AS kind FROM events
+      UNION ALL SELECT 'event_type', 'text' FROM events
+      UNION ALL SELECT 'props', 'object' FROM events
+      UNION ALL SELECT 'props.' || key,
+             CASE json_type(props, '$.' || key) WHEN 'UBIGINT' THEN 'whole' WHEN 'BIGINT' THEN 'whole'
+                  WHEN 'VARCHAR' THEN 'text' WHEN 'DOUBLE' THEN 'number' END
+        FROM (SELECT props, unnest(json_keys(props)) AS key FROM events)
+      UNION ALL SELECT 'tags', 'list' FROM events WHERE event_id % 3 = 0
+      UNION ALL SELECT 'note', 'null' FROM events WHERE event_id % 5 = 0),
+    declared(path, declared) AS (
+      VALUES ('event_id', 'whole'), ('event_type', 'whole'), ('props', 'object'), ('props.z', 'text'),
+             ('absent', 'flag')),
+    seen AS (SELECT path, kind, count(*) AS records FROM fields GROUP BY path, kind)
+    SELECT coalesce(s.path, d.path) AS path, kind, declared, coalesce(records, 0) AS records,
+           CASE WHEN declared IS NULL THEN 'unknown' WHEN kind IS NULL THEN 'missing'
+                WHEN kind = declared THEN 'as declared' ELSE 'other kind' END AS status
+    FROM seen s FULL JOIN declared d ON s.path = d.path
+    """,
+)
+def schema_drift(spark, sf_dir):
+    """Fields of the pages that no schema names, of another kind, or that nothing holds."""
+    return drift.field_report(drift.record_variants(_event_pages(spark, sf_dir)), NARROW_EVENT)
+
+
+@query(
+    "undeclared_fields_kept",
+    """
+    SELECT event_id, CAST(NULL AS BOOLEAN) AS absent,
+           CASE WHEN event_id % 3 = 0 THEN event_type END AS first_tag,
+           event_id % 3 = 0 OR event_id % 5 = 0 AS has_rest
+    FROM events
+    """,
+)
+def undeclared_fields_kept(spark, sf_dir):
+    """The declared fields, and out of the variant column what the schema does not name."""
+    records = drift.page_records_with_rest(_event_pages(spark, sf_dir), NARROW_EVENT)
+    tag = F.try_variant_get("rest", "$.tags[0]", "string")
+    return records.select(
+        "event_id", "absent", tag.alias("first_tag"), F.col("rest").isNotNull().alias("has_rest")
+    )
+
+
 @query(
     "authors_to_bronze",
     f"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from querybook.derived import index_from_text, spread, table, text
 from querybook.registry import query
 from vitaelake import functions as V
+from vitaelake.operators.columns import date_columns_by_sample
 from vitaelake.operators.projection import add_if_absent, set_column, string_columns
 
 RUN_AT = datetime(2024, 5, 24, 9, 30, 15)
@@ -186,6 +187,48 @@ def date_detect_format(spark, sf_dir):
     return orders.withColumns({name: V.reformat_date_text(F.col(name)) for name in names})
 
 
+_BY_SAMPLE = """strftime(CASE WHEN contains({0}_first, 'T') THEN try_strptime({0}, '%Y-%m-%dT%H:%M:%S')
+                WHEN contains({0}_first, '-') THEN try_strptime({0}, '%Y-%m-%d')
+                ELSE try_strptime({0}, '%d/%m/%Y') END, '%d/%m/%Y') AS {0}"""
+
+
+@query(
+    "date_format_by_column",
+    f"""
+    WITH written AS (
+      SELECT o_orderkey,
+             CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_custkey % 3 = 0 THEN strftime(o_orderdate, '%d/%m/%Y')
+                  ELSE strftime(o_orderdate, '%Y-%m-%d') END AS mixed,
+             CASE WHEN o_custkey % 5 = 4 THEN 'unknown' ELSE strftime(o_orderdate, '%d/%m/%Y') END AS local,
+             CASE WHEN o_orderkey > 40 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END AS stamp
+      FROM orders),
+    samples AS (
+      SELECT first(mixed ORDER BY o_orderkey) FILTER (mixed IS NOT NULL) AS mixed_first,
+             first(local ORDER BY o_orderkey) FILTER (local IS NOT NULL) AS local_first,
+             first(stamp ORDER BY o_orderkey) FILTER (stamp IS NOT NULL) AS stamp_first
+      FROM written)
+    SELECT o_orderkey, {_BY_SAMPLE.format("mixed")}, {_BY_SAMPLE.format("local")},
+           {_BY_SAMPLE.format("stamp")}
+    FROM written, samples
+    """,
+)
+def date_format_by_column(spark, sf_dir):
+    """Each column in the format of its first value, by order key; what is written otherwise is null."""
+    day = F.col("o_orderdate")
+    local, iso = F.date_format(day, "dd/MM/yyyy"), F.date_format(day, "yyyy-MM-dd")
+    written = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "P", None)
+        .when(F.col("o_custkey") % 3 == 0, local)
+        .otherwise(iso)
+        .alias("mixed"),
+        F.when(F.col("o_custkey") % 5 == 4, "unknown").otherwise(local).alias("local"),
+        F.when(F.col("o_orderkey") > 40, F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss")).alias("stamp"),
+    )
+    names = ["mixed", "local", "stamp", "absent"]
+    return date_columns_by_sample(written, names, "o_orderkey", strict=False)
+
+
 @query(
     "date_parse_strict",
     "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_date FROM orders",

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from vitaelake.operators import dedup, enrich, joins, keys, projection, works
+from vitaelake.operators import columns, dedup, enrich, joins, keys, projection, works
 
 
 def test_select_rename(spark):
@@ -326,3 +326,41 @@ def test_conditional_enrich(spark):
     got = {row.id: row.resumo_traduzido for row in out.collect()}
     assert got == {1: "HELLO!", 2: "HELLO!", 3: "hello", 4: "hello", 5: None, 6: "!", 7: None}
     assert seen.value == 2  # each distinct English text once
+
+
+DATED = [
+    (1, None, None, None, None, 5), (2, "2024-02-03", "31/12/2020", "2020-01-02T03:04:05", None, 6),
+    (3, "03/02/2024", "01/02/2021", "2020-01-02", None, 7), (4, "2024-02-30", None, "x", None, 8),
+    (5, "2024-02-03T01:02:03", "29/02/2024", "2021-05-06T00:00:00", None, 9),
+]
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_dates_in_the_format_of_a_columns_first_value(spark, strict):
+    df = spark.createDataFrame(DATED, "id INT, iso STRING, local STRING, stamp STRING, none STRING, n INT")
+    names = ["iso", "local", "stamp", "none", "n", "absent"]
+    out = columns.date_columns_by_sample(df.repartition(3), names, "id", strict)
+    assert out.dtypes == df.dtypes
+    assert rows(out) == sorted([
+        (1, None, None, None, None, 5), (2, "03/02/2024", "31/12/2020", "02/01/2020", None, 6),
+        (3, None, "01/02/2021", None, None, 7), (4, None, None, None, None, 8),
+        (5, None, "29/02/2024", "06/05/2021", None, 9),
+    ], key=repr)
+    # Another order, another sample: the local format, in which the others are unreadable.
+    back = df.where("id IN (2, 3)").withColumn("id", -F.col("id"))
+    if strict:
+        with pytest.raises(Exception, match="2024-02-03|PARSE"):
+            columns.date_columns_by_sample(back, ["iso"], "id", strict).collect()
+    else:
+        found = columns.date_columns_by_sample(back, ["iso"], "id", strict)
+        assert {row.iso for row in found.collect()} == {None, "03/02/2024"}
+
+
+def test_the_sample_is_part_of_the_same_query(spark):
+    df = spark.createDataFrame(DATED, "id INT, iso STRING, local STRING, stamp STRING, none STRING, n INT")
+    spark.sparkContext.setJobGroup("sampling", "date sample")
+    try:
+        columns.date_columns_by_sample(df, ["iso", "local"], "id")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("sampling")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

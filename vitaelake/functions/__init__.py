@@ -1,6 +1,8 @@
 """Column functions: Column in, Column out, all built-in and JVM-side."""
 
 from vitaelake.functions.dates import (
+    date_format_of,
+    date_text_in_format,
     parse_update_date,
     reformat_date_text,
     run_date_text,
@@ -14,6 +16,8 @@ from vitaelake.functions.inverted_index import (
 from vitaelake.functions.text import falsy_coalesce, join_list, last_segment, project_list, recode
 
 __all__ = [
+    "date_format_of",
+    "date_text_in_format",
     "encode_json",
     "falsy_coalesce",
     "join_list",
