@@ -39,13 +39,13 @@ from pyspark.sql import functions as F
 
 from vitaelake.llm.components import connected_components
 from vitaelake.llm.native import staged
-from vitaelake.llm.wordarrays import batches_of, cut_words, mixed, utf8
+from vitaelake.llm.wordarrays import batches_of, cut_words, mixed, pieces, utf8
 
 WORDS = 3
 # Two sets are linked when limit * |union| <= 100 * |intersection|.
 LIMIT = 90
 # Tile rows a task holds before it pairs them; documents of a block compared in one task.
-HELD_ROWS = 500_000
+HELD_ROWS = 250_000
 BLOCK = 256
 # Members of a tile beyond which they are dealt anew by their rarest shingles.
 CROWDED = 256
@@ -199,7 +199,7 @@ def arrow_rows(names: list[str], *columns) -> pa.RecordBatch:
 
 def name_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) -> doc_id, node, n_shingles."""
-    for batch in batches:
+    for batch in pieces(batches):
         texts = utf8(batch.column(1), fold=True)
         for first, last in batches_of(texts):
             keys, bounds = shingle_sets(texts[first:last], words)
@@ -220,7 +220,7 @@ def tile_rows(
     alone (leader null) and the others are paired with it."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
-    for batch in batches:
+    for batch in pieces(batches):
         texts = utf8(batch.column(0), fold=True)
         for first, last in batches_of(texts):
             keys, bounds = shingle_sets(texts[first:last], words)
@@ -290,7 +290,7 @@ def judge_pairs(
     batches: Iterator[pa.RecordBatch], words: int, limit: int
 ) -> Iterator[pa.RecordBatch]:
     """(a, b, text_a, text_b) -> a, b, linked."""
-    for batch in batches:
+    for batch in pieces(batches):
         left, right = utf8(batch.column(2), fold=True), utf8(batch.column(3), fold=True)
         verdicts = []
         for first, last in batches_of(left):
@@ -312,7 +312,7 @@ def judge_pairs(
 
 def keep_wanted(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """(text) -> node, text."""
-    for batch in batches:
+    for batch in pieces(batches):
         texts = utf8(batch.column(0), fold=True)
         for first, last in batches_of(texts):
             keys, bounds = shingle_sets(texts[first:last], words)
@@ -329,7 +329,7 @@ def tile_nodes(
     batches: Iterator[pa.RecordBatch], words: int, limit: int
 ) -> Iterator[pa.RecordBatch]:
     """(node, text) -> tile, node."""
-    for batch in batches:
+    for batch in pieces(batches):
         texts, nodes = utf8(batch.column(1), fold=True), batch.column(0).to_numpy()
         for first, last in batches_of(texts):
             keys, bounds = shingle_sets(texts[first:last], words)
@@ -358,7 +358,7 @@ def shared_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def node_bitmaps(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """(node, text) -> node, size, bits."""
-    for batch in batches:
+    for batch in pieces(batches):
         texts, nodes = utf8(batch.column(1), fold=True), batch.column(0).to_numpy()
         for first, last in batches_of(texts):
             keys, bounds = shingle_sets(texts[first:last], words)
@@ -502,7 +502,7 @@ def class_edges() -> np.ndarray:
 
 def member_shingles(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """(node, text) -> node, size, shingle."""
-    for batch in batches:
+    for batch in pieces(batches):
         texts, nodes = utf8(batch.column(1), fold=True), batch.column(0).to_numpy()
         for first, last in batches_of(texts):
             keys, bounds = shingle_sets(texts[first:last], words)
@@ -559,8 +559,11 @@ def deal_crowded(members: DataFrame, texts: DataFrame, words: int, limit: int) -
     shingles = texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(
         partial(member_shingles, words=words), "node long, size long, shingle long"
     )
-    # Counted before the shuffle; Spark splits a shingle that very many members have.
+    shingles = staged(spark, shingles, "member-shingles")
+    # Counted before the shuffle. Stored, so that the join reads shuffles alone, of which Spark can
+    # split a shingle that very many members have.
     frequency = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"))
+    frequency = staged(spark, frequency, "holders")
     rarest = Window.partitionBy("node").orderBy("holders", "shingle")
     # No partner is smaller than its limit allows, so no more shingles than these count.
     most = F.col("size") + 1 - F.ceil(F.col("size") * limit / 100)

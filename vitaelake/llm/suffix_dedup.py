@@ -40,20 +40,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitaelake.llm.native import staged
-from vitaelake.llm.wordarrays import batches_of, mixed, power_table, utf8
+from vitaelake.llm.wordarrays import batches_of, mixed, pieces, power_table, utf8
 from vitaelake.session import drop_scratch, scratch_location
 
 LENGTH = 100
 GRAM = 32
 REACH = LENGTH - GRAM  # bytes before an anchor that its windows reach
 WINDOWS = REACH + 1
-HELD_ANCHORS = 500_000
+HELD_ANCHORS = 200_000
 # Different surroundings of one anchor in one task, above which they are spread by surroundings.
 SPREAD = 256
 # Entries that share a string, above which they are dealt anew by longer ones.
 TOGETHER = 1024
 # Entries whose windows are compared at once.
-HELD_ENTRIES = 20_000
+HELD_ENTRIES = 4096
 
 _BASE = 0xD1342543DE82EF95
 _UNBASE = pow(_BASE, -1, 1 << 64)
@@ -156,7 +156,7 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     that the others remove."""
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
-    for batch in batches:
+    for batch in pieces(batches):
         doc, twin = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
         texts = utf8(batch.column(2))
         for first, last in batches_of(texts):
@@ -280,7 +280,7 @@ def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             RANGED, keys[0], pa.array(zero), low, high, *keys[1:], pa.array(around, pa.binary())
         )
 
-    for batch in batches:
+    for batch in pieces(batches):
         texts, docs, twins = utf8(batch.column(3)), *(batch.column(at).to_pylist() for at in (0, 1))
         narrow, doc, packed, around = [], [], [], []
         for number, entries in enumerate(batch.column(2).to_pylist()):
@@ -350,6 +350,11 @@ def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from settle_equal(iter([entry_batch(rows_of(RANGED, *keyed).take(pa.array(order)))]))
 
 
+def first_halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``halves`` of ``surroundings``, in one process."""
+    return halves(surroundings(batches))
+
+
 def settle_equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Entries in order of (key, full, doc, packed) -> the first of each key and full, and the spans
     that the windows of the others reach; spans pass through."""
@@ -576,13 +581,12 @@ class SuffixFamily:
             old.drop()
 
     def _fetched(self, entries: DataFrame) -> DataFrame:
-        """The surroundings of entries, out of the documents."""
+        """Documents with the entries in them."""
         of_doc = entries.groupBy(F.col("doc").alias("of")).agg(
             F.collect_list(F.struct("narrow", "packed")).alias("entries")
         )
         corpus = self.corpus.join(of_doc, F.col("doc") == F.col("of"))
-        fetched = corpus.select("doc", "twin", "entries", "text")
-        return fetched.mapInArrow(surroundings, RANGED)
+        return corpus.select("doc", "twin", "entries", "text")
 
     def _compare(self, entries: DataFrame, work: Scratch) -> DataFrame:
         """Spans of windows that two entries of an anchor share."""
@@ -590,10 +594,11 @@ class SuffixFamily:
         many = counts.where(F.col("members") > self.together).select("narrow")
         crowded = work.staged(many, "crowded")
         if crowded.isEmpty():
-            parts, spans = [self._fetched(entries)], []
+            parts, spans = [self._fetched(entries).mapInArrow(surroundings, RANGED)], []
         else:
             # No hint: Spark broadcasts the anchors if they are few, and else splits skewed parts.
-            parts = [self._fetched(entries.join(crowded, "narrow", "left_anti"))]
+            few = self._fetched(entries.join(crowded, "narrow", "left_anti"))
+            parts = [few.mapInArrow(surroundings, RANGED)]
             settled, spans = self._divided(self._fetched(entries.join(crowded, "narrow")), work)
             parts += settled
         together = parts[0]
@@ -610,13 +615,14 @@ class SuffixFamily:
             F.col("end").alias("high"),
         )
 
-    def _divided(self, rows: DataFrame, work: Scratch) -> tuple[list[DataFrame], list[DataFrame]]:
-        """Entries of crowded anchors by halves of their windows, until few share a half: the rows
+    def _divided(self, fetched: DataFrame, work: Scratch) -> tuple[list[DataFrame], list[DataFrame]]:
+        """Entries of crowded anchors, in their documents, by halves of their windows, until few share a half: the rows
         to compare, and the spans found on the way. A half of one window leaves one row of a key."""
         settled, spans = [], []
+        rows, cut = fetched, first_halves
         while True:
             ordered = (
-                rows.mapInArrow(halves, COMPARED)
+                rows.mapInArrow(cut, COMPARED)
                 .repartition("key", "full")
                 .sortWithinPartitions("kind", "key", "full", "doc", "packed")
             )
@@ -630,7 +636,7 @@ class SuffixFamily:
             crowded = shared.where(~few).select("key")
             if crowded.isEmpty():
                 return settled, spans
-            rows = entries.join(crowded, "key")
+            rows, cut = entries.join(crowded, "key"), halves
 
 
 KEPT = "doc long, n_bytes long, n_removed long, n_spans long, kept binary"
@@ -638,7 +644,7 @@ KEPT = "doc long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 def cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, twin, text, spans) -> doc, n_bytes, n_removed, n_spans, kept."""
-    for batch in batches:
+    for batch in pieces(batches):
         twins, texts = batch.column(1).to_pylist(), utf8(batch.column(2))
         spans = batch.column(3).to_pylist()
         for start in range(0, batch.num_rows, 500):
@@ -758,7 +764,7 @@ def remove_repeats(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index(text)
-        for batch in batches:
+        for batch in pieces(batches):
             place = pa.array(np.zeros(batch.num_rows, np.int64))
             number, spans = batch.column(len(names)), batch.column(len(names) + 1)
             only = pa.RecordBatch.from_arrays(

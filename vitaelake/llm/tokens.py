@@ -15,8 +15,8 @@ from tokenizers import Tokenizer
 from vitaelake.llm.wordarrays import LOWER, batches_of, cut_words
 
 # Words remembered by one worker; beyond that it starts afresh, so its memory stays bounded.
-KNOWN = 1_000_000
-STEMS = 200_000
+KNOWN = 500_000
+STEMS = 100_000
 
 _TAILS = frozenset(",.!?;:")
 

@@ -89,6 +89,13 @@ def batches_of(texts: list[bytes], most: int = BATCH_BYTES) -> Iterator[tuple[in
         yield first, len(texts)
 
 
+def pieces(batches, rows: int = 512):
+    """Record batches in parts of few rows, so that few texts are copied out of a batch at once."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def utf8(values, fold: bool = False) -> list[bytes]:
     """UTF-8 bytes of an Arrow string column; null is empty; ``fold`` lower-cases A to Z."""
     raw = [b"" if text is None else text for text in values.cast("binary").to_pylist()]
