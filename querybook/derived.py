@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitaelake.functions import encode_json
+from vitaelake.session import scratch_location
 from vitaelake.sources.archive import file_system
 
 API = "https://api.example.org/"
@@ -207,6 +208,21 @@ def bronze_researchers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_pages(spark: SparkSession, records: DataFrame, per_page: int, label: str) -> DataFrame:
+    """Records (``filter``, ``number`` from 0 within it, ``record`` as JSON) as a stored table of page
+    bodies, as they come from a paged service: filter, page, body."""
+    page = (F.floor(F.col("number") / per_page) + 1).alias("page")
+    total = records.groupBy("filter").agg(F.count(F.lit(1)).alias("total"))
+    listed = F.sort_array(F.collect_list(F.struct("number", "record")))
+    pages = records.groupBy("filter", page).agg(
+        F.array_join(F.transform(listed, lambda one: one["record"]), ",").alias("results")
+    )
+    body = text('{"meta":{"count":', F.col("total"), '},"results":[', F.col("results"), "]}")
+    folder = scratch_location(spark, label)
+    pages.join(total, "filter").select("filter", "page", body.alias("body")).write.parquet(folder)
+    return spark.read.schema("filter string, page long, body string").parquet(folder)
+
+
 # --- CV documents -------------------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from datetime import date
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from querybook.derived import (
@@ -9,6 +10,7 @@ from querybook.derived import (
     bronze_researchers,
     bronze_works,
     cv_documents,
+    landed_pages,
     odd_section_documents,
     table,
     text,
@@ -28,7 +30,7 @@ from vitaelake import schemas as S
 from vitaelake.functions import text_from_inverted_index
 from vitaelake.operators import curriculum, joins
 from vitaelake.plans import authors as author_jobs
-from vitaelake.plans import curricula_to_bronze
+from vitaelake.plans import curricula_to_bronze, documents_to_bronze as bronze_of_documents
 from vitaelake.plans import works as work_jobs
 from vitaelake.plans.curricula import stage_documents
 from vitaelake.plans.lake import Lake
@@ -269,6 +271,39 @@ def landing_to_bronze_children(spark, sf_dir):
     return rows.groupBy("child", "lattes_id", "kind").agg(F.count("*").alias("n"))
 
 
+@query("documents_to_bronze", RESEARCHERS)
+def documents_to_bronze(spark, sf_dir):
+    """The landing job for documents that lie in a table, one row each."""
+    lake = scratch_location(spark, "lake")
+    bronze_of_documents(spark, cv_documents(spark, sf_dir), lake, DAY_1)
+    return snapshots.read_snapshot(spark, Lake(lake).bronze_researchers, DAY_1)
+
+
+@query(
+    "documents_to_bronze_children",
+    f"""
+    SELECT 'education' AS child, lattes_id, count(*) AS n FROM ({EDUCATION}) e GROUP BY lattes_id
+    UNION ALL SELECT 'areas', lattes_id, count(*) FROM ({AREAS}) a GROUP BY lattes_id
+    UNION ALL SELECT 'rejects', lpad(CAST(c_custkey AS VARCHAR), 16, '0'), 1
+    FROM customer WHERE c_custkey % 7 = 3
+    """,
+)
+def documents_to_bronze_children(spark, sf_dir):
+    """The other tables of that job: rows of each document."""
+    lake = Lake(scratch_location(spark, "lake"))
+    bronze_of_documents(spark, cv_documents(spark, sf_dir), lake.bronze_areas.base, DAY_1)
+    key = F.substring_index("entry", ".", 1).alias("lattes_id")
+    found = None
+    for name, target, of in (
+        ("education", lake.bronze_education, F.col("lattes_id")),
+        ("areas", lake.bronze_areas, F.col("lattes_id")),
+        ("rejects", lake.bronze_rejects, key),
+    ):
+        rows = snapshots.read_snapshot(spark, target, DAY_1).select(F.lit(name).alias("child"), of)
+        found = rows if found is None else found.unionByName(rows)
+    return found.groupBy("child", "lattes_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- API pages ----------------------------------------------------------------------------
 
 
@@ -477,6 +512,68 @@ def undeclared_fields_kept(spark, sf_dir):
     )
 
 
+@query(
+    "landed_orders",
+    f"""
+    SELECT o.*, totals.total FROM ({_ORDERS}) o
+    JOIN (SELECT o_custkey, count(*) AS total FROM orders GROUP BY o_custkey) totals
+      ON o.customer = totals.o_custkey
+    """,
+)
+def landed_orders(spark, sf_dir):
+    """Orders out of landed pages of ten for each customer, with the count that the pages report."""
+    orders = table(spark, sf_dir, "orders")
+    place = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1
+    numbered = order_records(spark, sf_dir).join(
+        orders.select(F.col("o_orderkey").alias("id"), place.alias("number")), "id"
+    )
+    pages = landed_pages(
+        spark, numbered.select(text("customer:", F.col("key")).alias("filter"), "number", "record"), 10, "order-bodies"
+    )
+    records = paging.page_records(pages, ORDER_RECORD)
+    counts = pages.where("page = 1").select(
+        F.substring_index("filter", ":", -1).cast("long").alias("customer"),
+        paging.meta_count(F.col("body")).alias("total"),
+    )
+    return records.join(counts, "customer").select(*ORDER_RECORD.names, "total")
+
+
+@query(
+    "landed_works",
+    f"""
+    SELECT id, doi, display_name, title, n_chars AS cited_by_count, type,
+           CASE WHEN doc_id % 17 <> 0 THEN abstract END AS abstract, n_authors
+    FROM ({WORKS_WITH_ABSTRACT})
+    WHERE n_authors > 0 AND EXISTS (SELECT 1 FROM range(5) r(place)
+                                    WHERE place < n_authors AND (doc_id + place) % 9 <> 0)
+    """,
+)
+def landed_works(spark, sf_dir):
+    """Works out of landed pages of a hundred for each batch of 50 authors; a work is on the pages of
+    every batch that holds one of its authors, and comes once."""
+    works = bronze_works(spark, sf_dir, encoded=False)
+    batch = F.floor(F.substring_index("author", "/A", -1).cast("long") / 50)
+    served = works.select(
+        "id",
+        F.to_json(F.struct(*works.columns)).alias("record"),
+        F.explode("authorships.author.id").alias("author"),
+    )
+    served = served.where("author IS NOT NULL").groupBy(batch.alias("batch"), "id").agg(F.first("record").alias("record"))
+    place = F.row_number().over(Window.partitionBy("batch").orderBy("id")) - 1
+    numbered = served.select(text("author.id:", F.col("batch")).alias("filter"), place.alias("number"), "record")
+    bronze = work_jobs.works_of_pages(landed_pages(spark, numbered, 100, "work-bodies"))
+    return bronze.select(
+        "id",
+        "doi",
+        "display_name",
+        "title",
+        "cited_by_count",
+        "type",
+        text_from_inverted_index(F.col("abstract_inverted_index")).alias("abstract"),
+        F.coalesce(F.size("authorships"), F.lit(0)).cast("bigint").alias("n_authors"),
+    )
+
+
 @query(
     "authors_to_bronze",
     f"""

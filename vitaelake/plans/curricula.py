@@ -33,15 +33,25 @@ def stage_documents(
 def curricula_to_bronze(
     spark: SparkSession, archives: str, base: str, run_date: date, pattern: str = "*.zip"
 ) -> dict[str, str]:
-    """Landing to bronze; gives the folders written. An empty table is an empty snapshot, so a
-    rerun of a day leaves nothing of the run before.
+    """``documents_to_bronze`` for the documents in zip archives."""
+    return documents_to_bronze(spark, read_archives(spark, archives, pattern), base, run_date)
+
+
+def documents_to_bronze(
+    spark: SparkSession, documents: DataFrame, base: str, run_date: date
+) -> dict[str, str]:
+    """Landing to bronze for documents (``path``, ``entry``, ``xml``, ``error``; all but ``xml`` may be
+    absent); gives the folders written. An empty table is an empty snapshot, so a rerun of a day
+    leaves nothing of the run before.
 
     Unreadable documents and sections go to the ``rejects`` table with the reason; the others go on.
     """
     lake = Lake(base)
     staging = scratch_location(spark, "documents")
-    staged = stage_documents(spark, read_archives(spark, archives, pattern), staging)
-    documents = sum(file_rows(spark, staging, staged.schema).values())
+    absent = [name for name in ("path", "entry", "error") if name not in documents.columns]
+    documents = documents.withColumns({name: F.lit(None).cast("string") for name in absent})
+    staged = stage_documents(spark, documents, staging)
+    count = sum(file_rows(spark, staging, staged.schema).values())
     outputs = {
         lake.bronze_researchers: curriculum.researcher_rows(staged),
         lake.bronze_education: curriculum.education_rows(staged),
@@ -58,5 +68,5 @@ def curricula_to_bronze(
         written = dict(zip(outputs, pool.map(write, outputs)))
     drop_scratch(spark, staging)
     rows = {table.entity: manifest.rows for table, manifest in written.items()}
-    report("curricula to bronze", {"documents": documents}, rows)
+    report("curricula to bronze", {"documents": count}, rows)
     return {table.entity: manifest.folder for table, manifest in written.items()}
