@@ -21,7 +21,6 @@ import html
 import random
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 from functools import lru_cache
@@ -183,30 +182,35 @@ def path_vector(path: tuple) -> np.ndarray:
 
 def block_vectors(blocks: list[Block]) -> np.ndarray:
     """A row per block: path, words and numbers."""
-    rows = np.zeros((len(blocks), WIDTH), np.float32)
-    held, members = Counter(), Counter()
-    for block in blocks:
-        held[block.container] += len(block.text)
-        members[block.container] += 1
-    whole, most = sum(held.values()), max(held.values(), default=1)
-    before = [None, *(block.container for block in blocks)]
-    after = [*(block.container for block in blocks[1:]), None]
-    for number, block in enumerate(blocks):
-        row, text = rows[number], block.text
-        row[:PATH_SLOTS] = path_vector(block.path)
-        slots = [hash_word(word) for word in _WORD.findall(text.lower())]
-        if slots:
-            shares = np.bincount(slots, minlength=WORD_SLOTS) / len(slots)
-            row[PATH_SLOTS : PATH_SLOTS + WORD_SLOTS] = shares
-        n = len(text)
-        row[-NUMBERS:] = (
-            np.log1p(n) / 6, min(1.0, block.linked / n), text.count(" ") / n * 4,
-            sum(map(text.count, ".!?")) / n * 20, number / len(blocks), text[-1] in ".!?:;\"",
-            held[block.container] / whole, held[block.container] / most,
-            np.log1p(members[block.container]) / 4,
-            (block.container == before[number]) + (block.container == after[number]),
-            len(block.path) / 10,
-        )
+    count = len(blocks)
+    rows = np.zeros((count, WIDTH), np.float32)
+    if not count:
+        return rows
+    texts = [block.text for block in blocks]
+    words = [[hash_word(word) for word in _WORD.findall(text.lower())] for text in texts]
+    many = np.fromiter(map(len, words), np.int64, count)
+    slots = np.fromiter((one for some in words for one in some), np.int64, int(many.sum()))
+    places = np.repeat(np.arange(count), many) * WORD_SLOTS + slots
+    shares = np.bincount(places, minlength=count * WORD_SLOTS).reshape(count, WORD_SLOTS)
+    rows[:, :PATH_SLOTS] = [path_vector(block.path) for block in blocks]
+    rows[:, PATH_SLOTS : PATH_SLOTS + WORD_SLOTS] = shares / np.maximum(many, 1)[:, None]
+
+    n = np.fromiter(map(len, texts), float, count)
+    linked = np.fromiter((block.linked for block in blocks), float, count)
+    spaces = np.fromiter((text.count(" ") for text in texts), float, count)
+    stops = np.fromiter((text.count(".") + text.count("!") + text.count("?") for text in texts), float, count)
+    ends = np.fromiter((text[-1] in ".!?:;\"" for text in texts), float, count)
+    depth = np.fromiter((len(block.path) for block in blocks), float, count)
+    _, container = np.unique([block.container for block in blocks], return_inverse=True)
+    held, members = np.bincount(container, n), np.bincount(container)
+    beside = np.zeros(count)
+    beside[1:] += container[1:] == container[:-1]
+    beside[:-1] += container[:-1] == container[1:]
+    rows[:, -NUMBERS:] = np.column_stack([
+        np.log1p(n) / 6, np.minimum(1, linked / n), spaces / n * 4, stops / n * 20,
+        np.arange(count) / count, ends, held[container] / n.sum(), held[container] / held.max(),
+        np.log1p(members[container]) / 4, beside, depth / 10,
+    ])
     return rows
 
 
@@ -333,9 +337,10 @@ def read_sequence(net: Network, direction: int, rows: np.ndarray, mask: np.ndarr
     """States after each block, of pages x blocks x WIDTH; the steps too, if they are kept."""
     pages, length, _ = rows.shape
     steps = range(length) if direction == 0 else range(length - 1, -1, -1)
-    state, cell = np.zeros((pages, HIDDEN)), np.zeros((pages, HIDDEN))
+    kind = net.into.dtype
+    state, cell = np.zeros((pages, HIDDEN), kind), np.zeros((pages, HIDDEN), kind)
     gates_in = rows @ net.into[direction] + net.bias[direction]
-    states, trace = np.zeros((pages, length, HIDDEN)), {}
+    states, trace = np.zeros((pages, length, HIDDEN), kind), {}
     for at in steps:
         gates = gates_in[:, at] + state @ net.back[direction]
         opened = sigmoid(gates[:, : 3 * HIDDEN])
