@@ -92,7 +92,7 @@ def components_by_hand(texts, limit=90, size=3):
     return {key: root(key) for key in sets}
 
 
-@pytest.mark.parametrize("crowded", [5, 256])
+@pytest.mark.parametrize("crowded", [5, 2048])
 def test_components_of_template_texts(spark, monkeypatch, crowded):
     monkeypatch.setattr(ngram_join, "CROWDED", crowded)
     texts = template_texts()

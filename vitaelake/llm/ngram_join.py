@@ -47,8 +47,9 @@ LIMIT = 90
 # Tile rows a task holds before it pairs them; documents of a block compared in one task.
 HELD_ROWS = 250_000
 BLOCK = 256
-# Members of a tile beyond which they are dealt anew by their rarest shingles.
-CROWDED = 256
+# Members of a tile beyond which they are dealt anew by their rarest shingles. Up to here a member is
+# copied to a few blocks as a bitmap, which is less than all its shingles are.
+CROWDED = 2048
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
