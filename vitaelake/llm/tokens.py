@@ -16,7 +16,8 @@ from vitaelake.llm.wordarrays import LOWER, batches_of, cut_words
 
 # Words remembered by one worker; beyond that it starts afresh, so its memory stays bounded.
 KNOWN = 500_000
-STEMS = 100_000
+# Words for each of which a stem is remembered too.
+STEM_SHARE = 5
 
 _TAILS = frozenset(",.!?;:")
 
@@ -35,8 +36,9 @@ def ends_in_letter(word: str) -> bool:
 class WordEncoder:
     """Encodes texts with the tokenizer file at ``path``, without special tokens."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = KNOWN):
         self.tokenizer = Tokenizer.from_file(path)
+        self.most = most
         self.stems: dict[str, bytes] = {}  # ids as 32-bit integers
         self.letters: dict[str, str] = {}
         self._clear()
@@ -59,7 +61,7 @@ class WordEncoder:
     def stem_ids(self, stem: str) -> bytes:
         ids = self.stems.get(stem)
         if ids is None:
-            if len(self.stems) >= STEMS:
+            if len(self.stems) >= self.most // STEM_SHARE:
                 self.stems.clear()
             ids = self.stems[stem] = np.array(self._encode_stem(stem), np.int32).tobytes()
         return ids
@@ -94,7 +96,7 @@ class WordEncoder:
     def encode_batch(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all the texts (UTF-8), one after the other, and where each text's begin."""
         cut = cut_words([text.translate(LOWER) for text in texts])
-        if len(self.known) > KNOWN:
+        if len(self.known) > self.most:
             self._clear()
         hashes, first, number = np.unique(cut.hashes, return_index=True, return_inverse=True)
         at = np.searchsorted(self.known, hashes)
@@ -128,16 +130,16 @@ class WordEncoder:
         return rows
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, most: int = KNOWN) -> WordEncoder:
     """The worker's encoder for a tokenizer file, kept from task to task."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    if (path, most) not in _encoders:
+        _encoders[path, most] = WordEncoder(path, most)
+    return _encoders[path, most]
 
 
-def document_ids(path: str, texts: list[bytes], end_id: int) -> list[np.ndarray]:
+def document_ids(path: str, texts: list[bytes], end_id: int, most: int = KNOWN) -> list[np.ndarray]:
     """The ids of each document (UTF-8) and the end id."""
-    return [np.append(ids, np.int32(end_id)) for ids in encoder(path).encode(texts)]
+    return [np.append(ids, np.int32(end_id)) for ids in encoder(path, most).encode(texts)]
