@@ -58,7 +58,7 @@ def told(text, size=5):
     return quoted, wrote
 
 
-def parents_by_hand(messages, common=64):
+def parents_by_hand(messages):
     """(conv, turn) -> parent, n_windows, n_agreed."""
     by_conv = defaultdict(lambda: defaultdict(list))
     for conv, turn, text in messages:
@@ -81,8 +81,6 @@ def parents_by_hand(messages, common=64):
                 scores = defaultdict(int)
                 for window in windows:
                     earlier = [one for one in writers[window] if one < turn]
-                    if len(writers[window]) > common:
-                        earlier = earlier and [max(earlier)]
                     for one in earlier:
                         scores[one] += 1
                 if scores:
@@ -143,10 +141,37 @@ def test_links_against_a_plain_search(spark, monkeypatch, seed, common):
     monkeypatch.setattr(chat_quotes, "TURNS", 3)
     messages = random_messages(seed)
     found = parents(chat_quotes.link_quotes(conversations(spark, messages)))
-    expected = parents_by_hand(messages, common)
+    expected = parents_by_hand(messages)
     assert found == expected and len(expected) > 15
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_windows_of_many_messages_lose_no_link(spark, monkeypatch, seed):
+    """Messages of a few common sentences, of which replies quote several: seldom the latest
+    writer of one of them is the message that wrote most."""
+    monkeypatch.setattr(chat_quotes, "COMMON", 3)
+    draw = random.Random(seed)
+    said = [f"sentence number {n} that is often said" for n in range(9)] + ["yes", "no thanks"]
+    messages = []
+    for conv in range(3):
+        for turn in range(60):
+            quoted = [">" * draw.choice([1, 1, 2]) + " " + one for one in draw.sample(said, draw.randint(1, 5))]
+            own = draw.sample(said, draw.randint(0, 5)) + [f"w{draw.randint(0, 9)} here are own words"]
+            parts = [one for line in quoted if turn > 5 for one in (line, "")] + [one for line in own for one in (line, "> ")]
+            messages.append((conv, turn, "\n".join(parts)))
+    found = parents(chat_quotes.link_quotes(conversations(spark, messages)))
+    assert found == parents_by_hand(messages) and len(found) > 150
+
+
+def test_message_that_wrote_two_common_windows(spark):
+    """More than COMMON messages wrote each line, one wrote both, and it is the latest of neither."""
+    greeting, signature = "good morning to you all here", "with kind regards from the team"
+    lines = [greeting, signature] * 70
+    messages = [(1, turn, line) for turn, line in enumerate([*lines[:20], f"{greeting}\n\nmore\n{signature}", *lines[20:]])]
+    messages.append((1, 199, f"> {greeting}\nwell\n> {signature}\nyes"))
+    assert parents(chat_quotes.link_quotes(conversations(spark, messages)))[1, 199] == (20, 4, 4)
+
+
 FIRST = "The meeting is moved to the large hall on the second floor because of the many guests"
 
 

@@ -9,8 +9,13 @@ earlier one that agrees with most of its level-1 windows, the latest of equals,
 its deeper ones. Following replies up gives each message its thread and depth; conversations are read
 by (conv_id, thread_turn, turn).
 
-A window that more than ``COMMON`` messages of a conversation wrote (a greeting, a signature) tells
-little, and all their pairs would be many: it counts for the latest of them before the quote only.
+All pairs of a window that more than ``COMMON`` messages of a conversation wrote (a greeting, a
+signature) would be many, so those are settled in three steps, which lose no pair that could win.
+The messages that share a rarer window with the quote, and the latest earlier writer of each common
+one, are scored exactly, on the windows of both kinds; messages that wrote the same common windows
+count those once. That settles most quotes: no other message agrees with more than the common ones.
+For the rest, a better message has one of the quote's rarest common windows, as many as it can miss:
+the distinct sets of common windows that hold one are scored, and the latest earlier writer of each.
 
 Defined results: a null text has no lines; lines without a word count for nothing, also between two
 of one passage; quotes of what nobody wrote earlier in the conversation stay unlinked, and so do those
@@ -25,7 +30,7 @@ from pyspark.sql import functions as F
 
 from vitaelake.llm.native import let, lower_ascii, staged
 
-# Words that are hashed together, and messages that may have written them.
+# Words that are hashed together, and messages that may have written them for all pairs to be made.
 WINDOW = 5
 COMMON = 64
 # Turns of a conversation whose order is settled in one group.
@@ -121,29 +126,99 @@ def written_windows(messages: DataFrame) -> DataFrame:
     return messages.select("conv", "turn", F.explode(keys).alias("key")).distinct()
 
 
-def latest_writers(quoted: DataFrame, written: DataFrame) -> DataFrame:
-    """quoted with ``origin``, the latest earlier turn that wrote the window; null without one.
+def latest_writers(quoted: DataFrame, written: DataFrame, kept: list[str]) -> DataFrame:
+    """quoted (conv, turn, key and the columns ``kept``) with ``origin``, the latest earlier turn that
+    wrote the key; null without one.
 
     The turns of a window are ordered in groups of bounded size, each of which takes over the
     latest writer of the groups before it.
     """
     group = F.floor(F.col("turn") / TURNS)
     writers = written.select("conv", "key", "turn", group.alias("group"))
-    events = quoted.select("conv", "key", "turn", "level", group.alias("group"), F.lit(None).cast("long").alias("wrote"))
+    events = quoted.select("conv", "key", "turn", *kept, group.alias("group"), F.lit(None).cast("long").alias("wrote"))
     events = events.unionByName(
-        writers.select("*", F.lit(None).cast("int").alias("level"), F.col("turn").alias("wrote"))
+        writers.withColumn("wrote", F.col("turn")), allowMissingColumns=True
     )
     within = Window.partitionBy("conv", "key", "group").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    placed = events.withColumn("near", F.max("wrote").over(within)).where("level IS NOT NULL")
+    placed = events.withColumn("near", F.max("wrote").over(within)).where("wrote IS NULL")
     # One row for a group that wrote or quoted: the latest writer of all groups before.
     last = events.groupBy("conv", "key", "group").agg(F.max("wrote").alias("last"))
     earlier = Window.partitionBy("conv", "key").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
     before = last.select("conv", "key", "group", F.max("last").over(earlier).alias("far"))
     return placed.join(before, ["conv", "key", "group"]).select(
-        "conv", "turn", "key", "level", F.coalesce("near", "far").alias("origin")
+        "conv", "turn", "key", *kept, F.coalesce("near", "far").alias("origin")
     )
 
 
+def window_sets(rows: DataFrame, by: list[str], name: str) -> DataFrame:
+    """Rows of ``by`` with ``name``: a digest of the windows that they hold together."""
+    listed = F.concat_ws(",", F.sort_array(F.collect_set(F.hex("key"))))
+    return rows.groupBy(*by).agg(F.unhex(F.md5(listed)).alias(name))
+
+
+def set_overlaps(pairs: DataFrame, asked: DataFrame, told: DataFrame) -> DataFrame:
+    """conv, asked_set, told_set, both: how many windows the sets of each pair share, if any."""
+    pairs = pairs.select("conv", "asked_set", "told_set").distinct()
+    met = pairs.join(asked, ["conv", "asked_set"]).join(told, ["conv", "told_set", "key"])
+    return met.groupBy("conv", "asked_set", "told_set").agg(F.count(F.lit(1)).alias("both"))
+
+
+def common_scores(
+    rare: DataFrame, quoted: DataFrame, written: DataFrame, writers: DataFrame
+) -> DataFrame:
+    """conv, turn, outer, origin, agreed: ``rare`` (the same, by rare windows) with what origins share
+    of the common windows ``quoted`` and ``written``, and with every other origin that may be the
+    latest of those that agree with most."""
+    spark = rare.sparkSession
+    quote, side = ["conv", "turn"], ["conv", "turn", "outer"]
+    asked_sets = staged(spark, window_sets(quoted, side, "asked_set"), "asked-sets")
+    told_sets = staged(spark, window_sets(written, quote, "told_set"), "told-sets")
+    asked = quoted.join(asked_sets, side).select("conv", "asked_set", "key").distinct()
+    told = written.join(told_sets, quote).select("conv", "told_set", "key").distinct()
+    asked, told = staged(spark, asked, "asked"), staged(spark, told, "told")
+    late = latest_writers(quoted, written, ["outer"]).where("origin IS NOT NULL")
+    late = staged(spark, late, "late")
+
+    # What is known: all that agree in a rare window, and the latest writer of each common one.
+    near = rare.unionByName(
+        late.select(*side, "origin").distinct().withColumn("agreed", F.lit(0).cast("long"))
+    )
+    near = near.groupBy(*side, "origin").agg(F.max("agreed").alias("agreed"))
+    of_origin = told_sets.withColumnRenamed("turn", "origin")
+    placed = near.join(asked_sets, side, "left").join(of_origin, ["conv", "origin"], "left")
+    placed = staged(spark, placed, "near")
+    sets = ["conv", "asked_set", "told_set"]
+    pairs = placed.where("asked_set IS NOT NULL AND told_set IS NOT NULL")
+    placed = placed.join(set_overlaps(pairs, asked, told), sets, "left").select(
+        *side, "origin", (F.col("agreed") + F.coalesce("both", F.lit(0))).alias("agreed")
+    )
+    scores = staged(spark, placed, "scores")
+
+    # Quotes that another message may win: it shares all it agrees with among the common windows.
+    most = scores.groupBy(*quote).agg(F.max(F.struct("outer", "agreed", "origin")).alias("most"))
+    most = most.select(*quote, "most.*").withColumnRenamed("origin", "chosen")
+    limits = late.groupBy(*side).agg(
+        F.count(F.lit(1)).alias("windows"), F.min("origin").alias("earliest")
+    )
+    # Who wrote all of them wrote them no later than the earliest of the latest writers.
+    unsettled = most.join(limits, side).where(
+        "agreed < windows OR (agreed = windows AND chosen < earliest)"
+    )
+    unsettled = staged(spark, unsettled, "unsettled")
+    rank = F.row_number().over(Window.partitionBy(*side).orderBy("writers", "key"))
+    ranked = late.join(unsettled, side).join(writers, ["conv", "key"])
+    first = ranked.withColumn("rank", rank).where("rank <= windows - agreed + 1")
+    further = first.select(*side, "agreed", "key").join(told, ["conv", "key"])
+    further = further.select(*side, "agreed", "told_set").distinct().join(asked_sets, side)
+    further = staged(spark, further, "further")
+    able = further.join(set_overlaps(further, asked, told), sets).where("both >= agreed")
+    asking = able.select(*side, F.col("told_set").alias("key"), "both")
+    telling = told_sets.select("conv", "turn", F.col("told_set").alias("key"))
+    telling = telling.join(asking.select("conv", "key").distinct(), ["conv", "key"], "left_semi")
+    found = latest_writers(asking, telling, ["outer", "both"]).where("origin IS NOT NULL")
+    return scores.unionByName(found.select(*side, "origin", F.col("both").alias("agreed")))
+
+
 def reply_edges(messages: DataFrame) -> DataFrame:
     """conv, turn, parent, n_windows, n_agreed: the message that each linked message replies to, the
     quoted windows of the level that tells, and how many of them it agrees with."""
@@ -157,17 +232,21 @@ def reply_edges(messages: DataFrame) -> DataFrame:
     writers = written.groupBy("conv", "key").agg(F.count(F.lit(1)).alias("writers"))
     common = writers.where(F.col("writers") > COMMON).select("conv", "key")
     by_key = ["conv", "key"]
+    outer = (F.col("level") == 1).alias("outer")
     rare = quoted.join(common, by_key, "left_anti").join(
         written.withColumnRenamed("turn", "origin"), by_key
     )
-    rare = rare.where(F.col("origin") < F.col("turn"))
-    late = latest_writers(
-        quoted.join(common, by_key, "left_semi"), written.join(common, by_key, "left_semi")
-    ).where("origin IS NOT NULL")
-    columns = ["conv", "turn", "level", "origin"]
-    agreed = rare.select(columns).unionByName(late.select(columns))
-    outer = (F.col("level") == 1).alias("outer")
-    scores = agreed.groupBy("conv", "turn", outer, "origin").agg(F.count(F.lit(1)).alias("agreed"))
+    rare = rare.where(F.col("origin") < F.col("turn")).groupBy("conv", "turn", outer, "origin")
+    rare = rare.agg(F.count(F.lit(1)).alias("agreed"))
+    common = staged(spark, common, "common")
+    scores = rare
+    if not common.isEmpty():
+        scores = common_scores(
+            rare,
+            quoted.join(common, by_key, "left_semi").select("conv", "turn", outer, "key"),
+            written.join(common, by_key, "left_semi"),
+            writers,
+        )
     sizes = quoted.groupBy("conv", "turn", outer).agg(F.count(F.lit(1)).alias("n_windows"))
     best = F.max(F.struct("outer", "agreed", "origin")).alias("best")
     chosen = scores.groupBy("conv", "turn").agg(best).select(
