@@ -39,9 +39,9 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitaelake.llm.native import staged
+from vitaelake.llm.native import Scratch, staged
 from vitaelake.llm.wordarrays import batches_of, mixed, pieces, power_table, utf8
-from vitaelake.session import drop_scratch, scratch_location
+from vitaelake.session import scratch_location, shuffles_dropped
 
 LENGTH = 100
 GRAM = 32
@@ -458,14 +458,15 @@ def by_document(spark: SparkSession, rows: DataFrame) -> DataFrame:
     each batch and for the result, leaves the texts where they are."""
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"suffix_documents_{uuid.uuid4().hex}"
-    (
-        rows.repartition(buckets, "doc")
-        .sortWithinPartitions("doc")
-        .write.bucketBy(buckets, "doc")
-        .sortBy("doc")
-        .option("path", scratch_location(spark, "documents"))
-        .saveAsTable(name)
-    )
+    with shuffles_dropped(spark):
+        (
+            rows.repartition(buckets, "doc")
+            .sortWithinPartitions("doc")
+            .write.bucketBy(buckets, "doc")
+            .sortBy("doc")
+            .option("path", scratch_location(spark, "documents"))
+            .saveAsTable(name)
+        )
     return spark.table(name)
 
 
@@ -493,24 +494,6 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-class Scratch:
-    """Tables that one batch stages for itself."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.folders: list[str] = []
-
-    def staged(self, rows: DataFrame, label: str) -> DataFrame:
-        self.folders.append(scratch_location(self.spark, label))
-        rows.write.parquet(self.folders[-1])
-        return self.spark.read.schema(rows.schema).parquet(self.folders[-1])
-
-    def drop(self) -> None:
-        for folder in self.folders:
-            drop_scratch(self.spark, folder)
-        self.folders = []
-
-
 @dataclass
 class SuffixFamily:
     """Levels of entries, oldest and largest first, and the documents (doc, twin, text) they come
@@ -527,7 +510,7 @@ class SuffixFamily:
     def add(self, batch: DataFrame, last: bool = False) -> DataFrame:
         """Spans (doc, twin, low, high) of a (doc, twin, text) batch that repeat earlier text.
 
-        ``last``: no batch will follow, so its entries need not be kept.
+        ``last``: no batch will follow, so its entries need not be kept, nor the levels.
         """
         rows = batch.select("doc", "twin", "text").mapInArrow(anchor_rows, FOUND)
         for _, level, _ in self.levels:
@@ -537,7 +520,11 @@ class SuffixFamily:
         )
         work = Scratch(self.spark)
         found = work.staged(ordered.mapInArrow(scan_entries(not last), FOUND), "entries")
-        if not last:
+        if last:
+            for _, _, table in self.levels:
+                table.drop()
+            self.levels = []
+        else:
             self._keep(found.where(F.col("kind") == NEW).select("narrow", "wide", "doc", "packed"))
         spans = found.where(F.col("kind") == SPAN).select(
             "doc",
